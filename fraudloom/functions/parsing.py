@@ -5,15 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_BLANKS = " \t\n\r\f\v"
+
+
+def strip(text: Column) -> Column:
+    """Without surrounding white space of any kind, not only blanks."""
+    return F.trim(text, F.lit(_BLANKS))
+
 
 def clean_code(text: Column) -> Column:
-    return F.upper(F.trim(text))
+    return F.upper(strip(text))
 
 
 def to_int(text: Column) -> Column:
     """Whole numbers only: '1.0' and 'x' give null, ' 7 ' gives 7."""
-    whole = F.regexp_like(F.trim(text), F.lit(r"^[+-]?[0-9]+$"))
-    return F.when(whole, F.trim(text).try_cast("int"))
+    whole = F.regexp_like(strip(text), F.lit(r"^[+-]?[0-9]+$"))
+    return F.when(whole, strip(text).try_cast("int"))
 
 
 def to_double(text: Column) -> Column:
@@ -22,10 +29,10 @@ def to_double(text: Column) -> Column:
     Java would also read a trailing type letter ('5d', '5f'), hence the pattern.
     """
     number = F.regexp_like(
-        F.lower(F.trim(text)),
+        F.lower(strip(text)),
         F.lit(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(nan|inf|infinity)$"),
     )
-    return F.when(number, F.trim(text).try_cast("double"))
+    return F.when(number, strip(text).try_cast("double"))
 
 
 def city_proxy(dest: Column) -> Column:

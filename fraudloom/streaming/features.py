@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from fraudloom.config import RuleConfig
 
@@ -111,10 +111,8 @@ def stream_features(
     Over input that is in order per card from one micro-batch to the next, the
     result equals the batch features.
     """
-    columns = StructType(tx.schema.fields)
-    for name in ("n_window", "hv_window", "prev_ts"):
-        columns = columns.add(name, "bigint")
-    columns = columns.add("is_late", "boolean")
+    counts = [StructField(name, LongType()) for name in ("n_window", "hv_window", "prev_ts")]
+    columns = StructType([*tx.schema.fields, *counts, StructField("is_late", BooleanType())])
     history = CardHistory(cfg.window_ms, cfg.high_value, delay_ms, idle_days * _DAY_MS)
     return tx.groupBy("nameOrig").transformWithStateInPandas(
         history, columns, outputMode="Append", timeMode="ProcessingTime"

@@ -368,12 +368,12 @@ def _(spark, sf):
 select count(*) as closed_hours from (
   select distinct date_trunc('hour', event_ts) as h, type from tx
   where date_trunc('hour', event_ts) + interval 1 hour <=
-    (select max(event_ts) from tx where event_ts < timestamp '2024-01-21') - interval 10 second)"""))
+    (select max(event_ts) from tx where event_ts < timestamp '2024-01-11') - interval 10 second)"""))
 def _(spark, sf):
     """Append mode: an hour appears once the watermark has passed its end.
 
-    The third round only opens later hours: what is closed is all that ended 10
-    seconds before the newest event of the second round.
+    The watermark of a round takes effect with the next one: after two rounds,
+    what is closed is all that ended 10 seconds before the newest event of the first.
     """
     def build(base):
         source = f"{base}/source"

@@ -17,6 +17,9 @@ _RUNTIME = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # hour=07 must come back as the string '07', not as the number 7
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A stateful operator with time to live asks for one empty batch after the
+    # other, and a run that should end with its input never would.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -37,6 +40,7 @@ def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.python.unix.domain.socket.enabled", "true")

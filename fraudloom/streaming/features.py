@@ -104,13 +104,16 @@ class CardHistory(StatefulProcessor):
 
 
 def stream_features(
-    tx: DataFrame, cfg: RuleConfig = RuleConfig(), delay_ms: int = 10_000, idle_days: int = 30
+    tx: DataFrame, cfg: RuleConfig = RuleConfig(), delay_ms: int = 10_000, idle_days: int = 20
 ) -> DataFrame:
     """Streaming ``tx`` plus ``n_window``, ``hv_window``, ``prev_ts`` and ``is_late``.
 
     Over input that is in order per card from one micro-batch to the next, the
-    result equals the batch features.
+    result equals the batch features. ``idle_days`` is how long the state of a
+    card outlives its last event; the API holds it in 32 bits of milliseconds.
     """
+    if not 0 < idle_days <= 24:
+        raise ValueError("idle_days must be between 1 and 24")
     counts = [StructField(name, LongType()) for name in ("n_window", "hv_window", "prev_ts")]
     columns = StructType([*tx.schema.fields, *counts, StructField("is_late", BooleanType())])
     history = CardHistory(cfg.window_ms, cfg.high_value, delay_ms, idle_days * _DAY_MS)

@@ -19,20 +19,17 @@ def clean_code(text: Column) -> Column:
 
 def to_int(text: Column) -> Column:
     """Whole numbers only: '1.0' and 'x' give null, ' 7 ' gives 7."""
-    whole = F.regexp_like(strip(text), F.lit(r"^[+-]?[0-9]+$"))
-    return F.when(whole, strip(text).try_cast("int"))
+    return text.try_cast("int")
 
 
 def to_double(text: Column) -> Column:
     """Decimal notation, exponents, nan and inf; anything else gives null.
 
-    Java would also read a trailing type letter ('5d', '5f'), hence the pattern.
+    The JVM also reads a number with a type letter ('5d', '5f') and hexadecimal
+    fractions, which the pattern shuts out.
     """
-    number = F.regexp_like(
-        F.lower(strip(text)),
-        F.lit(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?(nan|inf|infinity)$"),
-    )
-    return F.when(number, strip(text).try_cast("double"))
+    jvm_only = F.regexp_like(text, F.lit(r"[0-9.]\s*[dDfF]\s*$|[xX]"))
+    return F.when(~jvm_only, text.try_cast("double"))
 
 
 def city_proxy(dest: Column) -> Column:

@@ -37,10 +37,18 @@ def archive(tx: DataFrame, base: str, fmt: str = "parquet", partition_time: str
 
 def archive_stream(
     tx: DataFrame, base: str, checkpoint: str, fmt: str = "parquet", partition_time: str = "event",
+    files_per_hour: int = 4,
 ) -> DataStreamWriter:
-    """Streaming append, once a minute. Offsets advance only after the files are committed."""
+    """Streaming append, once a minute. Offsets advance only after the files are committed.
+
+    Rows are gathered by hour and row group before they are written: a batch
+    that catches up on many hours leaves ``files_per_hour`` files in each, not
+    one per task, and a crowded hour is shared by as many tasks.
+    """
+    group = F.pmod(F.xxhash64("nameOrig", "seq"), F.lit(files_per_hour))
     return (
         with_hour_parts(tx, partition_time)
+        .repartition(*PARTS, group)
         .writeStream.partitionBy(*PARTS).format(fmt)
         .option("compression", "snappy")
         .option("path", base).option("checkpointLocation", checkpoint)

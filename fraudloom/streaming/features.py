@@ -21,14 +21,20 @@ _TS = "ingestion_timestamp_ms"
 _DAY_MS = 86_400_000
 
 
+# What a state entry stands for. All of a card's state is one list: each batch
+# reads and writes it with a single request.
+_RECENT, _MONTH, _NEWEST = 0, 1, 2
+_STATE = "kind bigint, at bigint, n bigint, large bigint"
+
+
 class CardHistory(StatefulProcessor):
     """Counts of the trailing window and the previous event of the month, per card.
 
-    State per card: one entry per distinct millisecond in the window (count and
-    large count), so a burst cannot grow it beyond the window's length; the last
-    time stamp per month; the newest time stamp. Idle cards are dropped by a
-    time to live, which is far longer than the window and so never touches a
-    count.
+    State per card: for every distinct millisecond in the window its number of
+    events and of large ones, so that a burst cannot grow the state beyond the
+    window's length; per month the last time stamp; the newest time stamp. Idle
+    cards are dropped by a time to live far longer than the window, which
+    therefore never touches a count.
 
     Late events are judged against the state they find and are never dropped;
     ``is_late`` marks those behind the card's newest event by more than the
@@ -42,10 +48,7 @@ class CardHistory(StatefulProcessor):
         self._idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = self._idle_ms
-        self._recent = handle.getListState("recent", "ts_ms bigint, n bigint, large bigint", ttl)
-        self._months = handle.getMapState("months", "month bigint", "ts_ms bigint", ttl)
-        self._newest = handle.getValueState("newest", "ts_ms bigint", ttl)
+        self._state = handle.getListState("history", _STATE, self._idle_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # Chunks come in no particular order, so they are joined before sorting.
@@ -54,10 +57,14 @@ class CardHistory(StatefulProcessor):
         ts = batch[_TS].to_numpy(dtype=np.int64)
         large = (batch["amount"].to_numpy(dtype=float) >= self._high_value).astype(np.int64)
 
-        stored = np.array(list(self._recent.get()), dtype=np.int64).reshape(-1, 3)
-        stored = stored[np.argsort(stored[:, 0], kind="stable")]
+        state = np.array(list(self._state.get()), dtype=np.int64).reshape(-1, 4)
+        recent = state[state[:, 0] == _RECENT, 1:]
+        recent = recent[np.argsort(recent[:, 0], kind="stable")]
+        last_of_month = {int(e[1]): int(e[2]) for e in state[state[:, 0] == _MONTH]}
+        newest = max((int(e[1]) for e in state[state[:, 0] == _NEWEST]), default=None)
+
         cutoff = ts - self._window_ms
-        old_from = np.searchsorted(stored[:, 0], cutoff, side="left")
+        old_from = np.searchsorted(recent[:, 0], cutoff, side="left")
         new_from = np.searchsorted(ts, cutoff, side="left")
 
         def in_window(old: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -66,38 +73,36 @@ class CardHistory(StatefulProcessor):
             return old_sum[-1] - old_sum[old_from] + new_sum[1:] - new_sum[new_from]
 
         month = ts.astype("datetime64[ms]").astype("datetime64[M]").astype(np.int64)
-        previous = pd.Series(ts).shift(1).astype("Int64")
-        opens = np.concatenate([[True], month[1:] != month[:-1]])
-        for at in np.flatnonzero(opens):
-            kept = (int(month[at]),)
-            previous.iloc[at] = (
-                self._months.getValue(kept)[0] if self._months.containsKey(kept) else pd.NA
-            )
-        newest = self._newest.get()[0] if self._newest.exists() else None
-        late = ts + self._delay_ms < newest if newest is not None else np.zeros(len(ts), dtype=bool)
-
-        yield batch.assign(
-            n_window=in_window(stored[:, 1], np.ones_like(ts)),
-            hv_window=in_window(stored[:, 2], large),
-            prev_ts=previous.to_numpy(dtype=object, na_value=None),
-            is_late=late,
-        )
-
-        closes = np.concatenate([month[1:] != month[:-1], [True]])
-        for at in np.flatnonzero(closes):
-            self._months.updateValue((int(month[at]),), (int(ts[at]),))
-        self._newest.update((int(max(ts[-1], newest if newest is not None else ts[-1])),))
+        starts = np.flatnonzero(np.concatenate([[True], month[1:] != month[:-1]]))
+        previous = np.concatenate([[None], ts[:-1]]).astype(object)
+        for at in starts:
+            previous[at] = last_of_month.get(int(month[at]))
+        late = np.zeros(len(ts), dtype=bool) if newest is None else ts + self._delay_ms < newest
+
+        for at in np.concatenate([starts[1:] - 1, [len(ts) - 1]]):
+            last_of_month[int(month[at])] = int(ts[at])
+        newest = int(ts[-1]) if newest is None else max(newest, int(ts[-1]))
         fresh = ts >= cutoff[-1]
-        moments, starts = np.unique(ts[fresh], return_index=True)
-        entries = np.vstack([
-            stored[stored[:, 0] >= cutoff[-1]],
+        moments, first = np.unique(ts[fresh], return_index=True)
+        kept = np.vstack([
+            recent[recent[:, 0] >= cutoff[-1]],
             np.column_stack([
                 moments,
-                np.add.reduceat(np.ones(fresh.sum(), dtype=np.int64), starts),
-                np.add.reduceat(large[fresh], starts),
+                np.diff(np.append(first, fresh.sum())),
+                np.add.reduceat(large[fresh], first),
             ]),
         ])
-        self._recent.put([tuple(map(int, entry)) for entry in entries])
+        self._state.put(
+            [(_RECENT, *map(int, entry)) for entry in kept]
+            + [(_MONTH, number, last, 0) for number, last in last_of_month.items()]
+            + [(_NEWEST, newest, 0, 0)]
+        )
+        yield batch.assign(
+            n_window=in_window(recent[:, 1], np.ones_like(ts)),
+            hv_window=in_window(recent[:, 2], large),
+            prev_ts=previous,
+            is_late=late,
+        )
 
     def close(self) -> None:
         pass

@@ -45,15 +45,17 @@ def score_batch(
     size of the batch, from which it decides whether the batch's keys can be
     broadcast to cut the snapshots down before they are joined.
     """
-    rows = spark.read.parquet(write_batch(featured, base, "features", batch_id))
+    def stored(df: DataFrame, table: str) -> DataFrame:
+        return spark.read.schema(df.schema).parquet(write_batch(df, base, table, batch_id))
+
+    rows = stored(featured, "features")
     month = times.year_month(F.col("ingestion_timestamp_ms"))
     cards = rows.select(F.col("nameOrig").alias("card_id")).distinct()
     months = rows.select(F.col("nameOrig").alias("card_id"), month.alias("year_month")).distinct()
     listed = blacklist().join(cards, "card_id", "left_semi")
     known = profiles().join(months, ["card_id", "year_month"], "left_semi")
 
-    scored = evaluate(attach_reference(rows, listed, known), cfg)
-    scored = spark.read.parquet(write_batch(scored, base, "scored", batch_id))
+    scored = stored(evaluate(attach_reference(rows, listed, known), cfg), "scored")
     alerts = fired(scored)
     write_batch(as_json(alert_payload(alerts)), base, "alert_topic", batch_id, "text")
     write_batch(upsert_alerts(alerts), base, "alerts", batch_id)

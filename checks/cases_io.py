@@ -386,14 +386,10 @@ def _(spark, sf):
     return hours.agg(F.count(F.lit(1)).alias("closed_hours"))
 
 
-def _taken(_payload: str) -> int:
-    return 202
-
-
 def _delivery(spark, sf):
     source = _topic(spark, sf)
     return _once(spark, sf, "delivery", lambda base: drain(
-        jobs.dashboard_stream(_incoming(spark, source), base, _taken)))
+        jobs.dashboard_stream(_incoming(spark, source), base, lambda payload: 202)))
 
 
 @case("s12_dashboard_stream", sql("tx", "select count(*) as rows_delivered from tx"))
@@ -402,18 +398,15 @@ def _(spark, sf):
     return outcome.where("delivered").agg(F.sum("n_rows").alias("rows_delivered"))
 
 
-class _RefuseFraud:
-    """A receiver that never accepts payloads with a blocked transaction."""
-
-    def __call__(self, payload: str) -> int:
-        return 500 if '"Status":"Blocked"' in payload else 200
-
-
 @case("x10_dropped_payloads", sql("feed", """, secs as (
   select cast(floor(epoch(event_ts)) as bigint) as s, max("isFraud") as refused, count(*) as n from feed group by 1)
 select cast(refused = 0 as bigint) as delivered, case when refused = 1 then 4 else 1 end as attempts,
   cast(sum(n) as bigint) as n_rows from secs group by 1, 2"""))
 def _(spark, sf):
+    """The receiver never accepts a payload with a blocked transaction."""
+    def send(payload: str) -> int:
+        return 500 if '"Status":"Blocked"' in payload else 200
+
     payloads = dashboard.push_payloads(fx.mart(spark, sf)["feed"])
-    outcome = sinks.deliver(payloads, _RefuseFraud(), first_pause=0.0)
+    outcome = sinks.deliver(payloads, send, first_pause=0.0)
     return outcome.groupBy("delivered", "attempts").agg(F.sum("n_rows").alias("n_rows"))

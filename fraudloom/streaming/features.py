@@ -7,16 +7,21 @@ sinks) is the batch code.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from fraudloom.config import RuleConfig
 
+# Executors get the class below by value: they need numpy and pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TS = "ingestion_timestamp_ms"
 _DAY_MS = 86_400_000
 

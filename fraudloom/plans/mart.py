@@ -176,14 +176,15 @@ def date_orphans(facts: DataFrame, dates: DataFrame) -> DataFrame:
 
 # ---- storage --------------------------------------------------------------------
 def write_fact(fact: DataFrame, path: str) -> None:
-    """Parquet in one folder per day.
+    """Parquet in one folder per day; only the days that ``fact`` contains are replaced.
 
     The rebalance hint gathers a day's rows into few files and splits a day that
-    is too large for one task.
+    is too large for one task. Loading a day again replaces it.
     """
     (
         fact.hint("rebalance", "date_key")
-        .write.mode("overwrite").partitionBy("date_key").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date_key").parquet(path)
     )
 
 

@@ -35,17 +35,19 @@ def encode_payload(codec: str) -> Column:
 
 
 def decode_payload(payload: Column, codec: str) -> Column:
-    """The transaction struct, null where the payload cannot be read."""
+    """The transaction struct; its fields are null where the payload cannot be read."""
     if codec == "avro":
         from pyspark.sql.avro.functions import from_avro
         return from_avro(payload, schemas.TRANSACTION_AVRO, {"mode": "PERMISSIVE"})
-    parsed = F.from_json(F.decode(payload, "UTF-8"), schemas.TRANSACTION, {"mode": "PERMISSIVE"})
-    # every field is required: a record without card or time is unreadable
-    required = [parsed.getField(c).isNotNull() for c in schemas.TRANSACTION.names]
-    complete = required[0]
-    for present in required[1:]:
-        complete = complete & present
-    return F.when(complete, parsed)
+    return F.from_json(F.decode(payload, "UTF-8"), schemas.TRANSACTION, {"mode": "PERMISSIVE"})
+
+
+def _complete(tx: Column) -> Column:
+    """Every field is required."""
+    present = tx.isNotNull()
+    for name in schemas.TRANSACTION.names:
+        present = present & tx.getField(name).isNotNull()
+    return present
 
 
 def publishable(tx: DataFrame, schema_id: int = 1, codec: str = "json") -> DataFrame:
@@ -60,11 +62,16 @@ def publishable(tx: DataFrame, schema_id: int = 1, codec: str = "json") -> DataF
 
 
 def decode_messages(messages: DataFrame, codec: str = "json") -> DataFrame:
-    """``messages`` plus ``tx``: null for a short, foreign or unreadable value."""
+    """``messages`` plus ``tx``: null for a short, foreign or unreadable value.
+
+    The payload is parsed inside a generator. Written as a plain column it would
+    be copied into every later filter and field access, and parsed once for each.
+    """
     value = F.col("value")
     framed = (F.length(value) > HEADER_BYTES) & (F.substring(value, 1, 1) == F.lit(MAGIC_BYTE))
-    payload = F.substring(value, HEADER_BYTES + 1, 2_147_483_647)
-    return messages.withColumn("tx", F.when(framed, decode_payload(payload, codec)))
+    payload = F.when(framed, F.substring(value, HEADER_BYTES + 1, 2_147_483_647))
+    parsed = F.filter(F.array(decode_payload(payload, codec)), _complete)
+    return messages.select("*", F.explode_outer(parsed).alias("tx"))
 
 
 def readable(decoded: DataFrame) -> DataFrame:

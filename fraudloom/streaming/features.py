@@ -8,30 +8,53 @@ sinks) is the batch code.
 from __future__ import annotations
 
 import sys
+from collections import deque
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
-import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from fraudloom.config import RuleConfig
 
-# Executors get the class below by value: they need numpy and pandas, not this package.
+# Executors get the class below by value: they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TS = "ingestion_timestamp_ms"
 _DAY_MS = 86_400_000
 
-
 # What a state entry stands for. All of a card's state is one list: each batch
 # reads and writes it with a single request.
 _RECENT, _MONTH, _NEWEST = 0, 1, 2
 _STATE = "kind bigint, at bigint, n bigint, large bigint"
 
 
+class _Window:
+    """Counts per distinct millisecond, oldest first, and their totals."""
+
+    def __init__(self, entries: Iterator[tuple[int, int, int]] = ()) -> None:
+        self.entries = deque(entries)
+        self.n = sum(e[1] for e in self.entries)
+        self.large = sum(e[2] for e in self.entries)
+
+    def drop_before(self, cutoff: int) -> None:
+        while self.entries and self.entries[0][0] < cutoff:
+            _, n, large = self.entries.popleft()
+            self.n -= n
+            self.large -= large
+
+    def add(self, ts: int, large: int) -> None:
+        n = 1
+        self.n += 1
+        self.large += large
+        if self.entries and self.entries[-1][0] == ts:
+            _, before, large_before = self.entries.pop()
+            n, large = n + before, large + large_before
+        self.entries.append((ts, n, large))
+
+
 class CardHistory(StatefulProcessor):
     """Counts of the trailing window and the previous event of the month, per card.
 
@@ -44,9 +67,15 @@ class CardHistory(StatefulProcessor):
     Late events are judged against the state they find and are never dropped;
     ``is_late`` marks those behind the card's newest event by more than the
     allowed delay.
+
+    Rows and not pandas frames: a card has few events per batch, and building a
+    frame for each card costs more than its events do.
     """
 
-    def __init__(self, window_ms: int, high_value: float, delay_ms: int, idle_ms: int) -> None:
+    def __init__(
+        self, columns: list[str], window_ms: int, high_value: float, delay_ms: int, idle_ms: int
+    ) -> None:
+        self._columns = columns
         self._window_ms = window_ms
         self._high_value = high_value
         self._delay_ms = delay_ms
@@ -55,59 +84,36 @@ class CardHistory(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getListState("history", _STATE, self._idle_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # Chunks come in no particular order, so they are joined before sorting.
-        # Their size is bounded by the trigger's input limit.
-        batch = pd.concat(list(rows)).sort_values([_TS, "seq"], kind="stable")
-        ts = batch[_TS].to_numpy(dtype=np.int64)
-        large = (batch["amount"].to_numpy(dtype=float) >= self._high_value).astype(np.int64)
-
-        state = np.array(list(self._state.get()), dtype=np.int64).reshape(-1, 4)
-        recent = state[state[:, 0] == _RECENT, 1:]
-        recent = recent[np.argsort(recent[:, 0], kind="stable")]
-        last_of_month = {int(e[1]): int(e[2]) for e in state[state[:, 0] == _MONTH]}
-        newest = max((int(e[1]) for e in state[state[:, 0] == _NEWEST]), default=None)
-
-        cutoff = ts - self._window_ms
-        old_from = np.searchsorted(recent[:, 0], cutoff, side="left")
-        new_from = np.searchsorted(ts, cutoff, side="left")
-
-        def in_window(old: np.ndarray, new: np.ndarray) -> np.ndarray:
-            old_sum = np.concatenate([[0], np.cumsum(old)])
-            new_sum = np.concatenate([[0], np.cumsum(new)])
-            return old_sum[-1] - old_sum[old_from] + new_sum[1:] - new_sum[new_from]
-
-        month = ts.astype("datetime64[ms]").astype("datetime64[M]").astype(np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], month[1:] != month[:-1]]))
-        previous = np.concatenate([[None], ts[:-1]]).astype(object)
-        for at in starts:
-            previous[at] = last_of_month.get(int(month[at]))
-        late = np.zeros(len(ts), dtype=bool) if newest is None else ts + self._delay_ms < newest
-
-        for at in np.concatenate([starts[1:] - 1, [len(ts) - 1]]):
-            last_of_month[int(month[at])] = int(ts[at])
-        newest = int(ts[-1]) if newest is None else max(newest, int(ts[-1]))
-        fresh = ts >= cutoff[-1]
-        moments, first = np.unique(ts[fresh], return_index=True)
-        kept = np.vstack([
-            recent[recent[:, 0] >= cutoff[-1]],
-            np.column_stack([
-                moments,
-                np.diff(np.append(first, fresh.sum())),
-                np.add.reduceat(large[fresh], first),
-            ]),
-        ])
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        state = list(self._state.get())
+        stored = _Window(sorted(tuple(e[1:]) for e in state if e[0] == _RECENT))
+        last_of_month = {e[1]: e[2] for e in state if e[0] == _MONTH}
+        newest_before = max((e[1] for e in state if e[0] == _NEWEST), default=None)
+        arrived = _Window()
+        output = Row(*self._columns, "n_window", "hv_window", "prev_ts", "is_late")
+
+        out = []
+        # One card's share of a micro-batch, which the trigger's input limit bounds.
+        for row in sorted(rows, key=lambda r: (r[_TS], r["seq"])):
+            ts = row[_TS]
+            stored.drop_before(ts - self._window_ms)
+            arrived.drop_before(ts - self._window_ms)
+            arrived.add(ts, int(row["amount"] >= self._high_value))
+            at = datetime.fromtimestamp(ts / 1000, timezone.utc)
+            month = at.year * 100 + at.month
+            late = newest_before is not None and ts + self._delay_ms < newest_before
+            out.append(output(
+                *row, stored.n + arrived.n, stored.large + arrived.large, last_of_month.get(month), late
+            ))
+            last_of_month[month] = ts
+
+        newest = ts if newest_before is None else max(ts, newest_before)
         self._state.put(
-            [(_RECENT, *map(int, entry)) for entry in kept]
-            + [(_MONTH, number, last, 0) for number, last in last_of_month.items()]
+            [(_RECENT, *entry) for window in (stored, arrived) for entry in window.entries]
+            + [(_MONTH, month, last, 0) for month, last in last_of_month.items()]
             + [(_NEWEST, newest, 0, 0)]
         )
-        yield batch.assign(
-            n_window=in_window(recent[:, 1], np.ones_like(ts)),
-            hv_window=in_window(recent[:, 2], large),
-            prev_ts=previous,
-            is_late=late,
-        )
+        yield from out
 
     def close(self) -> None:
         pass
@@ -126,7 +132,9 @@ def stream_features(
         raise ValueError("idle_days must be between 1 and 24")
     counts = [StructField(name, LongType()) for name in ("n_window", "hv_window", "prev_ts")]
     columns = StructType([*tx.schema.fields, *counts, StructField("is_late", BooleanType())])
-    history = CardHistory(cfg.window_ms, cfg.high_value, delay_ms, idle_days * _DAY_MS)
-    return tx.groupBy("nameOrig").transformWithStateInPandas(
+    history = CardHistory(
+        tx.columns, cfg.window_ms, cfg.high_value, delay_ms, idle_days * _DAY_MS
+    )
+    return tx.groupBy("nameOrig").transformWithState(
         history, columns, outputMode="Append", timeMode="ProcessingTime"
     )

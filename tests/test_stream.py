@@ -1,10 +1,12 @@
 """State across batches: late events, restart, replay."""
 
+import pytest
 from conftest import T0
 
 from fraudloom.config import RuleConfig
 from fraudloom.sources import topics
 from fraudloom.streaming import jobs, sinks
+from fraudloom.streaming.features import CardHistory, stream_features
 
 CFG = RuleConfig()
 
@@ -54,3 +56,23 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     table = sinks.read_batches(spark, base, "t")
     assert table.count() == 3
     assert sorted(map(tuple, sinks.latest_by_key(table, ["k"]).collect())) == [("k", 2), ("l", 3)]
+
+
+def test_state_of_idle_cards_expires(spark, tx_of, tmp_path):
+    """With a time to live of one millisecond the second batch starts afresh."""
+    source, base = f"{tmp_path}/source", str(tmp_path)
+    for events in ([("C1", T0, 1, 1), ("C1", T0 + 1, 2, 1)], [("C1", T0 + 2, 3, 1)]):
+        topics.publishable(tx_of(*events)).write.mode("append").parquet(source)
+        incoming = topics.readable(topics.decode_messages(topics.read_topic(spark, source)))
+        featured = incoming.groupBy("nameOrig").transformWithState(
+            CardHistory(incoming.columns, CFG.window_ms, CFG.high_value, 10_000, 1),
+            stream_features(incoming).schema, outputMode="Append", timeMode="ProcessingTime")
+        featured.writeStream.format("parquet").option("path", f"{base}/rows").option(
+            "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    got = {r.seq: r.n_window for r in spark.read.parquet(f"{base}/rows").collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_idle_time_must_fit_the_api():
+    with pytest.raises(ValueError):
+        stream_features(None, idle_days=30)

@@ -19,17 +19,23 @@ slot. All other cards use the single slot -1 and need no opening balance.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom.config import RuleConfig
-from fraudloom.functions.times import year_month
+from fraudloom.functions.times import event_time
 from fraudloom.operators.skew import heavy_keys
 
 _CARD, _TS = "nameOrig", "ingestion_timestamp_ms"
 _WHOLE = -1
 
 
+def _month(ts_ms: Column) -> Column:
+    return F.trunc(F.to_date(event_time(ts_ms)), "month")
+
+
 def _arrivals_and_exits(tx: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts: bool) -> DataFrame:
     marked = tx.join(
         F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left"
@@ -70,20 +76,24 @@ def trailing_features(
     cfg: RuleConfig = RuleConfig(),
     reference: DataFrame | None = None,
     amounts: bool = False,
+    resolve: Callable[[DataFrame], DataFrame] = lambda joined: joined,
 ) -> DataFrame:
     """``tx`` plus ``n_window``, ``hv_window``, ``prev_ts`` (and ``amount_window``).
 
     ``reference`` holds one row per card, keyed ``nameOrig``. It is joined in the
     same exchange that the window needs, so lookups cost no shuffle of ``tx``.
+    ``resolve`` turns its columns into those that are wanted. It runs below the
+    window, where its results are computed once; above it they would be copied
+    into every expression that uses them.
     """
     hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows, cfg.max_hot_cards)
     rows = _arrivals_and_exits(tx, hot, cfg, amounts)
     side = _opening_balances(rows, amounts)
-    lookups: list[str] = []
     if reference is not None:
-        lookups = [c for c in reference.columns if c != _CARD]
         whole = reference.withColumn("_slot", F.lit(_WHOLE).cast("bigint"))
-        side = whole.unionByName(side.join(reference, _CARD, "left"), allowMissingColumns=True)
+        # the semi join sinks below the aggregation: only hot cards' lookups are built twice
+        of_hot = reference.join(F.broadcast(hot.select(_CARD)), _CARD, "left_semi")
+        side = whole.unionByName(side.join(of_hot, _CARD, "left"), allowMissingColumns=True)
 
     # The leaving row only carries its time stamp: its other columns are blanked
     # before the exchange.
@@ -97,7 +107,7 @@ def trailing_features(
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
 
-    def running(name: str) -> F.Column:
+    def running(name: str) -> Column:
         return F.coalesce(F.col("_open" + name), F.lit(0)) + F.sum(name).over(so_far)
 
     out = {
@@ -109,10 +119,14 @@ def trailing_features(
     }
     if amounts:
         out["amount_window"] = running("_amount").cast("decimal(18,2)")
-    same_month = year_month(F.col("_prev")) == year_month(F.col(_TS))
+    same_month = _month(F.col("_prev")) == _month(F.col(_TS))
     features = ["n_window", "hv_window", "prev_ts"] + (["amount_window"] if amounts else [])
+    joined = resolve(narrow.join(side, [_CARD, "_slot"], "left"))
+    lookups = [c for c in joined.columns if c not in (*narrow.columns, *side.columns)]
+    if reference is not None:
+        lookups += [c for c in reference.columns if c in joined.columns and c != _CARD]
     return (
-        narrow.join(side, [_CARD, "_slot"], "left")
+        joined
         .withColumns(out)
         .where(F.col("_arrives") == 1)
         .withColumn("prev_ts", F.when(same_month, F.col("_prev")))

@@ -19,8 +19,10 @@ def score(
     One exchange of the transactions, on (card, slot), serves the lookup join
     and the window.
     """
-    looked_up = trailing_features(tx, cfg, reference=card_reference(blacklist, profiles))
-    return evaluate(month_fields(looked_up), cfg)
+    looked_up = trailing_features(
+        tx, cfg, reference=card_reference(blacklist, profiles), resolve=month_fields
+    )
+    return evaluate(looked_up, cfg)
 
 
 def fired(scored: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from fraudloom.llm.common import slices, stored, words_after_space
 
 SHARE = 1 << 18
-_REMEMBER = 300_000
+_REMEMBER = 200_000
 
 
 @lru_cache(maxsize=4)
@@ -132,8 +132,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, share: int = SHARE) -> Da
     total = table.agg(F.sum("n")).first()[0] or 0
     # At most `share` pre-tokens can hold a 1/share part of all occurrences each.
     frequent = table.where(F.col("n") * share >= total)
-    frequent_counts = spark.sparkContext.broadcast(
-        {row.piece: row.tokens for row in frequent.select("piece", "tokens").collect()})
+    few = frequent.select("piece", "tokens").toArrow().to_pydict()
+    frequent_counts = spark.sparkContext.broadcast(dict(zip(few["piece"], few["tokens"])))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, count = _Splitter(tokenizer_path), frequent_counts.value

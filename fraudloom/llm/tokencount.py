@@ -5,9 +5,9 @@
 2. The library counts the pieces of each distinct pre-token once; the counts
    are a written table.
 3. Documents are turned into pre-token frequencies and joined to that table.
-   Pre-tokens with at least 1/``share`` of all occurrences (there can be at
-   most ``share`` of them) are joined inside the tasks from a broadcast map;
-   all others go through a shuffle join on the pre-token. Sums per document
+   The most frequent pre-tokens (at most ``frequent`` of them, a bound that does
+   not grow) are joined inside the tasks from a broadcast map; all others go
+   through a shuffle join on the pre-token. Sums per document
    give the counts.
 
 Strings of special tokens are pre-tokens of their own, as the library treats
@@ -23,7 +23,9 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import public_tokenizers
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +33,10 @@ from tokenizers import Tokenizer
 
 from fraudloom.llm.common import slices, stored, words_after_space
 
-SHARE = 1 << 18
-_REMEMBER = 200_000
+FREQUENT = 1 << 18
+_REMEMBER = 300_000
+_SETTLED = "\u0250"
+_PATTERN = regex.compile(public_tokenizers.PATTERN)  # the pattern of byte-level pre-tokenizers
 
 
 @lru_cache(maxsize=4)
@@ -44,25 +48,25 @@ def _tokenizer(path: str):
 
 
 class _Splitter:
-    """Pre-tokens of whole texts as the library cuts them, remembered per chunk."""
+    """Pre-tokens of whole texts as the library cuts them.
+
+    Chunks of Latin letters and ASCII are cut by the same pattern here; all others,
+    where Unicode versions may differ, by the library itself.
+    """
 
     def __init__(self, path: str):
         self.tokenizer, self.special, self.cut = _tokenizer(path)
-        self.known: dict[str, tuple[str, ...]] = {}
 
     def chunk(self, text: str) -> tuple[str, ...]:
         spans = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return tuple(text[a:b] for _, (a, b) in spans)
 
-    def after_space(self, part: str) -> tuple[str, ...]:
-        found = self.known.get(part)
-        if found is None:
-            found = self.chunk(" " + part)
-            if len(part) <= 64:
-                if len(self.known) >= _REMEMBER:
-                    self.known.clear()
-                self.known[part] = found
-        return found
+    def after_space(self, part: str) -> list[str] | tuple[str, ...]:
+        if not (part.isascii() or max(part) < _SETTLED):
+            return self.chunk(" " + part)
+        if part.isalpha():
+            return (" " + part,)
+        return _PATTERN.findall(" " + part)
 
     def parts(self, text: str) -> tuple[list[str], list[str]]:
         """Whole pre-tokens, and parts that a space precedes."""
@@ -124,15 +128,29 @@ def pre_token_table(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     return stored(distinct.mapInArrow(tokens, "piece string, n bigint, tokens bigint"), "pretokens")
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, share: int = SHARE) -> DataFrame:
+def _least_frequent(table: DataFrame, most: int) -> float:
+    """Occurrence class (16 per doubling) from which on at most ``most`` pre-tokens lie."""
+    classes = table.groupBy(_occurrence_class().alias("c")).agg(F.count(F.lit(1)).alias("held")).collect()
+    least, held = float("inf"), 0
+    for row in sorted(classes, key=lambda r: -r.c):  # at most 16 * 63 rows
+        held += row.held
+        if held > most:
+            break
+        least = row.c
+    return least
+
+
+def _occurrence_class():
+    return F.floor(F.log2("n") * 16)
+
+
+def count_tokens(docs: DataFrame, tokenizer_path: str, frequent: int = FREQUENT) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens`` of every row of ``docs``."""
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     table = pre_token_table(docs, tokenizer_path)
-    total = table.agg(F.sum("n")).first()[0] or 0
-    # At most `share` pre-tokens can hold a 1/share part of all occurrences each.
-    frequent = table.where(F.col("n") * share >= total)
-    few = frequent.select("piece", "tokens").toArrow().to_pydict()
+    is_frequent = _occurrence_class() >= F.lit(_least_frequent(table, frequent))
+    few = table.where(is_frequent).select("piece", "tokens").toArrow().to_pydict()
     frequent_counts = spark.sparkContext.broadcast(dict(zip(few["piece"], few["tokens"])))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +199,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, share: int = SHARE) -> Da
     known = rows.where("piece is null").withColumn("tokens", F.col("value"))
     rare = (
         rows.where("piece is not null")
-        .join(table.where(F.col("n") * share < total).select("piece", F.col("tokens").alias("each")), "piece")
+        .join(table.where(~is_frequent).select("piece", F.col("tokens").alias("each")), "piece")
         .withColumn("tokens", F.col("value") * F.col("each"))
     )
     columns = ["doc_id", "text_key", "n_bytes", "tokens", "own"]

@@ -21,12 +21,16 @@ empty texts give the end id alone. Rows that repeat a doc_id are all written.
 
 from __future__ import annotations
 
+import gc
+import os
+import re
 import struct
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -177,27 +181,68 @@ class ChunkEncoder:
     """The library's ids of whole texts.
 
     The pattern of the library drops white space and no token runs across it, so
-    texts are cut at blanks and line ends, the library encodes each distinct
-    chunk and the ids of recent chunks are remembered.
+    texts are cut at blanks and line ends. Chunks of plain ASCII are cut further
+    into the pattern's matches; the library encodes each distinct piece (or other
+    chunk), and the ids of recent chunks and pieces are remembered. A memo keeps
+    two generations, so entries in use stay when the older one is dropped.
     """
 
-    def __init__(self, tokenizer: Tokenizer, width: int, remember: int = 300_000):
-        self.tokenizer, self.width, self.remember = tokenizer, width, remember
+    # A chunk of these characters only is lower-cased and cut like this by any version of the pattern.
+    _PLAIN = re.compile(r"[A-Za-z0-9!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+")
+    _PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+    def __init__(self, tokenizer: Tokenizer, width: int, remember: int = 250_000):
+        self.tokenizer, self.remember = tokenizer, remember
         self.kind = "H" if width == 2 else "I"
-        self.known: dict[str, bytes] = {"": b""}
+        self.ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            self.ends_word[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _library(self, names: list[str], known: dict[str, bytes]) -> None:
+        for at in range(0, len(names), 4_096):
+            some = names[at:at + 4_096]
+            for name, made in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[name] = array(self.kind, made.ids).tobytes()
+
+    def _joined(self, pieces: list[str], known: dict[str, bytes]) -> None:
+        """Plain pieces, many in one text: each ends with the one token that marks a word's end."""
+        for at in range(0, len(pieces), 512):
+            some = pieces[at:at + 512]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                self._library(some, known)
+                continue
+            begin = 0
+            for piece, end in zip(some, ends.tolist()):
+                known[piece] = ids[begin:end].tobytes()
+                begin = end
+
+    def _learn(self, names: set[str]) -> None:
+        young, old = self.young, self.old
+        for name in names & old.keys():
+            young[name] = old[name]
+        whole = [name for name in names if name not in young]
+        plain = {name: self._PIECES.findall(name.lower()) for name in whole if self._PLAIN.fullmatch(name)}
+        pieces = {piece for cut in plain.values() for piece in cut if piece not in young}
+        for piece in pieces & old.keys():
+            young[piece] = old[piece]
+        self._joined([p for p in pieces if p not in young], young)
+        self._library([n for n in whole if n not in plain and n not in young], young)
+        for name, cut in plain.items():
+            young[name] = b"".join([young[piece] for piece in cut])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [text.replace("\n", " ").split(" ") for text in texts]
-        missing = list({part for parts in cut for part in parts if part not in self.known})
-        if len(self.known) + len(missing) > self.remember:
-            wanted = {part for parts in cut for part in parts}
-            self.known = {part: ids for part, ids in self.known.items() if part in wanted}
-            self.known[""] = b""
-        for at in range(0, len(missing), 4_096):
-            some = missing[at:at + 4_096]
-            for part, made in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[part] = array(self.kind, made.ids).tobytes()
-        get = self.known.__getitem__
+        names = set(chain.from_iterable(cut))
+        if len(self.young) + len(names) > self.remember:
+            self.old, self.young = self.young, {}
+        self.young[""] = b""
+        self._learn(names - self.young.keys())
+        get = self.young.__getitem__
         return [b"".join(map(get, parts)) for parts in cut]
 
 
@@ -230,6 +275,8 @@ def write_token_files(
     bounds = np.array(_shard_bounds(docs, min(MAX_SHARDS, 4 * max(2, partitions))), np.int64)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        gc.disable()  # only long-lived strings and bytes are held
         encoder = _chunk_encoder(tokenizer_path, width)
         end = array(encoder.kind, [end_id]).tobytes()
         for batch in slices(batches):
@@ -298,4 +345,5 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                          pa.array(counts, pa.int64()), pa.array(sums, pa.int64())],
                         ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return manifest.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    tasks = shuffle_partitions(manifest.sparkSession)
+    return manifest.repartition(tasks).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -20,6 +20,7 @@ of an output is replaced.
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -242,7 +243,7 @@ class _Recent:
 class TextEncoder:
     """Whole texts: the pattern cuts, the transducer encodes, frequent chunks are remembered."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 120_000):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.chunks, self.pieces = _Recent(remember), _Recent(remember // 2)
@@ -377,6 +378,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     schema = _with_column(docs, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the encoder holds millions of small objects and makes no cycles
         encoder = _encoder(ranks_path, pattern)
         for batch in slices(batches, text):
             made = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]

@@ -408,5 +408,5 @@ def _(spark, sf):
         return 500 if '"Status":"Blocked"' in payload else 200
 
     payloads = dashboard.push_payloads(fx.mart(spark, sf)["feed"])
-    outcome = sinks.deliver(payloads, send, first_pause=0.0)
+    outcome = sinks.deliver(payloads, send, pauses=(0.0, 0.0, 0.0))
     return outcome.groupBy("delivered", "attempts").agg(F.sum("n_rows").alias("n_rows"))

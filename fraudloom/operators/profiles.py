@@ -116,6 +116,7 @@ def retained(cells: DataFrame, table: str, as_of: datetime) -> DataFrame:
 
     ``cells`` has row_key, family, qualifier, value, version_ts (timestamp). Age
     limit and version count depend on the family; one pass serves all families.
+    Cells of families without limits are kept as they are.
     """
     limits = {f: limit for (owner, f), limit in config.RETENTION.items() if owner == table}
     family = F.col("family")
@@ -130,4 +131,8 @@ def retained(cells: DataFrame, table: str, as_of: datetime) -> DataFrame:
     ranked = latest_versions(
         cells.where(young), ["row_key", "family", "qualifier"], "version_ts", most
     )
-    return ranked.where(F.col("version_rank") <= kept)
+    listed = F.coalesce(family.isin(*limits), F.lit(False))
+    free = latest_versions(
+        cells.where(~listed), ["row_key", "family", "qualifier"], "version_ts", (1 << 31) - 1
+    )
+    return ranked.where(F.col("version_rank") <= kept).unionByName(free)

@@ -7,7 +7,7 @@ put late events.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +58,14 @@ def archive_stream(
 
 def replay(
     spark: SparkSession, base: str, start: datetime | None = None, end: datetime | None = None,
-    fmt: str = "parquet",
+    fmt: str = "parquet", partition_time: str = "event",
 ) -> DataFrame:
     """Archived transactions of [start, end). Folders outside the range are not listed as input.
 
     Folder values are text. The hour text built from them compares like time, so
     the range becomes a partition filter; the exact bound is on the event itself.
+    Folders of ingest time (``partition_time="ingest"``) hold events of that hour
+    or earlier ones, so there only the lower bound prunes.
     """
     folders = ", ".join(f"{p} string" for p in PARTS)
     schema = schemas.SEQUENCED.simpleString()[len("struct<"):-1].replace(":", " ")
@@ -71,7 +73,9 @@ def replay(
     hour = F.concat("year", "month", "day", "hour")
     stamp = F.col("ingestion_timestamp_ms")
     if start is not None:
-        df = df.where(hour >= start.strftime("%Y%m%d%H")).where(stamp >= int(start.timestamp() * 1000))
+        df = df.where(hour >= start.astimezone(UTC).strftime("%Y%m%d%H")).where(stamp >= int(start.timestamp() * 1000))
     if end is not None:
-        df = df.where(hour <= end.strftime("%Y%m%d%H")).where(stamp < int(end.timestamp() * 1000))
+        df = df.where(stamp < int(end.timestamp() * 1000))
+        if partition_time == "event":
+            df = df.where(hour <= end.astimezone(UTC).strftime("%Y%m%d%H"))
     return df.select(*schemas.SEQUENCED.names)

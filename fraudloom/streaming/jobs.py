@@ -18,7 +18,7 @@ from fraudloom.plans.dashboard import enrich, push_payloads
 from fraudloom.plans.mart import finish_summary
 from fraudloom.plans.scoring import fired
 from fraudloom.streaming.features import stream_features
-from fraudloom.streaming.sinks import deliver, latest_by_key, read_batches, write_batch
+from fraudloom.streaming.sinks import PAUSES, deliver, latest_by_key, read_batches, write_batch
 
 # ---- fixed values: checkpoint pacing and lateness -------------------------------
 TRIGGER = "30 seconds"
@@ -169,11 +169,11 @@ def stored_summaries(
 
 # ---- dashboard ----------------------------------------------------------------------
 def dashboard_stream(
-    tx: DataFrame, base: str, send: Callable[[str], int], first_pause: float = 1.0
+    tx: DataFrame, base: str, send: Callable[[str], int], pauses: tuple[float, ...] = PAUSES
 ) -> DataStreamWriter:
     """Enrich, pack and push; outcomes are stored, refused payloads are not sent again."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcome = deliver(push_payloads(enrich(batch)), send, first_pause=first_pause)
+        outcome = deliver(push_payloads(enrich(batch)), send, pauses=pauses)
         write_batch(outcome, base, "delivery", batch_id)
 
     return (

@@ -42,37 +42,42 @@ def latest_by_key(batches: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+# Seconds to wait before the second, third and fourth round.
+PAUSES = (1.0, 2.0, 4.0)
+
+
 def deliver(
     payloads: DataFrame,
     send: Callable[[str], int],
-    max_tries: int = 4,
-    first_pause: float = 1.0,
-    longest_pause: float = 15.0,
+    pauses: tuple[float, ...] = PAUSES,
 ) -> DataFrame:
     """Send each payload; ``send`` returns a status code, 200 and 202 count as taken.
 
-    Refused or failed payloads are retried with doubling pauses and then given
-    up. The result lists every payload with its outcome, so what was dropped
-    stays on record.
+    A batch is sent in rounds: all payloads first, then after each pause those
+    still open, so one pause serves all of them. What is open after the last round
+    is given up. The result lists every payload with its outcome, so what was
+    dropped stays on record.
     """
-    def attempt(payload: str) -> tuple[bool, int]:
-        pause = first_pause
-        for number in range(1, max_tries + 1):
-            try:
-                if send(payload) in (200, 202):
-                    return True, number
-            except Exception:  # any transport error counts as a failed try
-                pass
-            if number < max_tries:
-                time.sleep(pause)
-                pause = min(pause * 2, longest_pause)
-        return False, max_tries
+    def taken(payload: str) -> bool:
+        try:
+            return send(payload) in (200, 202)
+        except Exception:  # any transport error counts as a failed try
+            return False
 
     def send_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            outcome = [attempt(p) for p in batch["payload_json"]]
+            texts = batch["payload_json"].tolist()
+            attempts, waiting = [0] * len(texts), list(range(len(texts)))
+            for pause in (0.0, *pauses):
+                if not waiting:
+                    break
+                time.sleep(pause)
+                for at in waiting:
+                    attempts[at] += 1
+                waiting = [at for at in waiting if not taken(texts[at])]
+            refused = set(waiting)
             yield batch[["payload_json", "n_rows"]].assign(
-                delivered=[taken for taken, _ in outcome], attempts=[n for _, n in outcome]
+                delivered=[at not in refused for at in range(len(texts))], attempts=attempts
             )
 
     return payloads.select("payload_json", "n_rows").mapInPandas(send_all, DELIVERY)

@@ -61,7 +61,7 @@ def flaky(refusals):
 @pytest.mark.parametrize("refusals, delivered, attempts", [(0, True, 1), (3, True, 4), (9, False, 4)])
 def test_delivery_retries_then_drops(spark, refusals, delivered, attempts):
     payloads = spark.createDataFrame([("{}", 1)], "payload_json string, n_rows int")
-    row = sinks.deliver(payloads, flaky(refusals), first_pause=0.0).first()
+    row = sinks.deliver(payloads, flaky(refusals), pauses=(0.0, 0.0, 0.0)).first()
     assert (row.delivered, row.attempts) == (delivered, attempts)
 
 

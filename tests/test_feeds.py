@@ -1,5 +1,6 @@
 """Dashboard payloads, delivery, health verdicts, backups."""
 
+import time
 from datetime import timedelta
 
 import pytest
@@ -10,6 +11,7 @@ from fraudloom import schemas
 from fraudloom.functions import dashboard as fn
 from fraudloom.functions import cells, keys
 from fraudloom.functions.times import instant
+from fraudloom.operators.profiles import retained
 from fraudloom.plans import dashboard, health
 from fraudloom.sources import backup, topics
 from fraudloom.streaming import sinks
@@ -137,3 +139,19 @@ def test_unreadable_messages_are_null(spark, value):
     df = spark.range(1).select(F.lit(value).alias("value"))
     assert topics.decode_messages(df).first().tx is None
     assert topics.readable(topics.decode_messages(df)).count() == 0
+
+
+def test_retention_keeps_families_without_limits(spark):
+    rows = [("r", family, "q", "v", instant("2020-01-01 00:00:00")) for family in ("audit", "other", None)]
+    found = spark.createDataFrame(
+        rows, "row_key string, family string, qualifier string, value string, version_ts timestamp")
+    kept = retained(found, "blacklist", instant("2024-01-31 00:00:00"))
+    assert {r.family for r in kept.collect()} == {"other", None}
+
+
+def test_one_pause_serves_all_refused_payloads(spark):
+    payloads = spark.createDataFrame([(str(i), 1) for i in range(30)], "payload_json string, n_rows int").coalesce(1)
+    began = time.perf_counter()
+    outcome = sinks.deliver(payloads, lambda _: 500, pauses=(1.0,)).collect()
+    assert time.perf_counter() - began < 20
+    assert {(r.delivered, r.attempts) for r in outcome} == {(False, 2)}

@@ -83,6 +83,15 @@ def test_replay_prunes_folders(spark):
         "ingestion_timestamp_ms >= 1704085200000 and ingestion_timestamp_ms < 1704092400000").count()
 
 
+def test_replay_of_ingest_time_folders(spark):
+    base = work_dir(spark, "replay")
+    archive.archive(fx.transactions(spark, SF).where("step <= 48"), base, partition_time="ingest")
+    df = archive.replay(
+        spark, base, instant("2024-01-01 05:00:00"), instant("2024-01-01 07:00:00"), partition_time="ingest")
+    assert df.count() == fx.transactions(spark, SF).where(
+        "ingestion_timestamp_ms >= 1704085200000 and ingestion_timestamp_ms < 1704092400000").count() > 0
+
+
 def test_card_reference_is_unique(spark):
     side = card_reference(fx.blacklist(spark, SF), fx.profiles(spark, SF))
     assert side.count() == side.select("nameOrig").distinct().count()

@@ -283,7 +283,8 @@ def raw_rows(spark, sf):
     return out.withColumns({
         "type": F.when(number % 11 == 0, F.concat(F.lit(" "), F.lower("type"), F.lit("\t")))
         .when(number % 13 == 0, "REFUND").otherwise(F.col("type")),
-        "amount": F.when(number % 17 == 0, "x").otherwise(F.col("amount")),
+        "amount": F.when(number % 17 == 0, "x").when(number % 29 == 0, "1e17").when(number % 31 == 0, "nan")
+        .when(number % 37 == 0, "-inf").otherwise(F.col("amount")),
         "step": F.when(number % 19 == 0, "1.0").when(number % 7 == 0, F.concat(F.lit(" "), "step", F.lit(" ")))
         .otherwise(F.col("step")),
         "nameDest": F.when(number % 23 == 0, F.lit(None)).otherwise(F.concat(F.lit(" "), "nameDest")),
@@ -291,7 +292,7 @@ def raw_rows(spark, sf):
 
 
 _REASON = """, raw as (select *, case when seq % 13 = 0 and seq % 11 <> 0 then 'type' when seq % 19 = 0 then 'step'
-  when seq % 17 = 0 then 'amount' when seq % 23 = 0 then 'nameDest' end as reason from tx)"""
+  when seq % 17 = 0 or seq % 29 = 0 or seq % 31 = 0 or seq % 37 = 0 then 'amount' when seq % 23 = 0 then 'nameDest' end as reason from tx)"""
 
 
 @case("s2_valid_rows", sql("tx", f"""{_REASON}

@@ -26,7 +26,7 @@ from fraudloom.session import prepare, work_dir
 AS_OF = instant("2024-01-31 00:00:00")
 FIXTURE = RuleConfig(window_ms=172_800_000, geo_ms=21_600_000)
 # Every card counts as hot: exercises the slot-splitting path on all rows.
-ALL_HOT = replace(FIXTURE, hot_card_rows=1, max_hot_cards=100_000, slot_ms=3_600_000)
+ALL_HOT = replace(FIXTURE, hot_card_rows=1, slot_ms=3_600_000)
 
 _EPOCH_MS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) div 1000"
 

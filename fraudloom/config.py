@@ -72,15 +72,17 @@ RETENTION = {
 }
 BACKUP_RETENTION_DAYS = 90
 
+# ---- fixed values: amounts are DECIMAL(18,2) in the mart ----------------------
+AMOUNT_BELOW = 1e16
+
 
 @dataclass(frozen=True)
 class RuleConfig:
     """Thresholds of the six rules, and how large cards are split.
 
     A card with more than ``hot_card_rows`` transactions is spread over time
-    slots of ``slot_ms``. At most ``max_hot_cards`` cards are treated so, which
-    bounds the broadcast list; any card beyond it holds less than
-    ``1 / max_hot_cards`` of all rows and is computed whole, with equal results.
+    slots of ``slot_ms``. The list of such cards has at most one entry per
+    ``hot_card_rows`` rows: 500,000 for 10^12 transactions.
     """
 
     window_ms: int = 300_000
@@ -90,5 +92,4 @@ class RuleConfig:
     burst_count: int = 10
     anomaly_factor: float = 5.0
     hot_card_rows: int = 2_000_000
-    max_hot_cards: int = 10_000
     slot_ms: int = 60_000

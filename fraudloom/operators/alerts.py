@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom.functions import keys, parsing, times
@@ -29,19 +29,18 @@ def as_json(df: DataFrame) -> DataFrame:
 def upsert_alerts(fired: DataFrame) -> DataFrame:
     """Keyed alert rows; of several alerts of a card in one millisecond the last arrival stays.
 
-    An aggregate with map-side combine, so that a hot card costs no task more
-    than one row per key.
+    An alert without arrival number counts as the earliest. The row-number filter
+    cuts each task down to one row per key before the exchange.
     """
-    row = F.struct(
-        parsing.rule_text(F.col("rules_triggered")).alias("rules"),
-        "risk_score", "amount", "type", "nameDest",
+    alerts = fired.select(
+        parsing.rule_text(F.col("rules_triggered")).alias("rules"), "risk_score",
+        F.col("ingestion_timestamp_ms").alias("ts"), "nameOrig", "amount", "type", "nameDest", "seq",
     )
-    latest = fired.groupBy("nameOrig", F.col("ingestion_timestamp_ms").alias("ts")).agg(
-        F.max_by(row, "seq").alias("row")
-    )
-    return latest.select(
+    last = Window.partitionBy("nameOrig", "ts").orderBy(
+        F.desc_nulls_last("seq"), *map(F.desc_nulls_last, ("risk_score", "rules", "amount", "type", "nameDest")))
+    return alerts.withColumn("back", F.row_number().over(last)).where("back = 1").select(
         keys.alert_key(F.col("nameOrig"), F.col("ts")).alias("row_key"),
-        "row.rules", "row.risk_score", "ts", "nameOrig", "row.amount", "row.type", "row.nameDest",
+        "rules", "risk_score", "ts", "nameOrig", "amount", "type", "nameDest",
     )
 
 
@@ -71,7 +70,7 @@ def load_alert_fact(fired: DataFrame, loaded_at: Column | None = None) -> DataFr
         F.col("nameOrig").alias("card_id"),
         F.col("nameDest").alias("dest_id"),
         F.col("type").alias("transaction_type"),
-        F.col("amount").cast("decimal(18,2)").alias("amount"),
+        F.col("amount").try_cast("decimal(18,2)").alias("amount"),
         parsing.rule_text(F.col("rules_triggered")).alias("rules_triggered"),
         F.col("risk_score").cast("decimal(5,4)").alias("risk_score"),
         F.coalesce("isFraud", F.lit(0)).cast("tinyint").alias("is_fraud_label"),

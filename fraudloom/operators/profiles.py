@@ -74,7 +74,7 @@ def rolling_stats(featured: DataFrame) -> DataFrame:
         year_month(F.col("ingestion_timestamp_ms")).alias("year_month"),
     ).agg(
         F.max_by(last, F.struct("ingestion_timestamp_ms", "seq")).alias("last"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).alias("total"),
+        F.sum(F.col("amount").try_cast("decimal(18,2)")).alias("total"),
         F.count("amount").alias("n"),
     )
     return by_key.select(

@@ -7,7 +7,7 @@ fires.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom.functions.times import year_month
@@ -25,21 +25,49 @@ def _profile_columns(profiles: DataFrame) -> list[Column]:
     ]
 
 
+def _newest(table: DataFrame, key: list[str], versions: list[str]) -> DataFrame:
+    """One row per key, the one with the largest ``versions``; rows without a key are left out.
+
+    Tables may hold several versions of a row. The row-number filter becomes a
+    per-task top-1 before the exchange.
+    """
+    newest = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(c) for c in versions])
+    known = table.dropna(subset=key)
+    return known.withColumn("_back", F.row_number().over(newest)).where("_back = 1").drop("_back", "version_ts")
+
+
+def _version(table: DataFrame) -> Column:
+    """When a row was written (``version_ts``), null where a table does not say."""
+    stamp = F.col("version_ts") if "version_ts" in table.columns else F.lit(None).cast("timestamp")
+    return stamp.alias("version_ts")
+
+
+def listed_cards(blacklist: DataFrame) -> DataFrame:
+    """``nameOrig, is_active``: the newest row of each card, an active one among equals."""
+    rows = blacklist.select(F.col("card_id").alias("nameOrig"), "is_active", _version(blacklist))
+    return _newest(rows, ["nameOrig"], ["version_ts", "is_active"])
+
+
+def known_profiles(profiles: DataFrame) -> DataFrame:
+    """``nameOrig, _month`` and the profile fields: the newest row of each card and month."""
+    rows = profiles.select(
+        F.col("card_id").alias("nameOrig"), F.col("year_month").alias("_month"),
+        *_profile_columns(profiles), _version(profiles),
+    )
+    order = ["version_ts", "last_tx_ts", "credit_limit", "avg_amount", "last_city"]
+    return _newest(rows, ["nameOrig", "_month"], order)
+
+
 def blacklist_lookup(df: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Left join on the card. Spark broadcasts the list if its size allows."""
-    side = blacklist.select(F.col("card_id").alias("nameOrig"), "is_active")
-    return df.join(side, "nameOrig", "left")
+    return df.join(listed_cards(blacklist), "nameOrig", "left")
 
 
 def profile_lookup(df: DataFrame, profiles: DataFrame) -> DataFrame:
     """Left join on card and UTC month of the event."""
-    side = profiles.select(
-        F.col("card_id").alias("nameOrig"), F.col("year_month").alias("_month"),
-        *_profile_columns(profiles),
-    )
     return (
         df.withColumn("_month", year_month(F.col("ingestion_timestamp_ms")))
-        .join(side, ["nameOrig", "_month"], "left")
+        .join(known_profiles(profiles), ["nameOrig", "_month"], "left")
         .drop("_month")
     )
 
@@ -56,14 +84,11 @@ def card_reference(blacklist: DataFrame, profiles: DataFrame) -> DataFrame:
     the card alone it can share the exchange of the trailing window, which a
     join on (card, month) could not.
     """
-    fields = _profile_columns(profiles)
-    listed = blacklist.select(
-        F.col("card_id").alias("nameOrig"), F.col("is_active"), F.lit(None).alias("month")
-    )
-    monthly = profiles.select(
-        F.col("card_id").alias("nameOrig"),
+    listed = listed_cards(blacklist).select("nameOrig", "is_active", F.lit(None).alias("month"))
+    monthly = known_profiles(profiles).select(
+        "nameOrig",
         F.lit(None).cast("string").alias("is_active"),
-        F.struct(F.col("year_month"), F.struct(*fields)).alias("month"),
+        F.struct(F.col("_month"), F.struct(*PROFILE_FIELDS)).alias("month"),
     )
     return (
         listed.unionByName(monthly)

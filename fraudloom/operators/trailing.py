@@ -52,7 +52,7 @@ def _arrivals_and_exits(tx: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts:
     })
     if amounts:
         # decimal: a running sum that adds and subtracts doubles would drift
-        rows = rows.withColumn("_amount", sign * F.col("amount").cast("decimal(18,2)"))
+        rows = rows.withColumn("_amount", sign * F.col("amount").try_cast("decimal(18,2)"))
     slot = F.when(F.col("_hot"), F.expr(f"_pos div {cfg.slot_ms}")).otherwise(_WHOLE)
     return rows.withColumn("_slot", slot)
 
@@ -86,7 +86,7 @@ def trailing_features(
     window, where its results are computed once; above it they would be copied
     into every expression that uses them.
     """
-    hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows, cfg.max_hot_cards)
+    hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows)
     rows = _arrivals_and_exits(tx, hot, cfg, amounts)
     side = _opening_balances(rows, amounts)
     if reference is not None:

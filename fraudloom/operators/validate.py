@@ -30,7 +30,11 @@ def check(raw: DataFrame, ingested_ms: Column | None = None) -> DataFrame:
     known = F.col("parsed.type").isin(*config.TRANSACTION_TYPES)
     reason = F.when(~F.coalesce(known, F.lit(False)), "type")
     for name in schemas.RAW_CSV.names:
-        if name != "type":
+        if name == "amount":
+            # beyond the mart's range, infinite or not a number (which compares as largest)
+            fits = F.abs("parsed.amount") < config.AMOUNT_BELOW
+            reason = reason.when(~F.coalesce(fits, F.lit(False)), name)
+        elif name != "type":
             reason = reason.when(F.col(f"parsed.{name}").isNull(), name)
     return raw.withColumn("parsed", parsed).withColumn("reason", reason)
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from fraudloom import config
 from fraudloom.functions import dashboard as fn
 from fraudloom.functions import times
-from fraudloom.operators.skew import heavy_keys
 
 FEED_COLUMNS = (
     "Time", "Transaction_ID", "Card_Mask", "Amount", "Country", "Status", "Score", "Rule", "isFraud",
@@ -76,7 +75,7 @@ def _measures(condition: Column | None = None) -> dict[str, Column]:
 
     total = F.count(rows(F.lit(1)))
     fraud = F.count(rows(F.when(_is_fraud(), 1)))
-    blocked = F.when(F.col("Status") == "Blocked", F.col("Amount").cast("decimal(18,2)"))
+    blocked = F.when(F.col("Status") == "Blocked", F.col("Amount").try_cast("decimal(18,2)"))
     return {
         "total_transactions": total,
         "fraud_transactions": fraud,
@@ -163,31 +162,37 @@ def severity_counts(feed: DataFrame) -> DataFrame:
 
 
 def push_payloads(
-    feed: DataFrame, batch_size: int = config.PUSH_ROWS, flush_seconds: int = 1,
-    split_rows: int = 100_000,
+    feed: DataFrame, batch_size: int = config.PUSH_ROWS, flush_seconds: int = 1, id_digits: int = 2,
 ) -> DataFrame:
     """Feed rows packed into ``{"rows": [...]}`` texts of at most ``batch_size`` rows.
 
     A batch closes when it is full or when its flush interval ends. Rows are
-    numbered within their interval; an interval with more than ``split_rows``
-    rows is first split evenly by transaction id, so no task numbers more than
-    about that many, and every row still lands in exactly one payload.
+    numbered in the order of time, id, mask and amount within their interval. No
+    task sorts a whole interval: rows are counted per slot, which is a time stamp
+    and the first ``id_digits`` hex digits of the id, the counts are added up, and
+    a row's number is what earlier slots hold plus its place in its own slot. An
+    interval has at most 1,000 * 16^id_digits slots a second. The digits only
+    change the grain of the work, never the payloads. Rows without time share
+    the null interval.
     """
-    interval = F.expr(f"unix_seconds(to_timestamp(Time)) div {flush_seconds}")
-    rows = feed.withColumn("_interval", interval)
-    busy = heavy_keys(rows, ["_interval"], split_rows, 10_000)
-    spread = F.pmod(F.xxhash64("Transaction_ID", "Time"), F.ceil(F.col("n_rows") / split_rows))
-    placed = rows.join(F.broadcast(busy), "_interval", "left").withColumn(
-        "_part", F.coalesce(spread, F.lit(0))
-    )
-    order = Window.partitionBy("_interval", "_part").orderBy("Time", "Transaction_ID", "Card_Mask", "Amount")
-    batch = F.expr(f"(_row - 1) div {batch_size}")
+    never = F.lit(-(2**63))
+    slot = ["_interval", "_time", "_id"]
+    rows = feed.withColumns({
+        "_interval": F.coalesce(F.expr(f"unix_seconds(to_timestamp(Time)) div {flush_seconds}"), never),
+        "_time": F.coalesce("Time", F.lit("")),
+        "_id": F.substring(F.coalesce("Transaction_ID", F.lit("")), 1, len("TXN-") + id_digits),
+    })
+    earlier = Window.partitionBy("_interval").orderBy("_time", "_id").rowsBetween(Window.unboundedPreceding, -1)
+    held = rows.groupBy(*slot).agg(F.count(F.lit(1)).alias("_held"))
+    opening = held.select(*slot, F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    order = Window.partitionBy(*slot).orderBy("Transaction_ID", "Card_Mask", "Amount")
     return (
-        placed.withColumn("_row", F.row_number().over(order))
-        .groupBy("_interval", "_part", batch.alias("_batch"))
+        rows.join(opening, slot)
+        .withColumn("_row", F.col("_before") + F.row_number().over(order))
+        .groupBy("_interval", F.expr(f"(_row - 1) div {batch_size}").alias("_batch"))
         .agg(F.sort_array(F.collect_list(F.struct(*feed.columns))).alias("rows"))
         .select(
-            F.col("_interval").alias("flush_interval"),
+            F.nullif("_interval", never).alias("flush_interval"),
             F.to_json(F.struct("rows")).alias("payload_json"),
             F.size("rows").alias("n_rows"),
         )

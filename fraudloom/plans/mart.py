@@ -79,7 +79,7 @@ def hourly_summary(
     join sees one row per hour and type. (hour, type) determines the key, so a
     repeated run replaces rows instead of adding some.
     """
-    amount = F.col("amount").cast("decimal(18,2)")
+    amount = F.col("amount").try_cast("decimal(18,2)")
     fraud = F.col("isFraud") == 1
     hour = F.date_trunc("hour", times.event_time(F.col("ingestion_timestamp_ms")))
     traffic = tx.groupBy(hour.alias("summary_hour"), F.col("type").alias("transaction_type")).agg(

@@ -112,7 +112,7 @@ def hourly_rollup(tx: DataFrame, lateness: str = LATENESS) -> DataFrame:
     the watermark closes it; in update mode it appears at once and is replaced
     by key.
     """
-    amount = F.col("amount").cast("decimal(18,2)")
+    amount = F.col("amount").try_cast("decimal(18,2)")
     fraud = F.col("isFraud") == 1
     return (
         with_event_time(tx, lateness)

@@ -37,11 +37,18 @@ def test_payload_sizes(spark, tx_of, n, sizes):
 
 def test_payloads_of_a_busy_interval_hold_every_row_once(spark, tx_of):
     feed = dashboard.enrich(tx_of(*[("C1", T0, i, 1) for i in range(500)]))
-    got = dashboard.push_payloads(feed, split_rows=50).collect()
+    got = dashboard.push_payloads(feed, id_digits=1).collect()
+    assert sorted(got) == sorted(dashboard.push_payloads(feed, id_digits=0).collect())
     assert sum(r.n_rows for r in got) == 500 and max(r.n_rows for r in got) <= 20
     assert sum(r.payload_json.count('"Transaction_ID"') for r in got) == 500
 
 
+def test_rows_without_time_are_sent(spark, tx_of):
+    feed = dashboard.enrich(tx_of(*[("C1", T0, i, 1) for i in range(30)])).withColumn("Time", F.lit(None).cast("string"))
+    got = dashboard.push_payloads(feed).collect()
+    assert sorted((r.flush_interval, r.n_rows) for r in got) == [(None, 10), (None, 20)]
+
+
 def test_severity_borders(spark):
     df = spark.createDataFrame([(0.95,), (0.85,), (0.5,), (0.49,)], "s double")
     assert [r[0] for r in df.select(fn.severity(F.col("s"))).collect()] == ["Critical", "High", "Medium", "Low"]

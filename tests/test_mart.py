@@ -106,6 +106,19 @@ def test_upsert_keeps_the_last_arrival(spark, tx_of):
     assert [r.amount for r in got] == [2.0]
 
 
+def test_upsert_keeps_alerts_without_arrival_number(spark, tx_of):
+    fired = tx_of(("C1", 5, 1, 1.0), ("C1", 5, 2, 2.0)).withColumns({
+        "seq": F.lit(None).cast("bigint"), "rules_triggered": F.array(F.lit("R1_BLACKLIST")), "risk_score": F.lit(1.0)})
+    got = alerts.upsert_alerts(fired).collect()
+    assert [(r.amount, r.rules) for r in got] == [(2.0, "R1_BLACKLIST")]
+
+
+def test_amounts_beyond_the_mart_become_null(spark, tx_of):
+    fired = tx_of(("C1", 5, 1, 1e17)).withColumns(
+        {"rules_triggered": F.array(F.lit("R1_BLACKLIST")), "risk_score": F.lit(1.0)})
+    assert [r.amount for r in alerts.load_alert_fact(fired).collect()] == [None]
+
+
 def test_write_back_leaves_rule_inputs_alone(spark, tx_of):
     scored = tx_of(("C1", 1_704_067_200_000, 1, 5.0), ("C2", 1_704_067_200_000, 2, 7.0)).withColumns(
         {"risk_score": F.lit(0.9), "flagged": F.lit(True)})

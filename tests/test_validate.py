@@ -26,7 +26,10 @@ def altered(**changes):
     (altered(amount="1e3"), None),
     (altered(amount="5d"), "amount"),
     (altered(amount="0x10p1"), "amount"),
-    (altered(amount="-inf"), None),
+    (altered(amount="-inf"), "amount"),
+    (altered(amount="nan"), "amount"),
+    (altered(amount="1e17"), "amount"),
+    (altered(amount="9999999999999998"), None),
     (altered(step="1.0"), "step"),
     (altered(step=" 7 "), None),
     (altered(nameDest=None), "nameDest"),

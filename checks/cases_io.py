@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import case
-from checks.sqltext import sql, text
+from checks.sqltext import WINDOW_MS, sql, text
 from fraudloom import schemas
 from fraudloom.functions.times import instant
 from fraudloom.operators import validate
+from fraudloom.operators.alerts import load_alert_fact
 from fraudloom.operators.trailing import trailing_features
 from fraudloom.plans import dashboard
+from fraudloom.plans.mart import read_fact
+from fraudloom.plans.scoring import fired
 from fraudloom.session import work_dir
-from fraudloom.sources import archive, backup, csv, topics
+from fraudloom.sources import archive, backup, csv, ingest, topics
 from fraudloom.streaming import jobs, sinks
 
 _ROUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
@@ -84,16 +87,72 @@ def _rollup(spark, sf):
 _TX = "select step, type, amount, nameOrig, nameDest, isFraud, isFlaggedFraud from tx"
 
 
-@case("s1_csv_scan", sql("tx", _TX))
-def _(spark, sf):
+def _csv(spark, sf):
     def build(folder):
         raw = fx.transactions(spark, sf).drop("ingestion_timestamp_ms", "seq")
         raw.withColumn("unused", F.lit("extra")).write.option("header", True).csv(folder)
-    folder = _once(spark, sf, "csv", build)
-    rows = validate.valid(validate.check(csv.read_csv(spark, folder)))
+    return _once(spark, sf, "csv", build)
+
+
+@case("s1_csv_scan", sql("tx", _TX))
+def _(spark, sf):
+    rows = validate.valid(validate.check(csv.read_csv(spark, _csv(spark, sf))))
     return rows.select("step", "type", "amount", "nameOrig", "nameDest", "isFraud", "isFlaggedFraud")
 
 
+def _replayed(spark, sf):
+    """CSV files, validated and published, scored as a stream, loaded into the mart."""
+    def build(base):
+        sent = ingest.publish_csv(spark, _csv(spark, sf), f"{base}/source", instant("2024-01-01 00:00:00"))
+        spark.createDataFrame([sent], "sent bigint, skipped bigint").write.parquet(f"{base}/counters")
+        drain(jobs.score_stream(
+            spark, _incoming(spark, f"{base}/source"), base,
+            lambda: fx.blacklist(spark, sf), lambda: fx.profiles(spark, sf), fx.FIXTURE,
+            lambda alerts, batch_id: topics.send(alerts, f"{base}/alert_messages", "text")))
+        jobs.load_alerts(spark, base, f"{base}/fact")
+    return _once(spark, sf, "replayed", build)
+
+
+@case("s1_csv_to_alerts", sql("scored", f"""
+select {text("event_ts")} as alert_ts, cast(strftime(event_ts, '%Y%m%d') as bigint) as date_key,
+  nameOrig as card_id, nameDest as dest_id, type as transaction_type, amount, rules as rules_triggered,
+  score_e4 / 10000.0 as risk_score, isFraud as is_fraud_label, isFlaggedFraud as is_flagged_fraud,
+  'PENDING' as review_status from fired""", replayed=True))
+def _(spark, sf):
+    """The whole chain: every row of the mart's fact, but for the number given on arrival."""
+    fact = read_fact(spark, f"{_replayed(spark, sf)}/fact", schemas.FRAUD_ALERTS)
+    return fact.drop("alert_id", "reviewed_by", "reviewed_at", "created_at")
+
+
+@case("s1_csv_alert_ids", sql("scored", """
+select (select count(*) from tx) as sent, 0 as skipped, count(*) as alerts, count(*) as ids from fired""",
+    replayed=True))
+def _(spark, sf):
+    """Ingest counters, and as many different alert ids as alerts."""
+    base = _replayed(spark, sf)
+    fact = read_fact(spark, f"{base}/fact", schemas.FRAUD_ALERTS)
+    ids = fact.agg(F.count(F.lit(1)).alias("alerts"), F.countDistinct("alert_id").alias("ids"))
+    return spark.read.parquet(f"{base}/counters").crossJoin(ids)  # one row each
+
+
+@case("s7_alert_messages", sql("scored", """
+select nameOrig as card_id, amount, type, rules as rules_triggered, score_e4 / 10000.0 as risk_score,
+  isFraud as is_fraud_label, ingestion_timestamp_ms as alert_ts_ms from fired""", replayed=True))
+def _(spark, sf):
+    """Alerts as the scoring stream sent them to a topic."""
+    sent = spark.read.text(f"{_replayed(spark, sf)}/alert_messages")
+    return sent.select(F.from_json("value", schemas.ALERT).alias("alert")).select("alert.*")
+
+
+@case("s5_partitioned_event_numbers", sql("scored", """
+select (seq % 4) * 281474976710656 + seq // 4 as alert_id, nameOrig as card_id, nameDest as dest_id from fired"""))
+def _(spark, sf):
+    """Alert facts of messages from four partitions whose offsets are equal."""
+    number = topics.event_number(F.col("seq") % 4, F.expr("seq div 4"))
+    fact = load_alert_fact(fired(fx.scored(spark, sf)).withColumn("seq", number))
+    return fact.select("alert_id", "card_id", "dest_id")
+
+
 @case("s4_keyed_publish", sql("tx", """
 select seq, nameOrig as card_key, 0 as magic, 1 as schema_id from tx"""))
 def _(spark, sf):
@@ -264,6 +323,19 @@ def _(spark, sf):
     return source.exceptAll(restored).unionByName(restored.exceptAll(source))
 
 
+@case("s17_restore_all_tables", sql("bl", 'select card_id as "table", 0 as differing from bl where false'))
+def _(spark, sf):
+    """Tables with rows that differ between source and restored copy, over all columns: none."""
+    base, differing = _backup(spark, sf), []
+    for table, source in _sources(spark, sf).items():
+        stored = spark.read.schema(schemas.BACKUP).parquet(backup.backup_path(base, "2024-01-31", table))
+        restored = backup.restore(table, stored, source.schema).select(*source.columns)
+        lost = source.exceptAll(restored).unionByName(restored.exceptAll(source))
+        differing.append(lost.select(F.lit(table).alias("table")))
+    first, second, third = differing
+    return first.unionAll(second).unionAll(third).groupBy("table").agg(F.count(F.lit(1)).alias("differing"))
+
+
 @case("s18_backup_retention", sql("tx", """
 select strftime(event_ts, '%Y-%m-%d') as backup_date, type as "table", count(*) as rows from tx
 where cast(event_ts as date) < date '2024-04-15' - interval 90 day group by 1, 2"""))
@@ -291,12 +363,54 @@ def _(spark, sf):
     return stream.exceptAll(batch).unionByName(batch.exceptAll(stream)).select("seq")
 
 
-@case("x3_late_events", sql("tx", "select count(*) as events, 0 as late from tx"))
+def _late_scoring(spark, sf):
+    """Scoring in three rounds, of which the second brings a fifth of the first one's events."""
+    def build(base):
+        source = f"{base}/source"
+        first, second, third = _rounds(spark, sf)
+        held = F.col("seq") % 5 == 0
+        for piece in (first.where(~held), second.unionByName(first.where(held)), third):
+            topics.publishable(piece).write.mode("append").parquet(source)
+            drain(jobs.score_stream(
+                spark, _incoming(spark, source), base,
+                lambda: fx.blacklist(spark, sf), lambda: fx.profiles(spark, sf), fx.FIXTURE))
+    return _once(spark, sf, "late", build)
+
+
+_LATE = f""", arriving as (
+  select seq, nameOrig, ingestion_timestamp_ms as ms, large,
+    case when event_ts >= timestamp '2024-01-21' then 3 when event_ts >= timestamp '2024-01-11' then 2
+      when seq % 5 = 0 then 2 else 1 end as piece from tx
+), seen as (
+  select e.seq, e.ms, e.piece, max(p.ms) as newest_before
+  from arriving e left join arriving p on p.nameOrig = e.nameOrig and p.piece < e.piece group by all
+), late as (
+  select seq, coalesce(ms + 10000 < newest_before, false) as is_late,
+    greatest(ms, coalesce(newest_before, 0)) - {WINDOW_MS} as kept_from from seen
+), counts as (
+  select e.seq, cast(l.is_late as bigint) as is_late, count(*) as n_window,
+    cast(sum(p.large) as bigint) as hv_window
+  from arriving e join late l on l.seq = e.seq join arriving p on p.nameOrig = e.nameOrig
+    and ((p.piece < e.piece and p.ms >= l.kept_from)
+      or (p.piece = e.piece and p.ms >= e.ms - {WINDOW_MS} and (p.ms, p.seq) <= (e.ms, e.seq)))
+  group by all
+)"""
+
+
+@case("x3_late_events", sql("tx", f"""{_LATE}
+select count(*) as events, cast(sum(is_late) as bigint) as late from counts"""))
 def _(spark, sf):
-    features = sinks.read_batches(spark, _scoring(spark, sf), "features")
+    features = sinks.read_batches(spark, _late_scoring(spark, sf), "features")
     return features.agg(F.count(F.lit(1)).alias("events"), F.count_if("is_late").alias("late"))
 
 
+@case("x3_late_windows", sql("tx", f"{_LATE} select seq, is_late, n_window, hv_window from counts"))
+def _(spark, sf):
+    """Late events are judged against what earlier rounds left, newer events included."""
+    return sinks.read_batches(spark, _late_scoring(spark, sf), "features").select(
+        "seq", "is_late", "n_window", "hv_window")
+
+
 @case("x9_stored_alerts", sql("scored", """
 select nameOrig, ingestion_timestamp_ms as ts, rules, score_e4 / 10000.0 as risk_score, amount from fired"""))
 def _(spark, sf):
@@ -368,16 +482,17 @@ def _(spark, sf):
 select count(*) as closed_hours from (
   select distinct date_trunc('hour', event_ts) as h, type from tx
   where date_trunc('hour', event_ts) + interval 1 hour <=
-    (select max(event_ts) from tx where event_ts < timestamp '2024-01-11') - interval 10 second)"""))
+    (select max(event_ts) from tx where event_ts < timestamp '2024-01-21') - interval 10 second)"""))
 def _(spark, sf):
     """Append mode: an hour appears once the watermark has passed its end.
 
-    The watermark of a round takes effect with the next one: after two rounds,
-    what is closed is all that ended 10 seconds before the newest event of the first.
+    The watermark of a round takes effect with the next one: after all rounds,
+    what is closed is all that ended 10 seconds before the newest event of the
+    last but one.
     """
     def build(base):
         source = f"{base}/source"
-        for piece in _rounds(spark, sf)[:2]:
+        for piece in _rounds(spark, sf):
             topics.publishable(piece).write.mode("append").parquet(source)
             drain(jobs.hourly_rollup(_incoming(spark, source)).writeStream.format("parquet")
                   .option("path", f"{base}/hours").option("checkpointLocation", f"{base}/checkpoint")

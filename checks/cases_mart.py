@@ -109,6 +109,24 @@ def _(spark, sf):
     return mart.date_orphans(alerts, dates.where("date_key <= 20240115")).select("alert_id", "date_key")
 
 
+@case("j9_date_orphans_all_facts", sql("fa ts metrics runs", """, keys as (
+  select 'fraud_alerts' as fact, date_key from fa
+  union all select 'transaction_summaries', date_key from ts
+  union all select 'pipeline_health_metrics', cast(strftime(recorded_at, '%Y%m%d') as bigint) from metrics
+  union all select 'pipeline_events', cast(strftime(event_ts, '%Y%m%d') as bigint) from runs
+    where coalesce(job_state, '') not in ('RUNNING', 'FINISHED')
+) select fact, date_key, count(*) as orphans from keys where date_key > 20240115 group by 1, 2"""))
+def _(spark, sf):
+    """Orphans of every fact against a calendar that ends in the middle of the month."""
+    names = ("fraud_alerts", "transaction_summaries", "pipeline_health_metrics", "pipeline_events")
+    *facts, dates = _tables(spark, sf, *names, "dim_date")
+    known = dates.where("date_key <= 20240115")
+    found = [mart.date_orphans(f, known).select(F.lit(n).alias("fact"), "date_key") for n, f in zip(names, facts)]
+    alerts, hours, metrics, jobs = found
+    return alerts.unionAll(hours).unionAll(metrics).unionAll(jobs).groupBy("fact", "date_key").agg(
+        F.count(F.lit(1)).alias("orphans"))
+
+
 # ---- filters --------------------------------------------------------------------
 @case("p4_same_day", sql("fa", f"""
 select alert_id, card_id from fa where cast(alert_ts as date) = cast({NOON} as date)"""))

@@ -24,6 +24,10 @@ def hashed(value: str, first: int) -> str:
     return f"cast('0x' || substr(md5({value}), {first}, 8) as bigint)"
 
 
+# The time stamp that replaying a CSV row gives: its hour, and a place in it by md5.
+_PAIR = "nameOrig || ':' || nameDest"
+_REPLAYED = f"1704067200000 + (step - 1) * 3600000 + {hashed(_PAIR, 1)} % 3600000"
+
 _TX = """tx as (
   select *, cast(round(amount * 100) as bigint) as cents,
     make_timestamp(ingestion_timestamp_ms * 1000) as event_ts,
@@ -41,6 +45,8 @@ _TX = """tx as (
       cast(event_type = 'purchase' and value > 200 as bigint) as isFlaggedFraud
     from events)
 )"""
+_TX_REPLAYED = _TX.replace("  from (\n", f"""  from (select * replace ({_REPLAYED} as ingestion_timestamp_ms) from (
+""", 1).replace("    from events)\n)", "    from events))\n)")
 
 _PROF = """prof as (
   select distinct 'C' || user_id as card_id, '202401' as year_month,
@@ -184,8 +190,13 @@ _NEEDS = {
 }
 
 
-def sql(tables: str, body: str, window_ms: int | None = None, geo_ms: int | None = None) -> str:
-    """``body`` with the named tables (and what they are built from) in front."""
+def sql(
+    tables: str, body: str, window_ms: int | None = None, geo_ms: int | None = None, replayed: bool = False
+) -> str:
+    """``body`` with the named tables (and what they are built from) in front.
+
+    ``replayed``: transactions carry the time stamps that a replay of CSV rows gives.
+    """
     order: list[str] = []
 
     def add(name: str) -> None:
@@ -197,6 +208,8 @@ def sql(tables: str, body: str, window_ms: int | None = None, geo_ms: int | None
     for name in tables.split():
         add(name)
     bodies = dict(_BODY)
+    if replayed:
+        bodies["tx"] = _TX_REPLAYED
     if window_ms is not None:
         bodies["feat"] = _feat(window_ms)
     if geo_ms is not None:

@@ -99,8 +99,9 @@ def trailing_features(
     # before the exchange.
     carried = [c for c in tx.columns if c not in (_CARD, _TS, "seq")]
     work = ["_arrives", "_pos", "_one", "_large", "_arrived"] + (["_amount"] if amounts else [])
+    numbered = F.coalesce(F.col("seq"), F.raise_error(F.lit("an event without seq has no place in the order")))
     narrow = rows.select(
-        _CARD, "_slot", _TS, "seq", *work,
+        _CARD, "_slot", _TS, numbered.alias("seq"), *work,
         *[F.when(F.col("_arrives") == 1, F.col(c)).alias(c) for c in carried],
     )
     order = Window.partitionBy(_CARD, "_slot").orderBy("_pos", "_arrives", "seq")

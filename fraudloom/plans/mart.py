@@ -171,7 +171,7 @@ def register_views(tables: dict[str, DataFrame]) -> None:
 # ---- integrity ------------------------------------------------------------------
 def date_orphans(facts: DataFrame, dates: DataFrame) -> DataFrame:
     """Fact rows whose date_key has no row in the date dimension."""
-    return facts.join(F.broadcast(dates.select("date_key")), "date_key", "left_anti")
+    return facts.join(dates.select("date_key"), "date_key", "left_anti")
 
 
 # ---- storage --------------------------------------------------------------------

@@ -135,9 +135,10 @@ def restore(table: str, backup: DataFrame, schema: StructType) -> DataFrame:
     }
     if table == "user_profiles":
         typed["year_month"] = F.substring("row_key", -6, 6)
-        stored = cells.cell(columns, "geo:last_tx_ts")
-        unreadable = stored.isNotNull() & typed["last_tx_ts"].isNull()
-        typed["last_city"] = F.when(~unreadable, typed["last_city"])
+        if "last_city" in typed:
+            stored = cells.cell(columns, "geo:last_tx_ts")
+            unreadable = stored.isNotNull() & cells.cell(columns, "geo:last_tx_ts", "bigint").isNull()
+            typed["last_city"] = F.when(~unreadable, typed["last_city"])
     return backup.select(*[typed[f.name].alias(f.name) for f in schema.fields if f.name in typed])
 
 

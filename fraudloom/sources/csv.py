@@ -13,10 +13,13 @@ _OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, found by their header name; further columns are ignored.
 
-    Without type inference Spark reads nothing but the header line up front. A
-    column that the file lacks comes back null and fails validation.
+    Without type inference Spark reads nothing but one header line up front. A
+    column that the files lack comes back null and fails validation. The second
+    reader holds every file's own header against the first one found: a file
+    with its columns in another order fails the read instead of being misread.
     """
-    found = spark.read.options(**_OPTIONS).csv(path)
+    header = spark.read.options(**_OPTIONS).csv(path).schema
+    found = spark.read.schema(header).options(**_OPTIONS, enforceSchema="false").csv(path)
     return found.select(*[
         F.col(f"`{c}`") if c in found.columns else F.lit(None).cast("string").alias(c)
         for c in schemas.RAW_CSV.names

@@ -80,6 +80,15 @@ def readable(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("tx").isNotNull()).select("tx.*", *extra)
 
 
+def event_number(partition: Column, offset: Column) -> Column:
+    """One number for a message: offsets repeat between partitions, this does not.
+
+    It rises with the offset, which orders the events of a card: they share one
+    partition. There is room for 32,768 partitions of 2^48 messages.
+    """
+    return F.shiftleft(partition.cast("bigint"), 48) + offset.cast("bigint")
+
+
 def read_topic(
     spark: SparkSession, path_or_topic: str, start: str = "latest",
     fmt: str = "parquet", servers: str | None = None, schema=None, **options: str,
@@ -98,12 +107,25 @@ def read_topic(
             .option("startingOffsets", start)
             .options(**options).load()
         )
-        # the offset orders the events of a card: they share one partition
-        return raw.select("key", "value", F.col("offset").alias("seq"))
+        return raw.select("key", "value", event_number(F.col("partition"), F.col("offset")).alias("seq"))
     schema = schema or "key binary, value binary, seq bigint"
     return spark.readStream.schema(schema).options(**options).format(fmt).load(path_or_topic)
 
 
+def send(
+    messages: DataFrame, path_or_topic: str, fmt: str = "parquet", servers: str | None = None,
+) -> None:
+    """Append a finite set of messages, such as a load or a micro-batch of alerts."""
+    if fmt == "kafka":
+        (
+            messages.select(*[c for c in ("key", "value") if c in messages.columns])
+            .write.format("kafka").option("kafka.bootstrap.servers", servers)
+            .option("topic", path_or_topic).options(**PRODUCER_OPTIONS).save()
+        )
+    else:
+        messages.write.mode("append").format(fmt).save(path_or_topic)
+
+
 def write_topic(
     messages: DataFrame, path_or_topic: str, checkpoint: str,
     fmt: str = "parquet", servers: str | None = None,

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fraudloom.config import RuleConfig
 from fraudloom.functions import times
-from fraudloom.operators.alerts import alert_payload, as_json, upsert_alerts
+from fraudloom.operators.alerts import alert_payload, as_json, load_alert_fact, upsert_alerts
 from fraudloom.operators.profiles import latest_activity, merge_profiles
 from fraudloom.operators.reference import attach_reference
 from fraudloom.operators.rules import evaluate
 from fraudloom.plans.dashboard import enrich, push_payloads
-from fraudloom.plans.mart import finish_summary
+from fraudloom.plans.mart import finish_summary, write_fact
 from fraudloom.plans.scoring import fired
 from fraudloom.streaming.features import stream_features
 from fraudloom.streaming.sinks import PAUSES, deliver, latest_by_key, read_batches, write_batch
@@ -25,6 +26,7 @@ TRIGGER = "30 seconds"
 LATENESS = "10 seconds"
 
 Snapshot = Callable[[], DataFrame]
+Publish = Callable[[DataFrame, int], None]
 
 
 def with_event_time(tx: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -36,10 +38,14 @@ def with_event_time(tx: DataFrame, lateness: str = LATENESS) -> DataFrame:
 # ---- scoring ----------------------------------------------------------------------
 def score_batch(
     spark: SparkSession, featured: DataFrame, batch_id: int, base: str,
-    blacklist: Snapshot, profiles: Snapshot, cfg: RuleConfig,
+    blacklist: Snapshot, profiles: Snapshot, cfg: RuleConfig, publish: Publish | None = None,
 ) -> None:
     """One micro-batch: features in; scored rows, alerts and profile activity out.
 
+    ``publish`` takes the JSON alerts of the batch and its number, for instance
+    to ``topics.send`` them; a replayed batch is published again. Without it
+    they go to text folders, which a replay overwrites.
+
     The features are written before anything else reads them. That evaluates the
     stateful operator once, survives the loss of executors, and tells Spark the
     size of the batch, from which it decides whether the batch's keys can be
@@ -57,7 +63,11 @@ def score_batch(
 
     scored = stored(evaluate(attach_reference(rows, listed, known), cfg), "scored")
     alerts = fired(scored)
-    write_batch(as_json(alert_payload(alerts)), base, "alert_topic", batch_id, "text")
+    messages = as_json(alert_payload(alerts))
+    if publish is None:
+        write_batch(messages, base, "alert_topic", batch_id, "text")
+    else:
+        publish(messages, batch_id)
     write_batch(upsert_alerts(alerts), base, "alerts", batch_id)
     write_batch(latest_activity(scored), base, "activity", batch_id)
 
@@ -65,6 +75,7 @@ def score_batch(
 def score_stream(
     spark: SparkSession, tx: DataFrame, base: str,
     blacklist: Snapshot, profiles: Snapshot, cfg: RuleConfig = RuleConfig(),
+    publish: Publish | None = None,
 ) -> DataStreamWriter:
     """Writer of the scoring job; its checkpoint lives below ``base``.
 
@@ -72,7 +83,7 @@ def score_stream(
     blacklist takes effect with the next batch.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        score_batch(spark, batch, batch_id, base, blacklist, profiles, cfg)
+        score_batch(spark, batch, batch_id, base, blacklist, profiles, cfg, publish)
 
     return (
         stream_features(tx, cfg).writeStream.foreachBatch(run)
@@ -86,6 +97,24 @@ def stored_alerts(spark: SparkSession, base: str) -> DataFrame:
     return latest_by_key(read_batches(spark, base, "alerts"), ["row_key"])
 
 
+def load_alerts(
+    spark: SparkSession, base: str, path: str,
+    since: datetime | None = None, until: datetime | None = None, loaded_at: Column | None = None,
+) -> None:
+    """Mart facts of what the scoring job stored, one row per alert.
+
+    ``since`` and ``until`` (exclusive) are days: days within are replaced by all
+    their alerts, so a load can be repeated. They bound the time stamps that are
+    read from the batch files.
+    """
+    scored = read_batches(spark, base, "scored")
+    for day, late in ((since, False), (until, True)):
+        if day is not None:
+            edge, ts = int(day.timestamp() * 1000), F.col("ingestion_timestamp_ms")
+            scored = scored.where(ts < edge if late else ts >= edge)
+    write_fact(load_alert_fact(fired(scored), loaded_at), path)
+
+
 def compact_profiles(spark: SparkSession, base: str, profiles: DataFrame) -> DataFrame:
     """The profile snapshot after all activity the scoring job has stored.
 

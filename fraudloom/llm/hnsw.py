@@ -5,8 +5,11 @@ which near vectors are neighbours, built in blocks with numpy and written to the
 shared folder. Every block of vectors then asks every shard: the search goes down
 the layers and keeps a beam of the best vectors seen. Two things widen it. An
 audit on a fixed random set of questions compares each shard's answers with a
-full scan and doubles the shard's beam until it finds ``recall`` of the links.
-And a question whose whole beam links is asked again with a doubled beam, or
+full scan and doubles the shard's beam until questions find on average ``recall``
+of their links to other vectors, judged apart by number of links (1, 2 to 3, 4 to
+7, ...), so that neither large groups nor a question's match with itself hide
+what isolated pairs lose. If few questions have few links, made ones that link
+with a vector of the shard are judged too. And a question whose whole beam links is asked again with a doubled beam, or
 answered by a scan if the beam would hold much of the shard. Links are verified
 by cosine in double precision. A task returns link counts and a spanning forest
 of its links, not the pairs; components are joined over all tasks.
@@ -37,6 +40,7 @@ from fraudloom.session import work_dir
 SHARD_ROWS = 250_000
 MIN_SHARDS = 8
 AUDIT_ROWS = 2_048
+AUDIT_LINKED = 100  # questions with few links that are enough to tell a recall of 0.99
 _BLOCK = 256
 
 
@@ -231,12 +235,50 @@ class Shard:
                 yield waiting[rows[sure]], nodes[sure]
                 waiting, wide = waiting[full], wide * 2
 
-    def audited_beam(self, questions: np.ndarray, least: float, recall: float, beam: int = 16) -> int:
-        """The smallest doubling of ``beam`` that finds ``recall`` of the links of ``questions``."""
-        true = sum(len(rows) for rows, _ in self.scan(questions, least))
+    def _counts(self, answers: Iterator[tuple[np.ndarray, np.ndarray]], asked: int, own: np.ndarray | None) -> np.ndarray:
+        """Number of distinct nodes that each of ``asked`` questions got, without the one of its own key."""
+        counts = np.zeros(asked, np.int64)
+        for rows, nodes in answers:
+            rows, nodes = np.divmod(np.unique(rows * len(self.unit) + nodes), len(self.unit))
+            if own is not None:
+                rows = rows[self.keys[nodes] != own[rows]]
+            counts += np.bincount(rows, minlength=asked)
+        return counts
+
+    def made_questions(self, least: float, most: int = 256) -> np.ndarray:
+        """Vectors whose cosine with a random node lies between ``least`` and 1."""
+        rnd = np.random.default_rng(3)
+        x = self.unit[rnd.choice(len(self.unit), min(most, len(self.unit)), replace=False)]
+        aside = rnd.normal(size=x.shape)
+        aside -= (aside * x).sum(axis=1, keepdims=True) * x
+        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-12)
+        cosine = least + (1 - least) * rnd.uniform(1e-6, 1, (len(x), 1))
+        made = cosine * x + np.sqrt(np.maximum(0, 1 - cosine * cosine)) * aside
+        return made / np.linalg.norm(made, axis=1, keepdims=True)
+
+    def recalls(self, questions: np.ndarray, own: np.ndarray | None, true: np.ndarray, least: float, beam: int) -> np.ndarray:
+        """Mean share of a question's links that is found, for each class of number of links in ``true``."""
+        some = np.flatnonzero(true)
+        found = self._counts(
+            self.links(questions[some], least, beam), len(some), None if own is None else own[some])
+        classes = np.log2(true[some]).astype(np.int64)
+        held = np.bincount(classes)
+        return np.bincount(classes, weights=found / true[some])[held > 0] / held[held > 0]
+
+    def audited_beam(self, questions: np.ndarray, least: float, recall: float, beam: int = 16,
+                     own: np.ndarray | None = None) -> int:
+        """The smallest doubling of ``beam`` that finds ``recall`` of the links of ``questions`` in each class.
+
+        ``own`` has the keys of the questions: matches with themselves do not count.
+        """
+        sets = [(questions, own)]
+        true = [self._counts(self.scan(questions, least), len(questions), own)]
+        if ((true[0] > 0) & (true[0] < beam)).sum() < AUDIT_LINKED:
+            made = self.made_questions(least)
+            sets.append((made, None))
+            true.append(self._counts(self.scan(made, least), len(made), None))
         while beam * 8 < len(self.unit):
-            found = sum(len(rows) for rows, _ in self.links(questions, least, beam))
-            if found >= recall * true:
+            if all((self.recalls(*asked, held, least, beam) >= recall).all() for asked, held in zip(sets, true)):
                 break
             beam *= 2
         return beam
@@ -276,15 +318,16 @@ def build_shards(entries: DataFrame, total: int, least: float, recall: float) ->
     shards = max(MIN_SHARDS, math.ceil(total / SHARD_ROWS))
     folder = work_dir(spark, "graphs")
     some = entries.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(max(1, total // AUDIT_ROWS))) == 0)
-    audit = spark.sparkContext.broadcast([(r.dim, bytes(r.unit)) for r in some.select("dim", "unit").collect()])
+    audit = spark.sparkContext.broadcast([(r.dim, bytes(r.unit), bytes(r.key)) for r in some.select("dim", "unit", "key").collect()])
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         dim, number = int(group["dim"].iloc[0]), int(group["shard"].iloc[0])
         group = group.sort_values("key")
         keys = np.frombuffer(b"".join(group["key"]), "V16")
         shard = Shard(keys, group["copies"].to_numpy(np.int64), _matrix(group["unit"], dim))
-        asked = [unit for d, unit in audit.value if d == dim]
-        beam = shard.audited_beam(_matrix(asked, dim), least, recall) if asked else 64
+        asked = [(unit, key) for d, unit, key in audit.value if d == dim]
+        own = np.frombuffer(b"".join(key for _, key in asked), "V16")
+        beam = shard.audited_beam(_matrix([unit for unit, _ in asked], dim), least, recall, own=own)
         path = f"{folder}/{dim}-{number:05d}.npz"
         shard.save(path)
         return pd.DataFrame({"path": [path], "dim": [dim], "beam": [beam]})

@@ -71,6 +71,28 @@ def test_graph_recall():
     assert found >= 0.99 * (x[::20] @ x.T >= 0.95).sum()
 
 
+@pytest.mark.parametrize("group", [0, 200])
+def test_audit_sees_lost_pairs_beside_self_matches_and_a_large_group(group):
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(400, 32))
+    x = np.concatenate([x, x[:3] + 0.01 * rnd.normal(size=(3, 32)), x[-1] + 0.01 * rnd.normal(size=(group, 32))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    keys, crowd = np.arange(len(x)), np.arange(len(x)) >= 403
+
+    class Narrow(hnsw.Shard):
+        """Beams below 32 find matches with oneself and the group only."""
+
+        def links(self, questions, least, beam):
+            for rows, nodes in self.scan(questions, least):
+                same = (questions[rows] * self.unit[nodes]).sum(axis=1) > 1 - 1e-12
+                found = same | crowd[nodes] | (beam >= 32)
+                yield rows[found], nodes[found]
+
+    shard = Narrow(keys, np.ones(len(x), int), x)
+    assert shard.audited_beam(x, 0.95, 0.99, own=keys) == 32
+    assert shard.audited_beam(x[10:20], 0.95, 0.99, own=keys[10:20]) == 32  # no links of their own
+
+
 def test_licenses(docs, pairs):
     found = licenses.scan_licenses(docs)
     columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")

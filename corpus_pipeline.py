@@ -7,7 +7,7 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudloom.llm import linededup, mixing, quality_rules, simhash
@@ -30,13 +30,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group (one row of it)."""
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("first_id")).distinct()
-    rows = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return rows.withColumn("row", one).where("row = 1").select(*COLUMNS)
+    """One row of each near-duplicate group: of its smallest doc_id (null last), any text of that doc_id in the group."""
+    # 128 bits of the whole row, nulls told from empty values.
+    told = [*(F.col(c).isNull() for c in COLUMNS), *COLUMNS]
+    rows = docs.select(*COLUMNS).withColumns({"h1": F.xxhash64(*told), "h2": F.xxhash64(F.lit(1), *told)})
+    found = simhash.near_duplicates(rows, keys=("h1", "h2"))
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2"))
+    first = found.groupBy("component").agg(smallest.alias("row")).select("row.h1", "row.h2")
+    # Rows equal in all columns are still there: combined in the tasks.
+    return rows.join(first, ["h1", "h2"], "left_semi").select(*COLUMNS).distinct()
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

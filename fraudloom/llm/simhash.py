@@ -63,14 +63,18 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed number) of every row."""
+def fingerprints(docs: DataFrame, width: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``fp`` (the 64 bits as a signed number) and ``keys`` (bigint columns) of every row."""
+    names = ["doc_id", "fp", *keys]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             made = [_signed(fingerprint((t or "").encode(), width)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(made, pa.int64()), *(batch.column(k) for k in keys)], names)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", *keys).mapInArrow(
+        run, ", ".join(f"{name} bigint" for name in names))
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +222,18 @@ def link_fingerprints(distinct: DataFrame, budget: int = BUDGET, hot_entries: in
     return grouped.mapInArrow(_link_groups(budget), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, budget: int = BUDGET) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` of every row of ``docs``."""
-    marked = stored(fingerprints(docs, width), "fingerprints")
+def near_duplicates(docs: DataFrame, width: int = 3, budget: int = BUDGET, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id`` of every row of ``docs``.
+
+    With ``keys`` (bigint columns that tell rows apart) also these and ``component``,
+    a fingerprint, which unlike ``component_id`` is never null or shared by components.
+    """
+    marked = stored(fingerprints(docs, width, keys), "fingerprints")
     classes = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     groups = components(link_fingerprints(classes, budget))
     # A component's id is the smallest doc_id of all its fingerprints.
     member = classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(smallest, "component").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = member.join(smallest, "component").select("fp", "component_id", "component")
+    return marked.join(named, "fp").select("doc_id", "fp", "component_id", *((*keys, "component") if keys else ()))

@@ -226,3 +226,17 @@ def test_pipeline(spark, docs, tmp_path):
     texts = {r.doc_id: r.text for r in kept.collect()}
     assert {r.doc_id for r in out} == set(texts)
     assert all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in out)
+
+
+def test_pipeline_keeps_one_row_of_each_group_with_null_and_repeated_ids(spark):
+    rnd = random.Random(9)
+    texts = [" ".join(str(rnd.getrandbits(40)) for _ in range(60)) for _ in range(12)]
+    ids = [None, None, None, None, 1, 2, 2, 5, 5, 5, 7, None]
+    rows = [(i, t, "en", "a", len(t)) for i, t in zip(ids, texts)]
+    rows += [(1, texts[5], "en", "a", len(texts[5])), (2, texts[7], "en", "a", len(texts[7]))]  # smaller ids of two groups
+    rows += [rows[0], rows[4], (9, texts[1], "en", "a", len(texts[1])), (None, texts[10], None, "a", len(texts[10]))]
+    rows += [(None, None, "en", None, None), (None, "", None, "en", None), (None, texts[0], None, "a", len(texts[0]))]
+    found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    got = sorted(((r.doc_id, r.text or "") for r in found.collect()), key=str)
+    smallest = {1: 9, 5: 1, 7: 2}
+    assert got == sorted([(None, ""), *((smallest.get(k, i), t) for k, (i, t) in enumerate(zip(ids, texts)))], key=str)

@@ -87,7 +87,8 @@ class Graph:
             valid = (found >= 0) & (found < limit)
             found[~valid] = 0
             valid &= ~seen[active[:, None], found]
-            seen[active[:, None], found] |= valid
+            asked, places = np.nonzero(valid)  # padding stands for node 0 and must not unmark it
+            seen[active[asked], found[asked, places]] = True
             got = np.einsum("ikj,ij->ik", near[found], questions[active])
             got[~valid] = -np.inf
             better = got.max(axis=1) > sims[active].min(axis=1)
@@ -230,7 +231,8 @@ class Shard:
                 ids, sims = self.graph.ask(questions[waiting], wide)
                 full = (sims >= least - 1e-5).all(axis=1)  # there may be more
                 rows, places = np.nonzero((sims >= least - 1e-5) & ~full[:, None])
-                nodes = ids[rows, places]
+                # Each node once per question: links are counted.
+                rows, nodes = np.divmod(np.unique(rows * len(self.unit) + ids[rows, places]), len(self.unit))
                 sure = np.einsum("ij,ij->i", questions[waiting[rows]], self.unit[nodes]) >= least
                 yield waiting[rows[sure]], nodes[sure]
                 waiting, wide = waiting[full], wide * 2

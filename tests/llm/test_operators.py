@@ -71,6 +71,15 @@ def test_graph_recall():
     assert found >= 0.99 * (x[::20] @ x.T >= 0.95).sum()
 
 
+def test_search_enters_node_zero_once():
+    graph = hnsw.Graph.__new__(hnsw.Graph)
+    graph.x = np.eye(6, dtype=np.float32) + 1
+    # node 0 stands ahead of the padding of every list
+    graph.layers = [np.array([[1, 2, 3, 4, 5, -1], [0, 2, 3, 4, 5, -1], *[[0, 1, -1, -1, -1, -1]] * 4], np.int32)]
+    ids, _ = graph.search(graph.x[1:3], 6, 0, np.array([1, 2]), 6)
+    assert [sorted(row) for row in ids.tolist()] == [list(range(6))] * 2
+
+
 @pytest.mark.parametrize("group", [0, 200])
 def test_audit_sees_lost_pairs_beside_self_matches_and_a_large_group(group):
     rnd = np.random.default_rng(6)

@@ -2,7 +2,7 @@
 
 Vectors are dealt to shards by hash; each shard becomes one graph of layers in
 which near vectors are neighbours, built in blocks with numpy and written to the
-shared folder. Every block of vectors then asks every shard: the search goes down
+shared folder. The vectors of every shard then ask every shard: the search goes down
 the layers and keeps a beam of the best vectors seen. Two things widen it. An
 audit on a fixed random set of questions compares each shard's answers with a
 full scan and doubles the shard's beam until questions find on average ``recall``
@@ -11,8 +11,9 @@ of their links to other vectors, judged apart by number of links (1, 2 to 3, 4 t
 what isolated pairs lose. If few questions have few links, made ones that link
 with a vector of the shard are judged too. And a question whose whole beam links is asked again with a doubled beam, or
 answered by a scan if the beam would hold much of the shard. Links are verified
-by cosine in double precision. A task returns link counts and a spanning forest
-of its links, not the pairs; components are joined over all tasks.
+by cosine in double precision. A task takes two shards and both directions between
+them, so that a link found from one end counts for both. It returns link counts and
+a spanning forest of its links, not the pairs; components are joined over all tasks.
 
 Equal vectors are one entry of their shard with a count. Vectors that are null,
 empty, zero, or hold null or non-finite components link with nothing. Vectors of
@@ -205,12 +206,11 @@ class Shard:
     @classmethod
     def load(cls, path: str) -> Shard:
         fs, name = open_fs(path)
-        with fs.open_input_stream(name) as stream:
-            held = np.load(io.BytesIO(stream.read()))
-        graph = Graph.__new__(Graph)
-        graph.x = held["unit"].astype(np.float32)
-        graph.layers = [held[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in held.files))]
-        return cls(held["keys"], held["copies"], held["unit"], graph)
+        with fs.open_input_file(name) as file, np.load(file) as held:
+            graph, unit = Graph.__new__(Graph), held["unit"]
+            graph.x = unit.astype(np.float32)
+            graph.layers = [held[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in held.files))]
+            return cls(held["keys"], held["copies"], unit, graph)
 
     def scan(self, questions: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Question and node numbers of all links, by comparing with every node in blocks."""
@@ -219,14 +219,17 @@ class Shard:
             rows, nodes = np.nonzero(questions[at:at + step] @ self.unit.T >= least)
             yield rows + at, nodes
 
-    def links(self, questions: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Question and node numbers of the links the graph finds, verified in double precision."""
+    def asked(self, questions: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Question and node numbers of the links the graph finds, and questions left to a scan.
+
+        Links are verified in double precision; a question left to a scan has none here.
+        """
+        none = np.zeros(0, np.int64)
         for at in range(0, len(questions), _BLOCK):
             waiting, wide = np.arange(at, min(len(questions), at + _BLOCK)), beam
             while len(waiting):
                 if wide * 8 >= len(self.unit):
-                    for rows, nodes in self.scan(questions[waiting], least):
-                        yield waiting[rows], nodes
+                    yield none, none, waiting
                     break
                 ids, sims = self.graph.ask(questions[waiting], wide)
                 full = (sims >= least - 1e-5).all(axis=1)  # there may be more
@@ -234,9 +237,16 @@ class Shard:
                 # Each node once per question: links are counted.
                 rows, nodes = np.divmod(np.unique(rows * len(self.unit) + ids[rows, places]), len(self.unit))
                 sure = np.einsum("ij,ij->i", questions[waiting[rows]], self.unit[nodes]) >= least
-                yield waiting[rows[sure]], nodes[sure]
+                yield waiting[rows[sure]], nodes[sure], none
                 waiting, wide = waiting[full], wide * 2
 
+    def links(self, questions: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Question and node numbers of the links that the graph or, for wide beams, a scan finds."""
+        for rows, nodes, dense in self.asked(questions, least, beam):
+            yield rows, nodes
+            for rows, nodes in self.scan(questions[dense], least):
+                yield dense[rows], nodes
+
     def _counts(self, answers: Iterator[tuple[np.ndarray, np.ndarray]], asked: int, own: np.ndarray | None) -> np.ndarray:
         """Number of distinct nodes that each of ``asked`` questions got, without the one of its own key."""
         counts = np.zeros(asked, np.int64)
@@ -339,54 +349,106 @@ def build_shards(entries: DataFrame, total: int, least: float, recall: float) ->
     return [(r.path, r.dim, r.beam) for r in made.orderBy("path").collect()]  # one row per shard
 
 
+class _Forest:
+    """Union-find over numbers, many pairs at a time; a parent is never larger than its child."""
+
+    def __init__(self, size: int):
+        self.parent = np.arange(size)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while len(a):
+            while (up := self.parent[self.parent]).tobytes() != self.parent.tobytes():
+                self.parent = up
+            a, b = self.parent[a], self.parent[b]
+            apart = a != b
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.parent, np.maximum(a, b), np.minimum(a, b))
+
+
+def joint_links(s: Shard, t: Shard, least: float, beams: tuple[int, int],
+                most: int = 1 << 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors linked to each node of ``s`` in ``t`` and of ``t`` in ``s``, and roots over the nodes of both.
+
+    A link counts at both ends if the search from either finds it. Pairs are held
+    only for nodes that no scan answers; with ``most`` pairs held, scans answer
+    the rest. ``s`` may be ``t``: the second counts are zero then.
+    """
+    same, n, offset = s is t, len(t.unit), 0 if s is t else len(s.unit)
+    forest = _Forest(offset + n)
+    held, exact = [np.zeros(0, np.int64)], []
+    for shard, asking, beam in ((t, s, beams[1]), (s, t, beams[0]))[:1 if same else 2]:
+        scanned, room = np.zeros(len(asking.unit), bool), most
+        for at in range(0, len(scanned), _BLOCK):
+            if room <= 0:
+                scanned[at:] = True
+                break
+            for rows, nodes, dense in shard.asked(asking.unit[at:at + _BLOCK], least, beam):
+                scanned[at + dense] = True
+                held.append((rows + at) * n + nodes if asking is s else nodes * n + rows + at)
+                room -= len(rows)
+        exact.append(scanned)
+    exact_s, exact_t = exact[0], exact[-1]
+    found = np.unique(np.concatenate(held))
+    held = [found]
+    counts = [np.zeros(len(s.unit), np.int64), np.zeros(n, np.int64)]
+
+    def add(side: int, at: np.ndarray, copies: np.ndarray) -> None:
+        counts[side] += np.bincount(at, copies, len(counts[side])).astype(np.int64)
+
+    for side in range(1 if same else 2):
+        asking, shard = ((s, t), (t, s))[side]
+        some = np.flatnonzero((exact_s, exact_t)[side])
+        for rows, nodes in shard.scan(asking.unit[some], least):
+            rows = some[rows]
+            if same:
+                rows, nodes = rows[rows != nodes], nodes[rows != nodes]
+            add(side, rows, shard.copies[nodes])
+            i, j = (nodes, rows) if side else (rows, nodes)
+            forest.join(i, j + offset)
+            # The other end hears of it, unless a scan answers that too.
+            told = ~(exact_s if side else exact_t)[nodes]
+            codes = i[told] * n + j[told]
+            at = np.minimum(np.searchsorted(found, codes), max(0, len(found) - 1))
+            held.append(codes[found[at] != codes] if len(found) else codes)
+    found = np.unique(np.concatenate(held))
+    i, j = np.divmod(found, n)
+    if same:
+        i, j = np.divmod(np.unique(np.concatenate([found, j * n + i])), n)
+        i, j = i[i != j], j[i != j]
+    forest.join(i, j + offset)
+    add(0, i[~exact_s[i]], t.copies[j[~exact_s[i]]])
+    if not same:
+        add(1, j[~exact_t[j]], s.copies[i[~exact_t[j]]])
+    return counts[0], counts[1], forest.parent[forest.parent]
+
+
 def find_links(entries: DataFrame, graphs: list[tuple[str, int, int]], total: int, least: float, block: int = 16_384) -> DataFrame:
     """``key``, ``n`` (vectors linked in one shard) and ``root``, one key of the same component."""
     spark = entries.sparkSession
+    known = spark.sparkContext.broadcast(graphs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answer(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-            for dim in sorted({row["dim"] for row in rows}):
-                mine = [row for row in rows if row["dim"] == dim]
-                questions = _matrix([row["unit"] for row in mine], dim)
-                own = [row["key"] for row in mine]
-                count, parent = dict.fromkeys(own, 0), {}
-
-                def root(node):
-                    parent.setdefault(node, node)
-                    while parent[node] != node:
-                        parent[node] = parent[parent[node]]
-                        node = parent[node]
-                    return node
-
-                for path, width, beam in graphs:
-                    if width != dim:
-                        continue
-                    shard = Shard.load(path)
-                    names = shard.keys.tolist()
-                    for asked, nodes in shard.links(questions, least, beam):
-                        for q, node in zip(asked.tolist(), nodes.tolist()):
-                            a, b = own[q], names[node]
-                            if a != b:
-                                count[a] += int(shard.copies[node])
-                                a, b = root(a), root(b)
-                                if a != b:
-                                    parent[max(a, b)] = min(a, b)
-                nodes = list(parent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.binary()), pa.array([count.get(k, 0) for k in nodes], pa.int64()),
-                     pa.array([root(k) for k in nodes], pa.binary())], ["key", "n", "root"])
-
-        held: list[dict] = []
         for batch in batches:
-            held.extend(batch.to_pylist())
-            if len(held) >= block:
-                yield from answer(held)
-                held = []
-        if held:
-            yield from answer(held)
-
-    tasks = max(shuffle_partitions(spark), math.ceil(total / block))
-    return entries.select("key", "dim", "unit").repartition(tasks).mapInArrow(run, "key binary, n bigint, root binary")
+            for first, second in zip(batch.column("first").to_pylist(), batch.column("second").to_pylist()):
+                (path, dim, beam), (other, width, other_beam) = known.value[first], known.value[second]
+                if dim != width:
+                    continue
+                s = Shard.load(path)
+                t = s if first == second else Shard.load(other)
+                n_s, n_t, root = joint_links(s, t, least, (beam, other_beam))
+                keys, n = (s.keys, n_s) if s is t else (np.concatenate([s.keys, t.keys]), np.concatenate([n_s, n_t]))
+                linked = np.flatnonzero(n)
+                for at in range(0, len(linked), 50_000):
+                    some = linked[at:at + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys[some].tolist(), pa.binary()), pa.array(n[some], pa.int64()),
+                         pa.array(keys[root[some]].tolist(), pa.binary())], ["key", "n", "root"])
+
+    last = len(graphs) - 1
+    pairs = spark.range(len(graphs)).select(
+        F.col("id").alias("first"), F.explode(F.sequence("id", F.lit(last).cast("bigint"))).alias("second"))
+    tasks = max(1, min(len(graphs) * (last + 2) // 2, max(shuffle_partitions(spark), math.ceil(total / block))))
+    return pairs.repartition(tasks).mapInArrow(run, "key binary, n bigint, root binary")
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99) -> DataFrame:

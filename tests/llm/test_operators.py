@@ -102,6 +102,44 @@ def test_audit_sees_lost_pairs_beside_self_matches_and_a_large_group(group):
     assert shard.audited_beam(x[10:20], 0.95, 0.99, own=keys[10:20]) == 32  # no links of their own
 
 
+@pytest.mark.parametrize("most", [0, 1 << 24])
+@pytest.mark.parametrize("dense", [0, 10, 60])
+def test_link_found_from_one_end_counts_at_both(dense, most):
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(size=(60, 8))
+    x = np.concatenate([x, x + 0.05 * rnd.normal(size=(60, 8)), x[:20] + 0.05 * rnd.normal(size=(20, 8))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x = x[rnd.permutation(len(x))]
+    copies = rnd.integers(1, 4, len(x))
+
+    class OneWay(hnsw.Shard):
+        """Finds links of later questions only; the first ``dense`` questions are left to scans."""
+
+        def asked(self, questions, least, beam):
+            numbers = (questions @ x.T).argmax(axis=1)
+            left = numbers < dense
+            for rows, nodes in self.scan(questions, least):
+                keep = ~left[rows] & (numbers[rows] > self.keys[nodes])
+                yield rows[keep], nodes[keep], np.flatnonzero(left)
+
+    links = (x @ x.T >= 0.95) & ~np.eye(len(x), dtype=bool)
+    truth = brute.Groups()
+    for a, b in zip(*np.nonzero(links)):
+        truth.join(int(a), int(b))
+    made = [OneWay(np.arange(len(x))[k::2], copies[k::2], x[k::2]) for k in (0, 1)]
+    n, groups = np.zeros(len(x), int), brute.Groups()
+    for first, second in ((0, 0), (0, 1), (1, 1)):
+        s, t = made[first], made[second]
+        n_s, n_t, root = hnsw.joint_links(s, t, 0.95, (16, 16), most)
+        n[first::2] += n_s
+        n[second::2] += n_t
+        keys = s.keys if s is t else np.concatenate([s.keys, t.keys])
+        for a, b in zip(keys.tolist(), keys[root].tolist()):
+            groups.join(a, b)
+    assert n.tolist() == (links @ copies).tolist() and links.sum() > 100
+    assert [groups.root(i) for i in range(len(x))] == [truth.root(i) for i in range(len(x))]
+
+
 def test_licenses(docs, pairs):
     found = licenses.scan_licenses(docs)
     columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")

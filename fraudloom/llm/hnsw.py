@@ -40,6 +40,7 @@ from fraudloom.session import work_dir
 
 SHARD_ROWS = 250_000
 MIN_SHARDS = 8
+SCAN_SHARE = 1 / 8  # a beam that would hold this share of a shard gives way to a scan (1: the whole shard)
 AUDIT_ROWS = 2_048
 AUDIT_LINKED = 100  # questions with few links that are enough to tell a recall of 0.99
 _BLOCK = 256
@@ -190,10 +191,12 @@ class Graph:
 class Shard:
     """A graph with the keys, copies and double-precision vectors of its nodes."""
 
-    def __init__(self, keys: np.ndarray, copies: np.ndarray, unit: np.ndarray, graph: Graph | None = None):
+    def __init__(self, keys: np.ndarray, copies: np.ndarray, unit: np.ndarray, graph: Graph | None = None,
+                 scan_share: float = SCAN_SHARE):
         # Order is random as keys are hashes; nodes of upper layers come first.
         self.keys, self.copies, self.unit = keys, copies, unit
         self.graph = graph or Graph(unit)
+        self.scan_share = scan_share
 
     def save(self, path: str) -> None:
         held = io.BytesIO()
@@ -204,13 +207,13 @@ class Shard:
         file.close()
 
     @classmethod
-    def load(cls, path: str) -> Shard:
+    def load(cls, path: str, scan_share: float = SCAN_SHARE) -> Shard:
         fs, name = open_fs(path)
         with fs.open_input_file(name) as file, np.load(file) as held:
             graph, unit = Graph.__new__(Graph), held["unit"]
             graph.x = unit.astype(np.float32)
             graph.layers = [held[f"layer{i}"] for i in range(sum(n.startswith("layer") for n in held.files))]
-            return cls(held["keys"], held["copies"], unit, graph)
+            return cls(held["keys"], held["copies"], unit, graph, scan_share)
 
     def scan(self, questions: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Question and node numbers of all links, by comparing with every node in blocks."""
@@ -228,7 +231,7 @@ class Shard:
         for at in range(0, len(questions), _BLOCK):
             waiting, wide = np.arange(at, min(len(questions), at + _BLOCK)), beam
             while len(waiting):
-                if wide * 8 >= len(self.unit):
+                if wide >= self.scan_share * len(self.unit):
                     yield none, none, waiting
                     break
                 ids, sims = self.graph.ask(questions[waiting], wide)
@@ -289,7 +292,7 @@ class Shard:
             made = self.made_questions(least)
             sets.append((made, None))
             true.append(self._counts(self.scan(made, least), len(made), None))
-        while beam * 8 < len(self.unit):
+        while beam < self.scan_share * len(self.unit):
             if all((self.recalls(*asked, held, least, beam) >= recall).all() for asked, held in zip(sets, true)):
                 break
             beam *= 2
@@ -324,10 +327,11 @@ def _matrix(units, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(units), np.float64).reshape(-1, dim)
 
 
-def build_shards(entries: DataFrame, total: int, least: float, recall: float) -> list[tuple[str, int, int]]:
+def build_shards(entries: DataFrame, total: int, least: float, recall: float, min_shards: int = MIN_SHARDS,
+                 scan_share: float = SCAN_SHARE) -> list[tuple[str, int, int]]:
     """Build, audit and write all graphs; returns path, dimension and beam of each."""
     spark = entries.sparkSession
-    shards = max(MIN_SHARDS, math.ceil(total / SHARD_ROWS))
+    shards = max(min_shards, math.ceil(total / SHARD_ROWS))
     folder = work_dir(spark, "graphs")
     some = entries.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(max(1, total // AUDIT_ROWS))) == 0)
     audit = spark.sparkContext.broadcast([(r.dim, bytes(r.unit), bytes(r.key)) for r in some.select("dim", "unit", "key").collect()])
@@ -336,7 +340,7 @@ def build_shards(entries: DataFrame, total: int, least: float, recall: float) ->
         dim, number = int(group["dim"].iloc[0]), int(group["shard"].iloc[0])
         group = group.sort_values("key")
         keys = np.frombuffer(b"".join(group["key"]), "V16")
-        shard = Shard(keys, group["copies"].to_numpy(np.int64), _matrix(group["unit"], dim))
+        shard = Shard(keys, group["copies"].to_numpy(np.int64), _matrix(group["unit"], dim), scan_share=scan_share)
         asked = [(unit, key) for d, unit, key in audit.value if d == dim]
         own = np.frombuffer(b"".join(key for _, key in asked), "V16")
         beam = shard.audited_beam(_matrix([unit for unit, _ in asked], dim), least, recall, own=own)
@@ -422,7 +426,8 @@ def joint_links(s: Shard, t: Shard, least: float, beams: tuple[int, int],
     return counts[0], counts[1], forest.parent[forest.parent]
 
 
-def find_links(entries: DataFrame, graphs: list[tuple[str, int, int]], total: int, least: float, block: int = 16_384) -> DataFrame:
+def find_links(entries: DataFrame, graphs: list[tuple[str, int, int]], total: int, least: float, block: int = 16_384,
+               scan_share: float = SCAN_SHARE) -> DataFrame:
     """``key``, ``n`` (vectors linked in one shard) and ``root``, one key of the same component."""
     spark = entries.sparkSession
     known = spark.sparkContext.broadcast(graphs)
@@ -433,8 +438,8 @@ def find_links(entries: DataFrame, graphs: list[tuple[str, int, int]], total: in
                 (path, dim, beam), (other, width, other_beam) = known.value[first], known.value[second]
                 if dim != width:
                     continue
-                s = Shard.load(path)
-                t = s if first == second else Shard.load(other)
+                s = Shard.load(path, scan_share)
+                t = s if first == second else Shard.load(other, scan_share)
                 n_s, n_t, root = joint_links(s, t, least, (beam, other_beam))
                 keys, n = (s.keys, n_s) if s is t else (np.concatenate([s.keys, t.keys]), np.concatenate([n_s, n_t]))
                 linked = np.flatnonzero(n)
@@ -451,7 +456,8 @@ def find_links(entries: DataFrame, graphs: list[tuple[str, int, int]], total: in
     return pairs.repartition(tasks).mapInArrow(run, "key binary, n bigint, root binary")
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99, min_shards: int = MIN_SHARDS,
+                 scan_share: float = SCAN_SHARE) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``vectors``."""
     rows = stored(prepared(vectors), "vectors")
     entries = stored(
@@ -460,8 +466,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99)
             F.first("unit").alias("unit")),
         "vector-entries")
     total = entries.count()
-    graphs = build_shards(entries, total, least, recall)
-    found = stored(find_links(entries, graphs, total, least), "vector-links")
+    graphs = build_shards(entries, total, least, recall, min_shards, scan_share)
+    found = stored(find_links(entries, graphs, total, least, scan_share=scan_share), "vector-links")
     linked = found.groupBy("key").agg(F.sum("n").alias("n"))
     groups = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))
     named = (

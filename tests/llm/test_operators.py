@@ -140,6 +140,24 @@ def test_link_found_from_one_end_counts_at_both(dense, most):
     assert [groups.root(i) for i in range(len(x))] == [truth.root(i) for i in range(len(x))]
 
 
+def test_near_vectors_by_graphs_alone(spark):
+    rnd = np.random.default_rng(11)
+    x = rnd.normal(size=(2400, 16))
+    x = np.concatenate([x, x[:150] + 0.1 * rnd.normal(size=(150, 16)), x[-1] + 0.05 * rnd.normal(size=(200, 16))])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>").repartition(3)
+    found = hnsw.near_vectors(rows, min_shards=2, scan_share=1.0).orderBy("vec_id").collect()
+    true = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    got = np.array([r.n_links for r in found])
+    crowd = true > 20
+    assert (got <= true).all() and crowd.sum() > 190 and ((true > 0) & ~crowd).sum() > 250
+    for some in (crowd, (true > 0) & ~crowd):
+        recall = (got[some] / true[some]).mean()
+        print("recall", recall, some.sum())
+        assert recall >= 0.99
+    assert all((r.n_links > 0) or r.kept for r in found)
+
+
 def test_licenses(docs, pairs):
     found = licenses.scan_licenses(docs)
     columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")

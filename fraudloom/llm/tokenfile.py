@@ -5,7 +5,9 @@ behind them two Elias-Fano sequences: the document boundaries (cumulative id
 counts) and the document ids. A sequence of n numbers up to u takes about
 2 + log2(u / n) bits a number; ``select`` finds entry i from a sampled position
 of 32 bits and a scan of less than one sample step, so no table of 64-bit
-offsets is stored or built.
+offsets is stored. ``span`` gets one document's offsets by it; ``documents``,
+which the query uses, reads a whole segment and decodes all its boundaries to
+64-bit numbers.
 
 Layout (little endian): magic, ids (16 bits each if the vocabulary allows, else
 32), boundaries, document ids, footer, footer length is fixed.

@@ -199,6 +199,16 @@ def test_token_files(docs, pairs):
     assert _got(tokenfile.read_token_files(manifest)) == sorted(brute.token_files(pairs))
 
 
+def test_span_of_a_written_file(tmp_path):
+    writer = tokenfile.SegmentWriter(f"{tmp_path}/one.tok", 2)
+    for i in range(700):
+        writer.add(10 + i, bytes(2 * (i % 9)))
+    writer.close()
+    reader = tokenfile.SegmentReader(f"{tmp_path}/one.tok")
+    spans = [(first, first + len(ids)) for _, first, ids in reader.documents()]
+    assert [reader.span(i) for i in range(700)] == spans and spans[-1][1] == sum(i % 9 for i in range(700))
+
+
 def test_token_counts(docs, pairs):
     assert _got(tokencount.count_tokens(docs, queries.BYTE_BPE)) == sorted(brute.token_counts(pairs))
     # with hardly any frequent pre-tokens nearly all go through the join

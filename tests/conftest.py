@@ -8,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from fraudloom import schemas  # noqa: E402
 from fraudloom.session import local_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-T0 = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,8 +28,3 @@ def tx_of(spark):
             ))
         return spark.createDataFrame(rows, schemas.SEQUENCED)
     return build
-
-
-def plan_of(df) -> str:
-    """The physical plan before adaptive execution."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import time
 from datetime import timedelta
 
 import pytest
-from conftest import T0
+from helpers import T0
 from pyspark.sql import functions as F
 
 from fraudloom import schemas

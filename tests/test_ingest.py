@@ -1,7 +1,7 @@
 """CSV files to a topic: numbers, stamps, counters, headers."""
 
 import pytest
-from conftest import T0
+from helpers import T0
 from pyspark.sql import functions as F
 from test_validate import GOOD, altered
 

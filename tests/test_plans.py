@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF, plan_of
+from helpers import SF, plan_of
 
 from checks import fixtures as fx
 from fraudloom.functions.times import instant

@@ -1,7 +1,7 @@
 """Every registered query against its SQL counterpart."""
 
 import pytest
-from conftest import SF
+from helpers import SF
 
 import __spark_entry__ as contract
 from checks import registry

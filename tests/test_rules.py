@@ -1,7 +1,7 @@
 """Rule borders and reporting order."""
 
 import pytest
-from conftest import T0
+from helpers import T0
 
 from fraudloom import config
 from fraudloom.config import RuleConfig

@@ -1,7 +1,7 @@
 """State across batches: late events, restart, replay."""
 
 import pytest
-from conftest import T0
+from helpers import T0
 
 from fraudloom.config import RuleConfig
 from fraudloom.sources import topics

@@ -3,7 +3,7 @@
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from conftest import T0
+from helpers import T0
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -7,11 +7,13 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyarrow import compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudloom.session import work_dir
 
@@ -99,3 +101,40 @@ class AtomicFile:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_binary(df: DataFrame, name: str) -> T.StructType:
+    """Schema of ``df`` with a binary column ``name`` at the end, in place of one of that name."""
+    return T.StructType([*[f for f in df.schema.fields if f.name != name], T.StructField(name, T.BinaryType())])
+
+
+def set_last(batch: pa.RecordBatch, schema: T.StructType, values: pa.Array) -> pa.RecordBatch:
+    """``batch`` in the columns of ``schema``, of which ``values`` is the last."""
+    return pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in schema.fields[:-1]], values], schema.names)
+
+
+def binary_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that lie one after the other in ``data`` and end (in bytes) at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def take_runs(values: np.ndarray, ends: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values`` (run i ends at ``ends[i]``) in the order of ``index``, and the ends of the runs taken."""
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    taken = pa.ListArray.from_arrays(offsets, pa.array(values)).take(pa.array(index))
+    return taken.values.to_numpy(), taken.offsets.to_numpy()[1:]
+
+
+def floored(lists: pa.ListArray, scale: int, limit: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Lengths and floor(scale * component) as 32-bit integers of vectors, and which of them are usable:
+    not null, all components there, finite and below ``limit`` in size as integers."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # null components: nan
+    sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    ends = np.cumsum(sizes)
+    with np.errstate(over="ignore", invalid="ignore"):
+        made = np.floor(flat * scale)
+        good = np.abs(made) < limit
+    wrong = np.concatenate([[0], np.cumsum(~good)])
+    usable = (wrong[ends] == wrong[ends - sizes]) & lists.is_valid().to_numpy(zero_copy_only=False)
+    return sizes, binary_array(np.where(good, made, 0).astype("<i4"), 4 * ends), usable

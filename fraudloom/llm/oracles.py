@@ -71,8 +71,70 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from j
 """
 
+_USABLE = """embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+_OP11 = f"""
+with t as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where label is not null and {_USABLE}),
+s as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+  from t a join t b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select p.anchor_id, positive_id, s.vec_id as negative_id, positive_score, s.score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)::int as rank
+  from p join s on s.anchor_id = p.anchor_id and not s.same
+    and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score)
+select * from n where rank <= 10
+"""
+
+
+def _op13(rounds: int = 6) -> str:
+    """Rounds of assignment and averaging, each a pair of common table expressions."""
+    def assigned(n: int) -> str:
+        return f"""a{n} as materialized (
+  select p.vec_id, p.part, p.x, c.entry,
+    (list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, c.c) + list_dot_product(c.c, c.c))::bigint as error
+  from p join c{n} c using (part)
+  qualify row_number() over (partition by p.vec_id, p.part order by error, c.entry) = 1)"""
+
+    def averaged(n: int) -> str:
+        return f"""c{n + 1} as materialized (
+  select c.part, c.entry, coalesce(m.c, c.c) as c from c{n} c left join (
+    select part, entry, list(mean order by place) as c from (
+      select part, entry, place, floor(sum(value) / count(*)) as mean
+      from (select part, entry, unnest(x) as value, unnest(range(len(x))) as place from a{n}) group by all)
+    group by all) m using (part, entry))"""
+
+    steps = [f"{assigned(n)},\n{averaged(n)}" for n in range(rounds)] + [assigned(rounds)]
+    return f"""
+with k as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)) as v
+  from embeddings where {_USABLE}),
+p as materialized (
+  select vec_id, i as part, v[i * len(v) // 8 + 1:(i + 1) * len(v) // 8] as x from k, range(8) as r(i)),
+c0 as (
+  select part, x as c, row_number() over (partition by part order by vec_id) - 1 as entry from p qualify entry < 16),
+{", ".join(steps)},
+coded as (
+  select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, sum(error)::bigint as error
+  from a{rounds} group by vec_id),
+books as (
+  select sha256(string_agg(value::bigint::varchar, ',' order by part, entry, place)) as codebooks_sha256
+  from (select part, entry, unnest(c) as value, unnest(range(len(c))) as place from c{rounds}))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join k using (vec_id), books
+"""
+
+
 SQL: dict[str, str] = {
     "op2_embedding_near_dedup": _OP2,
     "op4_line_dedup": _OP4,
     "op9_quality_rules": _OP9,
+    "op11_hard_negatives": _OP11,
+    "op13_vector_codes": _op13(),
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudloom.llm import (
-    bpe, hnsw, licenses, linededup, mixing, quality_model, quality_rules, simhash, tokencount, tokenfile,
+    bpe, covertree, hnsw, licenses, linededup, mixing, quality_model, quality_rules, simhash, speculative, tokencount,
+    tokenfile, vectorcode,
 )
 from fraudloom.session import prepare
 
@@ -78,8 +79,28 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return covertree.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = speculative.encode(docs, BYTE_BPE).select("doc_id", "ids")
+    return speculative.decode(ids, BYTE_BPE).select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vectorcode.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_byte_bpe, op2_embedding_near_dedup, op3_license_scan, op4_line_dedup, op5_token_files, op6_mix_sources,
-        op7_token_counts, op8_quality_classifier, op9_quality_rules, op10_simhash_near_dedup)
+        op7_token_counts, op8_quality_classifier, op9_quality_rules, op10_simhash_near_dedup,
+        op11_hard_negatives, op12_speculative_bpe, op13_vector_codes)
 }

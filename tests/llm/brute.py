@@ -1,8 +1,9 @@
-"""The contracts of the ten queries, done plainly in one process."""
+"""The contracts of the queries, done plainly in one process."""
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -164,3 +165,60 @@ def targets(sizes, weights=(5, 2, 1), share=1.5, limit=2.0):
         if not above:
             return {**fixed, **part}
         fixed.update({s: limit * sizes[s] for s in above})
+
+
+def library_bpe(docs):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    out = []
+    for doc_id, text in docs:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        out.append((doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                    hashlib.sha256(decoded.encode()).hexdigest()))
+    return out
+
+
+def _whole(v, scale):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and [math.floor(scale * x) for x in v]
+
+
+def hard_negatives(rows, step=100, positives=5, negatives=10):
+    """Rows (vec_id, label, vector) with their labels as they are."""
+    good = [(i, label, _whole(v, 256)) for i, label, v in rows if i is not None and label is not None and _whole(v, 256) is not False]
+    out = []
+    for a, (anchor, label, q) in enumerate(good):
+        if anchor % step:
+            continue
+        scored = [(-sum(x * y for x, y in zip(q, v)), i, of == label)
+                  for b, (i, of, v) in enumerate(good) if b != a and len(v) == len(q)]
+        for top, positive, _ in sorted(s for s in scored if s[2])[:positives]:
+            fit = sorted(s for s in scored if not s[2] and 30 * -top <= 100 * -s[0] <= 90 * -top)
+            out += [(anchor, positive, rank, i, -top, -s) for rank, (s, i, _) in enumerate(fit[:negatives], 1)]
+    return out
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6):
+    """Rows (vec_id, label, vector) of one vector length."""
+    kept = [(i, label, _whole(v, 4096)) for i, label, v in rows if _whole(v, 4096) is not False]
+    order = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0))
+    dim = len(kept[0][2])
+    cut = [[r[2][dim * p // parts:dim * (p + 1) // parts] for p in range(parts)] for r in kept]
+    books = [[cut[k][p] for k in order[:entries]] for p in range(parts)]
+
+    def assign(part, book):
+        return min((sum((x - y) ** 2 for x, y in zip(part, entry)), n) for n, entry in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            held = [[] for _ in books[p]]
+            for r in cut:
+                held[assign(r[p], books[p])[1]].append(r[p])
+            books[p] = [[sum(xs) // len(ps) for xs in zip(*ps)] if ps else old for ps, old in zip(held, books[p])]
+    found = [[assign(r[p], books[p]) for p in range(parts)] for r in cut]
+    errors = [sum(e for e, _ in f) for f in found]
+    by_label = Counter()
+    for (_, label, _), error in zip(kept, errors):
+        by_label[label] += error
+    digest = hashlib.sha256(",".join(str(x) for book in books for entry in book for x in entry).encode()).hexdigest()
+    return [(i, "".join(f"{n:02x}" for _, n in f), error, by_label[label], digest)
+            for (i, label, _), f, error in zip(kept, found, errors)]

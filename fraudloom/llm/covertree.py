@@ -213,7 +213,7 @@ class CoverTree:
 
 
 def _matrix(values, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(values), "<i4").reshape(-1, dim).astype(np.float64)
+    return np.frombuffer(b"".join(values), "<i4").reshape(len(values), dim).astype(np.float64)
 
 
 def integer_rows(vectors: DataFrame, scale: int) -> DataFrame:

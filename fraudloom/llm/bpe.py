@@ -6,33 +6,48 @@ encoder is a non-deterministic transducer: a configuration is a node of the
 token trie (bytes read of the token under way), the token before it and the
 tokens not yet emitted. Determinising by subsets gives states that are sets of
 configurations; tokens shared by all of them are emitted as soon as they agree,
-which bounds the delay. States and edges are made when a text first needs them
-and dropped all together beyond ``max_states``; that never changes a result.
+which bounds the delay. States and edges are made when a text first needs them.
+They are kept packed, in two generations of half of ``max_states`` each: when the
+younger is full it becomes the older one, whose states are taken over as they are
+met again. That never changes a result. The distinct pieces of a slice of texts
+are encoded once each, and the texts are put together from them.
+
+Pieces are those of the library's pattern. Where the Unicode version of the
+pattern library here takes a character for another class than the tokenizer
+library does, which is asked, a character of the right class stands in for it
+while the text is cut.
 
 Decoding. Each token moves a UTF-8 state machine that carries an unfinished
 character from token to token. Ill-formed bytes become U+FFFD.
 
 Nulls are encoded as empty text, empty texts give no ids; repeated rows are
-encoded each; all other columns pass through. An input column that has the name
-of an output is replaced.
+encoded each; texts of any length are encoded whole; all other columns pass
+through. An input column that has the name of an output is replaced. A worker
+keeps one encoder (its states are bounded) and nothing of the texts.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from fraudloom.llm.common import slices, words_after_space
+from fraudloom.llm.chunks import Chunks
+from fraudloom.llm.common import binary_array, set_last, slices, take_runs, with_binary
 
 Config = tuple[int, int, tuple[int, ...]]
 _NEVER = 1 << 62
+_OUT_BITS = 24  # an edge is next state << 24 | number of its output
+_OUT = (1 << _OUT_BITS) - 1
+_LONG = 64  # bytes of a piece above which it is encoded on its own
+_SETTLED = "\u0250"  # below, Unicode classes do not change any more
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,11 +59,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Bytes of one pre-token to token ids.
 
-    ``edges`` maps (state, byte) to the next state and the tokens emitted on the
-    way; ``final`` has the tokens still pending if the text ends in a state.
+    ``edges`` maps (state, byte) to the next state and the number of the output on
+    the way; ``final`` has the output still pending if the text ends in a state. A
+    state is its configurations as packed 32-bit numbers.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.child: dict[int, int] = {}
@@ -74,22 +90,49 @@ class Transducer:
             made = self._halves(token)
             if made is not None:
                 self.grown.setdefault(made[0], []).append(token)
+        self.outs: list[bytes] = [b""]
         self._restart()
 
     def _restart(self) -> None:
-        self.states: dict[tuple[Config, ...], int] = {}
-        self.configs: list[tuple[Config, ...]] = []
-        self.final: list[tuple[int, ...]] = []
-        self.edges: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._state(((0, -1, ()),))
-
-    def _state(self, configs: tuple[Config, ...]) -> int:
-        found = self.states.get(configs)
+        self.states: dict[bytes, int] = {}
+        self.configs: list[bytes] = []
+        self.edges: dict[int, int] = {}
+        self._next_generation()
+
+    def _next_generation(self) -> None:
+        self.old_states, self.old_configs, self.old_edges = self.states, self.configs, self.edges
+        self.old_outs = self.outs if self.old_states else [b""]
+        self.states, self.configs, self.edges = {}, [], {}
+        self.outs, self.out_numbers, self.final = [b""], {b"": 0}, []
+        self._state(self._pack([(0, -1, ())]))
+
+    @staticmethod
+    def _pack(configs: list[Config]) -> bytes:
+        return array("i", [x for node, before, pending in configs for x in (node, before, len(pending), *pending)]).tobytes()
+
+    @staticmethod
+    def _unpack(packed: bytes) -> Iterator[Config]:
+        held, at = array("i", packed), 0
+        while at < len(held):
+            end = at + 3 + held[at + 2]
+            yield held[at], held[at + 1], tuple(held[at + 3:end])
+            at = end
+
+    def _out(self, output: bytes) -> int:
+        found = self.out_numbers.get(output)
         if found is None:
-            found = self.states[configs] = len(self.configs)
-            self.configs.append(configs)
+            found = self.out_numbers[output] = len(self.outs)
+            self.outs.append(output)
+        return found
+
+    def _state(self, packed: bytes) -> int:
+        found = self.states.get(packed)
+        if found is None:
+            found = self.states[packed] = len(self.configs)
+            self.configs.append(packed)
             # What is pending where a token has just ended; before the first byte nothing is.
-            self.final.append(next((pending for node, _, pending in configs if node == 0), ()))
+            ended = next((pending for node, _, pending in self._unpack(packed) if node == 0), ())
+            self.final.append(self._out(array("I", ended).tobytes()))
         return found
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -124,7 +167,7 @@ class Transducer:
         key = before << 32 | token
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 1_000_000:
+            if len(self.follows) > 250_000:
                 self.follows.clear()
             known = self.follows[key] = self._reachable(token) and not self._crosses(before, token)
         return known
@@ -177,9 +220,16 @@ class Transducer:
     def _made(self, token: int) -> int:
         return -1 if self._halves(token) is None else token
 
-    def _extend(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: int, byte: int) -> tuple[bytes, bytes]:
+        """The next state, packed, and the output on the way."""
+        packed = self.configs[state]
+        old = self.old_states.get(packed)
+        if old is not None:
+            edge = self.old_edges.get(old << 8 | byte)
+            if edge is not None:
+                return self.old_configs[edge >> _OUT_BITS], self.old_outs[edge & _OUT]
         reached: list[Config] = []
-        for node, before, pending in self.configs[state]:
+        for node, before, pending in self._unpack(packed):
             if not node and not self._may_start(before, byte):
                 continue
             node = self.child.get(node << 8 | byte)
@@ -192,7 +242,7 @@ class Transducer:
                 reached.append((node, before, pending))
         if not reached:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        agreed = ()
+        agreed: tuple[int, ...] = ()
         if len(reached) == 1:
             agreed = reached[0][2]
         elif all(c[2] for c in reached):
@@ -202,78 +252,132 @@ class Transducer:
         if agreed:
             reached = [(n, b, p[len(agreed):]) for n, b, p in reached]
         reached.sort()
-        edge_key = state << 8 | byte
-        if len(self.configs) >= self.max_states:
-            self._restart()
-            return self._state(tuple(reached)), agreed
-        edge = self.edges[edge_key] = (self._state(tuple(reached)), agreed)
+        return self._pack(reached), array("I", agreed).tobytes()
+
+    def _extend(self, state: int, byte: int) -> int:
+        packed, output = self._step(state, byte)
+        edge = self.edges[state << 8 | byte] = self._state(packed) << _OUT_BITS | self._out(output)
         return edge
 
-    def encode(self, word: bytes) -> list[int]:
-        state, ids = 0, []
+    def encode(self, word: bytes) -> bytes:
+        """Ids of one word as little-endian 32-bit numbers."""
+        state, made = 0, []
         for byte in word:
             edge = self.edges.get(state << 8 | byte)
             if edge is None:
+                if len(self.configs) >= self.max_states // 2:
+                    packed = self.configs[state]
+                    self._next_generation()
+                    state = self._state(packed)
                 edge = self._extend(state, byte)
-            state, out = edge
-            if out:
-                ids.extend(out)
-        ids.extend(self.final[state])
-        return ids
-
-
-class _Recent:
-    """A bounded memo of two generations: entries in use survive when the older one is dropped."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
-
-    def get(self, key):
-        found = self.old.get(key)
-        if found is not None:
-            self.put(key, found)
+            if edge & _OUT:
+                made.append(self.outs[edge & _OUT])
+            state = edge >> _OUT_BITS
+        made.append(self.outs[self.final[state]])
+        return b"".join(made)
+
+    def encode_all(self, words: list[bytes], block: int = 16_384) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and where each word ends."""
+        ids, sizes = [], []
+        for at in range(0, len(words), block):
+            if len(self.configs) >= self.max_states // 2:
+                self._next_generation()
+            values, ends = self._in_step(words[at:at + block])
+            ids.append(values)
+            sizes.append(np.diff(ends, prepend=0))
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none.astype("<u4"), *ids]), np.cumsum(np.concatenate([none, *sizes]))
+
+    def _in_step(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words byte by byte, all at once: each edge is looked up (or made) once a step."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        start = np.cumsum(sizes) - sizes
+        long = np.flatnonzero(sizes > _LONG)
+        outputs = [self.encode(words[i]) for i in long.tolist()]
+        rows = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+        state, at = np.zeros(len(rows), np.int64), 0
+        found_rows, found = [long], [np.arange(len(long))]
+
+        def add(some: np.ndarray, numbers: np.ndarray) -> None:
+            found_rows.append(some)
+            found.append(numbers + len(outputs))
+
+        if len(long) and len(self.configs) >= self.max_states // 2:
+            self._next_generation()
+        while len(rows):
+            keys, of = np.unique(state << 8 | data[start[rows] + at], return_inverse=True)
+            edges = list(map(self.edges.get, keys.tolist()))
+            for i, key in enumerate(keys.tolist()):
+                if edges[i] is None:
+                    edges[i] = self._extend(key >> 8, key & 255)
+            edge = np.array(edges, np.int64)[of]
+            state, out, at = edge >> _OUT_BITS, edge & _OUT, at + 1
+            add(rows[out > 0], out[out > 0])
+            ended = sizes[rows] == at
+            add(rows[ended], np.array([self.final[i] for i in state[ended].tolist()], np.int64))
+            rows, state = rows[~ended], state[~ended]
+        word, number = np.concatenate(found_rows), np.concatenate(found)
+        order = np.argsort(word, kind="stable")
+        outputs += self.outs
+        ends = np.cumsum(np.fromiter(map(len, outputs), np.int64, len(outputs))) // 4
+        ids, ends = take_runs(np.frombuffer(b"".join(outputs), "<u4"), ends, number[order].astype(np.int32))
+        return ids, np.concatenate([[0], ends])[np.cumsum(np.bincount(word, minlength=len(words)))]
+
+
+class Cutter:
+    """Matches of a pattern over letters, numbers and blanks, with the library's Unicode classes."""
+
+    def __init__(self, pattern: str):
+        self.pattern = regex.compile(pattern)
+        self.own = {name: regex.compile(rule) for name, rule in (("L", r"\p{L}"), ("N", r"\p{N}"), ("S", r"\s"))}
+        # A vocabulary that shows classes: "'s" is one token only if the character before it ends
+        # a match, "a" or "1" joins a first byte only if the character belongs to the match.
+        lead = [bytes([b]) for b in range(0xC2, 0xF5)]
+        tokens = [*[bytes([b]) for b in range(256)], b"'s", *[b"a" + b for b in lead], *[b"1" + b for b in lead]]
+        self.probe = tiktoken.Encoding(
+            "classes", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+        self.stand_in: dict[str, str] = {}
+
+    def library_class(self, char: str) -> str:
+        if self.probe.encode_ordinary("a" + char)[0] >= 256:
+            return "L"
+        if self.probe.encode_ordinary("1" + char)[0] >= 256:
+            return "N"
+        return "S" if 256 in self.probe.encode_ordinary(char + "'s") else "O"
+
+    def _learn(self, char: str) -> str:
+        own = next((name for name, rule in self.own.items() if rule.match(char)), "O")
+        library = self.library_class(char)
+        # No contraction of the pattern holds a z.
+        found = self.stand_in[char] = char if own == library else {"L": "z", "N": "1", "S": "\t", "O": "!"}[library]
         return found
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+    def cut(self, chunk: str) -> list[str]:
+        if chunk.isascii() or max(chunk) < _SETTLED:
+            return self.pattern.findall(chunk)
+        if len(self.stand_in) > 100_000:
+            self.stand_in.clear()
+        plain = "".join([c if c < _SETTLED else self.stand_in.get(c) or self._learn(c) for c in chunk])
+        if plain == chunk:
+            return self.pattern.findall(chunk)
+        return [chunk[m.start():m.end()] for m in self.pattern.finditer(plain)]
 
 
 class TextEncoder:
-    """Whole texts: the pattern cuts, the transducer encodes, frequent chunks are remembered."""
+    """Whole texts: the pattern cuts, the transducer encodes each distinct piece of a slice once."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 120_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
-        self.pattern = regex.compile(pattern)
-        self.chunks, self.pieces = _Recent(remember), _Recent(remember // 2)
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.young.get(piece) or self.pieces.get(piece)
-        if ids is None:
-            ids = array("I", self.transducer.encode(piece.encode())).tobytes()
-            if len(piece) <= 64:
-                self.pieces.put(piece, ids)
-        return ids
-
-    def chunk(self, text: str) -> bytes:
-        return b"".join(map(self._piece, self.pattern.findall(text)))
-
-    def _after_space(self, part: str) -> bytes:
-        ids = self.chunks.get(part)
-        if ids is None:
-            ids = self.chunk(" " + part)
-            if len(part) <= 64:
-                self.chunks.put(part, ids)
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian 32-bit numbers."""
-        head, *parts = words_after_space(text)
-        found = list(map(self.chunks.young.get, parts))
-        if None in found:
-            found = [self._after_space(p) if ids is None else ids for p, ids in zip(parts, found)]
-        return self.chunk(head) + b"".join(found)
+        self.cutter = Cutter(pattern)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text ends."""
+        chunks = Chunks(texts)
+        pieces, index, chunk_ends = chunks.pieces(self.cutter.pattern, self.cutter.cut)
+        ids, ends = self.transducer.encode_all([piece.encode() for piece in pieces])
+        ids, ends = take_runs(ids, ends, index)
+        return chunks.texts(ids, np.concatenate([[0], ends])[chunk_ends])
 
 
 def _utf8_steps() -> list[dict[int, int]]:
@@ -347,54 +451,37 @@ class StreamDecoder:
         return "".join([*map(self.feed, ids), self.finish()])
 
 
-_encoders: dict[tuple[str, str], TextEncoder] = {}
-_decoders: dict[str, StreamDecoder] = {}
-
-
+@lru_cache(maxsize=1)
 def _encoder(path: str, pattern: str) -> TextEncoder:
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = TextEncoder(read_ranks(path), pattern)
-    return _encoders[path, pattern]
+    return TextEncoder(read_ranks(path), pattern)
 
 
+@lru_cache(maxsize=1)
 def _decoder(path: str) -> StreamDecoder:
-    if path not in _decoders:
-        _decoders[path] = StreamDecoder({rank: token for token, rank in read_ranks(path).items()})
-    return _decoders[path]
-
-
-def _with_column(df: DataFrame, name: str) -> T.StructType:
-    kept = [f for f in df.schema.fields if f.name != name]
-    return T.StructType([*kept, T.StructField(name, T.BinaryType())])
-
-
-def _set(batch: pa.RecordBatch, schema: T.StructType, name: str, values: list[bytes]) -> pa.RecordBatch:
-    columns = [batch.column(f.name) for f in schema.fields[:-1]]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], schema.names)
+    return StreamDecoder({rank: token for token, rank in read_ranks(path).items()})
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids``: the token ids of ``text`` as little-endian 32-bit numbers."""
-    schema = _with_column(docs, ids)
+    schema = with_binary(docs, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the encoder holds millions of small objects and makes no cycles
         encoder = _encoder(ranks_path, pattern)
         for batch in slices(batches, text):
-            made = [encoder.encode(t or "") for t in batch.column(text).to_pylist()]
-            yield _set(batch, schema, ids, made)
+            made, ends = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
+            yield set_last(batch, schema, binary_array(made.astype("<u4"), 4 * ends))
 
     return docs.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded``: the UTF-8 bytes of the text that ``ids`` stand for (null: empty)."""
-    schema = _with_column(encoded, decoded)
+    schema = with_binary(encoded, decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(ranks_path)
         for batch in slices(batches, ids):
             made = [decoder.decode(array("I", data or b"")).encode() for data in batch.column(ids).to_pylist()]
-            yield _set(batch, schema, decoded, made)
+            yield set_last(batch, schema, pa.array(made, pa.binary()))
 
     return encoded.mapInArrow(run, schema)

@@ -249,7 +249,9 @@ def build_trees(rows: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[tuple[s
         CoverTree(*columns, _matrix(group["v"], dim)).save(path)
         return pd.DataFrame({"path": [path], "dim": [dim]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    # Dealt to a fixed number of tasks: adaptive execution would put small shards into one.
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).repartition(
+        max(shards, shuffle_partitions(spark)), "dim", "shard")
     made = stored(dealt.groupBy("dim", "shard").applyInPandas(build, "path string, dim int"), "tree-list")
     return [(r.path, r.dim) for r in made.orderBy("path").collect()]
 
@@ -294,6 +296,7 @@ def ask(anchors: DataFrame, trees: list[tuple[str, int]], total: int, same: bool
     dealt = (
         anchors.withColumn("block", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(blocks)))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        .repartition(max(blocks * parts, shuffle_partitions(spark)), "dim", "block", "part")
     )
     found = dealt.groupBy("dim", "block", "part").applyInPandas(
         run, "row bigint, anchor_id bigint, place int, of_id bigint, of_score bigint, score bigint, "

@@ -315,18 +315,7 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text ends."""
         chunks = Chunks(texts, self.cut)
-        numbers: dict[str | tuple[str], int] = {}
-        cut, sizes = [], []
-        for part in chunks.after:
-            part = " " + part
-            found = [part] if part[1:].isalpha() and part.isascii() else self.words(part)
-            sizes.append(len(found))
-            cut.extend([numbers.setdefault(word, len(numbers)) for word in found])
-        for head in chunks.heads:
-            found = [head] if isinstance(head, tuple) else self.words(head)
-            sizes.append(len(found))
-            cut.extend([numbers.setdefault(word, len(numbers)) for word in found])
-        names = list(numbers)
+        names, index, chunk_ends = chunks.pieces(_PATTERN, self.words)
         marks = [i for i, name in enumerate(names) if isinstance(name, tuple)]
         # A special string is an empty word here and gets its id afterwards.
         ids, ends = self.encode_words([b"" if isinstance(name, tuple) else name.encode() for name in names])
@@ -335,10 +324,8 @@ class Vocabulary:
             more = np.zeros(len(names), np.int64)
             more[marks] = 1
             ends = ends + np.cumsum(more)
-        ids, ends = take_runs(ids, ends, np.array(cut, np.int32))
-        chunk_ends = np.concatenate([[0], ends])[np.cumsum(np.array(sizes, np.int64))]
-        ids, ends = take_runs(ids, chunk_ends, chunks.index)
-        return ids, np.concatenate([[0], ends])[chunks.ends]
+        ids, ends = take_runs(ids, ends, index)
+        return chunks.texts(ids, np.concatenate([[0], ends])[chunk_ends])
 
     @property
     def table(self) -> pa.Array:

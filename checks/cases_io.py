@@ -15,13 +15,16 @@ from fraudloom import schemas
 from fraudloom.functions.times import instant
 from fraudloom.operators import validate
 from fraudloom.operators.alerts import load_alert_fact
+from fraudloom.operators.profiles import refresh_stats
 from fraudloom.operators.trailing import trailing_features
 from fraudloom.plans import dashboard
 from fraudloom.plans.mart import read_fact
 from fraudloom.plans.scoring import fired
 from fraudloom.session import work_dir
 from fraudloom.sources import archive, backup, csv, ingest, topics
+from fraudloom.sources.profilestore import ProfileStore
 from fraudloom.streaming import jobs, sinks
+from fraudloom.streaming.features import living_state
 
 _ROUNDS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 _FOLDERS: dict[tuple[str, str, str], str] = {}
@@ -61,14 +64,17 @@ def _incoming(spark, folder, start="latest"):
 
 
 def _scoring(spark, sf):
-    """Output folder of the scoring job after three rounds."""
+    """Output folder of the scoring job after three rounds, folders merged and profiles written back after each."""
     def build(base):
-        source = f"{base}/source"
+        source, store = f"{base}/source", ProfileStore(spark, f"{base}/profiles", buckets=4)
+        store.create(fx.profiles(spark, sf))
         for piece in _rounds(spark, sf):
             topics.publishable(piece).write.mode("append").parquet(source)
             drain(jobs.score_stream(
-                spark, _incoming(spark, source), base,
-                lambda: fx.blacklist(spark, sf), lambda: fx.profiles(spark, sf), fx.FIXTURE))
+                spark, _incoming(spark, source), base, lambda _: fx.blacklist(spark, sf), store.lookup, fx.FIXTURE))
+            jobs.compact(spark, base, idle_days=60)
+            jobs.write_back_profiles(spark, base, store)
+        jobs.close_profiles(spark, base, store)
     return _once(spark, sf, "scoring", build)
 
 
@@ -80,6 +86,7 @@ def _rollup(spark, sf):
             # test folders are replayed file by file in any order, hence the long lateness
             drain(jobs.upsert_stream(
                 jobs.hourly_rollup(_incoming(spark, source), "60 days"), base, "summaries"))
+            jobs.compact_upserts(spark, base, "summaries", ["summary_hour", "transaction_type"])
     return _once(spark, sf, "rollup", build)
 
 
@@ -107,8 +114,8 @@ def _replayed(spark, sf):
         spark.createDataFrame([sent], "sent bigint, skipped bigint").write.parquet(f"{base}/counters")
         drain(jobs.score_stream(
             spark, _incoming(spark, f"{base}/source"), base,
-            lambda: fx.blacklist(spark, sf), lambda: fx.profiles(spark, sf), fx.FIXTURE,
-            lambda alerts, batch_id: topics.send(alerts, f"{base}/alert_messages", "text")))
+            lambda _: fx.blacklist(spark, sf), lambda _: fx.profiles(spark, sf), fx.FIXTURE,
+            lambda alerts, batch_id: topics.send(alerts, f"{base}/alert_messages")))
         jobs.load_alerts(spark, base, f"{base}/fact")
     return _once(spark, sf, "replayed", build)
 
@@ -140,10 +147,25 @@ select nameOrig as card_id, amount, type, rules as rules_triggered, score_e4 / 1
   isFraud as is_fraud_label, ingestion_timestamp_ms as alert_ts_ms from fired""", replayed=True))
 def _(spark, sf):
     """Alerts as the scoring stream sent them to a topic."""
-    sent = spark.read.text(f"{_replayed(spark, sf)}/alert_messages")
+    sent = spark.read.parquet(f"{_replayed(spark, sf)}/alert_messages")
     return sent.select(F.from_json("value", schemas.ALERT).alias("alert")).select("alert.*")
 
 
+@case("s7_alerts_once", sql("scored", """
+select nameOrig as card_id, amount, type, rules as rules_triggered, score_e4 / 10000.0 as risk_score,
+  isFraud as is_fraud_label, ingestion_timestamp_ms as alert_ts_ms from fired"""))
+def _(spark, sf):
+    """What a consumer gets of a topic to which every second batch was sent twice."""
+    def build(base):
+        sent = sinks.read_batches(spark, _scoring(spark, sf), "alert_topic")
+        for batch in (sent, sent.where("batch_id % 2 = 0")):
+            topics.send(batch.select("key", "value"), f"{base}/topic")
+        incoming = topics.read_topic(spark, f"{base}/topic", schema="key binary, value string")
+        drain(topics.read_alerts(incoming, "60 days").writeStream.format("parquet")
+              .option("path", f"{base}/alerts").option("checkpointLocation", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{_once(spark, sf, 'alerts_once', build)}/alerts").drop("alert_id", "alert_ts")
+
+
 @case("s5_partitioned_event_numbers", sql("scored", """
 select (seq % 4) * 281474976710656 + seq // 4 as alert_id, nameOrig as card_id, nameDest as dest_id from fired"""))
 def _(spark, sf):
@@ -350,7 +372,7 @@ def _(spark, sf):
 # ---- streams ----------------------------------------------------------------------
 @case("x2_stateful_features", sql("feat", "select seq, nameOrig, n_window, hv_window, prev_ts from feat"))
 def _(spark, sf):
-    features = sinks.read_batches(spark, _scoring(spark, sf), "features")
+    features = sinks.read_batches(spark, _scoring(spark, sf), "scored")
     return features.select("seq", "nameOrig", "n_window", "hv_window", "prev_ts")
 
 
@@ -358,7 +380,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Rows on which the stream and the batch disagree: none."""
     columns = ["nameOrig", "seq", "n_window", "hv_window", "prev_ts"]
-    stream = sinks.read_batches(spark, _scoring(spark, sf), "features").select(*columns)
+    stream = sinks.read_batches(spark, _scoring(spark, sf), "scored").select(*columns)
     batch = trailing_features(fx.transactions(spark, sf), fx.FIXTURE).select(*columns)
     return stream.exceptAll(batch).unionByName(batch.exceptAll(stream)).select("seq")
 
@@ -373,7 +395,7 @@ def _late_scoring(spark, sf):
             topics.publishable(piece).write.mode("append").parquet(source)
             drain(jobs.score_stream(
                 spark, _incoming(spark, source), base,
-                lambda: fx.blacklist(spark, sf), lambda: fx.profiles(spark, sf), fx.FIXTURE))
+                lambda _: fx.blacklist(spark, sf), lambda _: fx.profiles(spark, sf), fx.FIXTURE))
     return _once(spark, sf, "late", build)
 
 
@@ -400,14 +422,14 @@ _LATE = f""", arriving as (
 @case("x3_late_events", sql("tx", f"""{_LATE}
 select count(*) as events, cast(sum(is_late) as bigint) as late from counts"""))
 def _(spark, sf):
-    features = sinks.read_batches(spark, _late_scoring(spark, sf), "features")
+    features = sinks.read_batches(spark, _late_scoring(spark, sf), "scored")
     return features.agg(F.count(F.lit(1)).alias("events"), F.count_if("is_late").alias("late"))
 
 
 @case("x3_late_windows", sql("tx", f"{_LATE} select seq, is_late, n_window, hv_window from counts"))
 def _(spark, sf):
     """Late events are judged against what earlier rounds left, newer events included."""
-    return sinks.read_batches(spark, _late_scoring(spark, sf), "features").select(
+    return sinks.read_batches(spark, _late_scoring(spark, sf), "scored").select(
         "seq", "is_late", "n_window", "hv_window")
 
 
@@ -424,7 +446,7 @@ def _(spark, sf):
     """Each round restarted the job from its checkpoint."""
     base = _scoring(spark, sf)
     alerts = sinks.read_batches(spark, base, "alerts")
-    batches = sinks.read_batches(spark, base, "features").select("batch_id").distinct()
+    batches = sinks.read_batches(spark, base, "scored").select("batch_id").distinct()
     return alerts.agg(
         F.count(F.lit(1)).alias("alerts"), F.countDistinct("row_key").alias("distinct_alerts")
     ).crossJoin(batches.agg(F.count(F.lit(1)).alias("batches")))  # one row each
@@ -434,7 +456,7 @@ def _(spark, sf):
 select nameOrig as card_id, amount, type, rules as rules_triggered, score_e4 / 10000.0 as risk_score,
   isFraud as is_fraud_label, ingestion_timestamp_ms as alert_ts_ms from fired"""))
 def _(spark, sf):
-    published = sinks.read_batches(spark, _scoring(spark, sf), "alert_topic", "text")
+    published = sinks.read_batches(spark, _scoring(spark, sf), "alert_topic")
     return published.select(F.from_json("value", schemas.ALERT).alias("alert")).select("alert.*")
 
 
@@ -445,12 +467,49 @@ def _(spark, sf):
         "seq", "is_active", "credit_limit", "last_city", "rules_triggered")
 
 
-@case("s22_stream_write_back", sql("scored", """
+_WRITTEN_BACK = """
 select nameOrig as card_id, ym as year_month, arg_max(amount, seq) as last_amount,
-  max(ingestion_timestamp_ms) as last_tx_ts from scored group by 1, 2"""))
+  max(ingestion_timestamp_ms) as last_tx_ts from scored {} group by 1, 2"""
+
+
+def _store(spark, sf):
+    return ProfileStore(spark, f"{_scoring(spark, sf)}/profiles")
+
+
+@case("s22_stream_write_back", sql("scored", _WRITTEN_BACK.format("")))
 def _(spark, sf):
-    merged = jobs.compact_profiles(spark, _scoring(spark, sf), fx.profiles(spark, sf))
-    return merged.where("last_tx_ts is not null").select("card_id", "year_month", "last_amount", "last_tx_ts")
+    return _store(spark, sf).read().where("last_tx_ts is not null").select(
+        "card_id", "year_month", "last_amount", "last_tx_ts")
+
+
+@case("s22_older_version", sql("scored", _WRITTEN_BACK.format("where event_ts < timestamp '2024-01-21'")))
+def _(spark, sf):
+    """The version before the last one: two rounds written back."""
+    store = _store(spark, sf)
+    return store.read(store.versions.newest() - 1).where("last_tx_ts is not null").select(
+        "card_id", "year_month", "last_amount", "last_tx_ts")
+
+
+@case("a12_merged_stats", sql("feat", """
+select nameOrig as card_id, ym as year_month, arg_max(n_window, seq) as tx_count_5m,
+  arg_max(window_cents, seq) / 100.0 as amount_sum_5m,
+  round((cast(sum(cents) as bigint) / 100.0) / count(*), 6) as avg_amount from feat group by 1, 2"""))
+def _(spark, sf):
+    """Statistics carried from round to round in the profile versions, never recomputed from transactions."""
+    merged = refresh_stats(_store(spark, sf).read()).where("tx_n > 0")
+    return merged.select("card_id", "year_month", "tx_count_5m", "amount_sum_5m", F.round("avg_amount", 6).alias("avg_amount"))
+
+
+@case("x4_state_expiry", sql("tx", f"""
+, last as (select nameOrig, max(ingestion_timestamp_ms) as newest from tx group by 1)
+select l.nameOrig, l.newest, count(*) as n_kept from last l join tx t on t.nameOrig = l.nameOrig
+  and t.ingestion_timestamp_ms >= l.newest - {WINDOW_MS}
+where l.newest >= (select max(newest) from last) - 2 * 86400000 group by 1, 2"""))
+def _(spark, sf):
+    """Tails left after cards idle for two days are dropped: their newest event and the events of their last window."""
+    tails = living_state(sinks.read_batches(spark, _scoring(spark, sf), "tails"), 2)
+    return tails.where("month is null").groupBy("nameOrig").agg(
+        F.max("at").alias("newest"), F.sum("n").alias("n_kept"))
 
 
 _SUMMARY = """select strftime(summary_hour, '%Y-%m-%d %H:%M:%S.%f') as summary_hour, transaction_type,
@@ -475,6 +534,7 @@ def _(spark, sf):
     def build(base):
         drain(jobs.upsert_stream(jobs.minute_throughput(_incoming(spark, source)), base, "minutes"))
     base = _once(spark, sf, "minutes", build)
+    jobs.compact_upserts(spark, base, "minutes", ["bucket"])
     return sinks.latest_by_key(sinks.read_batches(spark, base, "minutes"), ["bucket"])
 
 
@@ -507,10 +567,31 @@ def _delivery(spark, sf):
         jobs.dashboard_stream(_incoming(spark, source), base, lambda payload: 202)))
 
 
-@case("s12_dashboard_stream", sql("tx", "select count(*) as rows_delivered from tx"))
+@case("s12_dashboard_stream", sql("feed", """
+select "Transaction_ID", "Time", "Amount", "Status", score_e2 / 100.0 as "Score" from feed"""))
+def _(spark, sf):
+    """Every row as the receiver got it, out of the delivered payloads."""
+    outcome = sinks.read_batches(spark, _delivery(spark, sf), "delivery").where("delivered")
+    row = "Transaction_ID string, Time string, Amount double, Status string, Score double"
+    rows = F.from_json("payload_json", f"rows array<struct<{row.replace(' string', ': string').replace(' double', ': double')}>>")
+    return outcome.select(F.explode(rows["rows"]).alias("row")).select("row.*")
+
+
+@case("x10_replayed_batch", sql("feed", """
+, secs as (select cast(floor(epoch(event_ts)) as bigint) as s, count(*) as n from feed group by 1)
+select 'first' as run, cast(sum((n + 19) // 20) as bigint) as sent, cast(sum(n) as bigint) as n_rows from secs
+union all select 'replay', 0, cast(sum(n) as bigint) from secs"""))
 def _(spark, sf):
-    outcome = sinks.read_batches(spark, _delivery(spark, sf), "delivery")
-    return outcome.where("delivered").agg(F.sum("n_rows").alias("rows_delivered"))
+    """A batch delivered, lost before its outcome was stored, and delivered again: nothing is sent twice."""
+    payloads = dashboard.push_payloads(fx.mart(spark, sf)["feed"])
+    claims, runs = work_dir(spark, "claims"), []
+    for run in ("first", "replay"):
+        path = work_dir(spark, "delivery")
+        sinks.deliver(payloads, lambda payload: 200, claims=claims).write.parquet(path)
+        outcome = spark.read.parquet(path)
+        runs.append(outcome.agg(
+            F.lit(run).alias("run"), F.sum("attempts").alias("sent"), F.sum("n_rows").alias("n_rows")))
+    return runs[0].unionByName(runs[1])
 
 
 @case("x10_dropped_payloads", sql("feed", """, secs as (

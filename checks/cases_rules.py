@@ -329,6 +329,31 @@ def _(spark, sf):
     return bad.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+_BROKEN = """
+select 'dim_transaction_type' as fact, 'type_name' as "column", 0 as rows, null as first_offender
+union all select 'dim_rule', 'severity', 0, null
+union all select 'fraud_alerts', 'review_status', count(*) filter (alert_id % 5 = 0),
+  case when count(*) filter (alert_id % 5 = 0) > 0 then 'LOST' end from fa
+union all select 'pipeline_health_metrics', 'status', (select count(*) from events where event_id % 7 = 0), null
+union all select 'pipeline_events', 'severity', (
+    select count(*) from events where event_type not in ('click', 'purchase') and event_id % 2 = 0),
+  'critical'"""
+
+
+@case("p15_declared_domains", sql("fa", _BROKEN))
+def _(spark, sf):
+    """All five declared domains in one pass over each table; some stored codes are damaged first."""
+    tables = fx.mart(spark, sf)
+    tables = {name: tables[name] for name, _ in config.DOMAINS}
+    tables["fraud_alerts"] = tables["fraud_alerts"].withColumn(
+        "review_status", F.when(F.col("alert_id") % 5 == 0, "LOST").otherwise(F.col("review_status")))
+    metrics = tables["pipeline_health_metrics"]
+    tables["pipeline_health_metrics"] = metrics.withColumn("status", F.when(F.col("metric_id") % 7 != 0, F.col("status")))
+    tables["pipeline_events"] = tables["pipeline_events"].withColumn(
+        "severity", F.when(F.col("event_id") % 2 == 0, F.lower("severity")).otherwise(F.col("severity")))
+    return validate.violations(tables, config.DOMAINS)
+
+
 @case("p16_system_flag", sql("tx", """
 select seq, isFlaggedFraud, cast(type = 'TRANSFER' and amount > 15000 as bigint) as expected_flag
 from tx where isFlaggedFraud <> cast(type = 'TRANSFER' and amount > 15000 as bigint)"""))

@@ -25,6 +25,13 @@ REVIEW_STATUSES = ("PENDING", "CONFIRMED_FRAUD", "FALSE_POSITIVE", "UNDER_REVIEW
 SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
 METRIC_STATUSES = ("OK", "WARNING", "CRITICAL", "UNKNOWN")
 EVENT_SEVERITIES = ("INFO", "WARNING", "ERROR", "CRITICAL")
+DOMAINS = {
+    ("dim_transaction_type", "type_name"): TRANSACTION_TYPES,
+    ("dim_rule", "severity"): SEVERITIES,
+    ("fraud_alerts", "review_status"): REVIEW_STATUSES,
+    ("pipeline_health_metrics", "status"): METRIC_STATUSES,
+    ("pipeline_events", "severity"): EVENT_SEVERITIES,
+}
 TYPE_SEEDS = (
     ("PAYMENT", "Point-of-sale or online payment"),
     ("TRANSFER", "Account-to-account transfer"),

@@ -8,17 +8,21 @@ from pyspark.sql import functions as F
 from fraudloom.functions import keys, parsing, times
 
 
-def alert_payload(fired: DataFrame) -> DataFrame:
-    """What is published for one alert."""
-    return fired.select(
+def _payload() -> list[Column]:
+    return [
         F.col("nameOrig").alias("card_id"),
-        "amount",
-        "type",
-        "rules_triggered",
-        "risk_score",
+        F.col("amount"),
+        F.col("type"),
+        F.col("rules_triggered"),
+        F.col("risk_score"),
         F.col("isFraud").alias("is_fraud_label"),
         F.col("ingestion_timestamp_ms").alias("alert_ts_ms"),
-    )
+    ]
+
+
+def alert_payload(fired: DataFrame) -> DataFrame:
+    """What is published for one alert."""
+    return fired.select(*_payload())
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -26,6 +30,14 @@ def as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
+def alert_messages(fired: DataFrame) -> DataFrame:
+    """Alerts as topic messages: ``key`` is the alert's id, equal whenever the same alert is sent again."""
+    row_key = keys.alert_key(F.col("nameOrig"), F.col("ingestion_timestamp_ms"))
+    return fired.select(
+        F.encode(F.concat_ws("_", row_key, F.col("seq").cast("string")), "UTF-8").alias("key"),
+        F.to_json(F.struct(*_payload())).alias("value"))
+
+
 def upsert_alerts(fired: DataFrame) -> DataFrame:
     """Keyed alert rows; of several alerts of a card in one millisecond the last arrival stays.
 

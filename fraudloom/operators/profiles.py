@@ -4,54 +4,58 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from fraudloom import config, schemas
 from fraudloom.functions import keys
 from fraudloom.functions.times import year_month
 
 _KEY = ["card_id", "year_month"]
+_SUMS = ("tx_total", "tx_n")
 
 
-def latest_activity(scored: DataFrame) -> DataFrame:
-    """Last amount, score, flag and time stamp per card and month.
+def _last_event(rows: DataFrame) -> DataFrame:
+    """The last row per card and month; the row-number filter cuts each task down before the exchange."""
+    last = Window.partitionBy(*_KEY).orderBy(F.desc("ingestion_timestamp_ms"), F.desc("seq"))
+    keyed = rows.withColumns({
+        "card_id": F.col("nameOrig"), "year_month": year_month(F.col("ingestion_timestamp_ms"))})
+    return keyed.withColumn("_back", F.row_number().over(last)).where("_back = 1")
 
-    ``max_by`` combines on the map side: a hot card sends one row per task.
-    """
-    seen = F.struct(
-        F.col("amount").alias("last_amount"),
-        F.col("risk_score").alias("score"),
+
+def latest_activity(scored: DataFrame) -> DataFrame:
+    """Last amount, score, flag and time stamp per card and month."""
+    return _last_event(scored).select(
+        *_KEY, F.col("amount").alias("last_amount"), F.col("risk_score").alias("score"),
         F.when(F.col("flagged"), "1").otherwise("0").alias("flagged"),
-        F.col("ingestion_timestamp_ms").alias("last_tx_ts"),
-    )
-    return (
-        scored.groupBy(
-            F.col("nameOrig").alias("card_id"),
-            year_month(F.col("ingestion_timestamp_ms")).alias("year_month"),
-        )
-        .agg(F.max_by(seen, F.struct("ingestion_timestamp_ms", "seq")).alias("seen"))
-        .select(*_KEY, "seen.*")
-    )
+        F.col("ingestion_timestamp_ms").alias("last_tx_ts"))
 
 
-def _complete(profiles: DataFrame) -> DataFrame:
+def complete(profiles: DataFrame, schema: StructType = schemas.USER_PROFILES) -> DataFrame:
     """All profile columns, null where the snapshot has none."""
     return profiles.select(*[
         (F.col(f.name) if f.name in profiles.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schemas.USER_PROFILES.fields
+        for f in schema.fields
     ])
 
 
-def _overlay(profiles: DataFrame, newer: DataFrame) -> DataFrame:
-    """Full outer merge on the profile key: non-null values of ``newer`` win."""
+def _overlay(profiles: DataFrame, newer: DataFrame, schema: StructType = schemas.USER_PROFILES) -> DataFrame:
+    """Full outer merge on the profile key: non-null values of ``newer`` win, sums add up."""
     updated = [c for c in newer.columns if c not in _KEY]
     renamed = newer.select(*_KEY, *[F.col(c).alias("_new_" + c) for c in updated])
-    merged = _complete(profiles).join(renamed, _KEY, "full")
-    return merged.select(*[
-        F.coalesce("_new_" + c, c).alias(c) if c in updated else F.col(c)
-        for c in schemas.USER_PROFILES.names
-    ])
+    merged = complete(profiles, schema).join(renamed, _KEY, "full")
+
+    def value(name: str, kind: DataType) -> Column:
+        if name not in updated:
+            return F.col(name)
+        if name in _SUMS:
+            parts = [F.coalesce(F.col(c), F.lit(0)) for c in (name, "_new_" + name)]
+            both = F.when(F.col(name).isNotNull() | F.col("_new_" + name).isNotNull(), parts[0] + parts[1])
+            return both.cast(kind).alias(name)
+        return F.coalesce("_new_" + name, name).alias(name)
+
+    return merged.select(*[value(f.name, f.dataType) for f in schema.fields])
 
 
 def merge_profiles(profiles: DataFrame, scored: DataFrame) -> DataFrame:
@@ -62,32 +66,53 @@ def merge_profiles(profiles: DataFrame, scored: DataFrame) -> DataFrame:
     return _overlay(profiles, latest_activity(scored))
 
 
-def rolling_stats(featured: DataFrame) -> DataFrame:
-    """Average amount per card and month, and the trailing count and sum at its last event.
+def window_stats(featured: DataFrame) -> DataFrame:
+    """Trailing count and sum at the last event per card and month, and the sums behind the average.
 
-    ``featured`` comes from ``trailing_features(..., amounts=True)``. Averages go
-    into the next snapshot, never into the pass that judges the same events.
+    ``featured`` comes from ``trailing_features(..., amounts=True)`` or the stream.
     """
-    last = F.struct("n_window", "amount_window")
-    by_key = featured.groupBy(
-        F.col("nameOrig").alias("card_id"),
-        year_month(F.col("ingestion_timestamp_ms")).alias("year_month"),
+    last = _last_event(featured).select(
+        *_KEY, F.col("n_window").alias("tx_count_5m"), F.col("amount_window").cast("double").alias("amount_sum_5m"))
+    sums = featured.groupBy(
+        F.col("nameOrig").alias("card_id"), year_month(F.col("ingestion_timestamp_ms")).alias("year_month"),
     ).agg(
-        F.max_by(last, F.struct("ingestion_timestamp_ms", "seq")).alias("last"),
-        F.sum(F.col("amount").try_cast("decimal(18,2)")).alias("total"),
-        F.count("amount").alias("n"),
-    )
-    return by_key.select(
-        *_KEY,
-        F.col("last.n_window").alias("tx_count_5m"),
-        F.col("last.amount_window").cast("double").alias("amount_sum_5m"),
-        (F.col("total").cast("double") / F.col("n")).alias("avg_amount"),
+        F.sum(F.col("amount").try_cast("decimal(18,2)")).cast("decimal(22,2)").alias("tx_total"),
+        F.count("amount").alias("tx_n"),
     )
+    return last.join(sums, _KEY)
+
 
+def _average() -> Column:
+    return F.when(F.col("tx_n") > 0, F.col("tx_total").cast("double") / F.col("tx_n"))
 
-def refresh_stats(profiles: DataFrame, featured: DataFrame) -> DataFrame:
-    """The snapshot with recomputed rolling statistics."""
-    return _overlay(profiles, rolling_stats(featured))
+
+def rolling_stats(featured: DataFrame) -> DataFrame:
+    """Average amount per card and month, and the trailing count and sum at its last event.
+
+    Averages go into the next snapshot, never into the pass that judges the same events.
+    """
+    return window_stats(featured).select(*_KEY, "tx_count_5m", "amount_sum_5m", _average().alias("avg_amount"))
+
+
+def batch_activity(scored: DataFrame) -> DataFrame:
+    """What one batch of the scoring job changes in the profiles, statistics included."""
+    return latest_activity(scored).join(window_stats(scored), _KEY)
+
+
+def merge_activity(profiles: DataFrame, activity: DataFrame, schema: StructType) -> DataFrame:
+    """The snapshot after the activity of several batches (``batch_id``): last values of the last batch, sums of all.
+
+    Nothing is recomputed from transactions.
+    """
+    last = Window.partitionBy(*_KEY).orderBy(F.desc("batch_id"))
+    newest = activity.withColumn("_back", F.row_number().over(last)).where("_back = 1").drop("_back", "batch_id", *_SUMS)
+    sums = activity.groupBy(*_KEY).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    return _overlay(profiles, newest.join(sums, _KEY), schema)
+
+
+def refresh_stats(profiles: DataFrame) -> DataFrame:
+    """The snapshot with averages from its sums; rows without events keep theirs."""
+    return profiles.withColumn("avg_amount", F.coalesce(_average(), "avg_amount"))
 
 
 def with_row_key(profiles: DataFrame) -> DataFrame:
@@ -116,7 +141,7 @@ def retained(cells: DataFrame, table: str, as_of: datetime) -> DataFrame:
 
     ``cells`` has row_key, family, qualifier, value, version_ts (timestamp). Age
     limit and version count depend on the family; one pass serves all families.
-    Cells of families without limits are kept as they are.
+    Cells of families without limits are kept as they are, without a rank.
     """
     limits = {f: limit for (owner, f), limit in config.RETENTION.items() if owner == table}
     family = F.col("family")
@@ -132,7 +157,5 @@ def retained(cells: DataFrame, table: str, as_of: datetime) -> DataFrame:
         cells.where(young), ["row_key", "family", "qualifier"], "version_ts", most
     )
     listed = F.coalesce(family.isin(*limits), F.lit(False))
-    free = latest_versions(
-        cells.where(~listed), ["row_key", "family", "qualifier"], "version_ts", (1 << 31) - 1
-    )
+    free = cells.where(~listed).withColumn("version_rank", F.lit(None).cast("int"))
     return ranked.where(F.col("version_rank") <= kept).unionByName(free)

@@ -15,6 +15,9 @@ A card that holds a large share of all rows is cut into time slots. What
 earlier slots leave behind (still open transactions, last time stamp) is summed
 per slot with map-side combine and joined back as the opening balance of the
 slot. All other cards use the single slot -1 and need no opening balance.
+
+Streams hand in what earlier batches left (``carried``): counts per card and
+millisecond, which are in the window from the start and leave it like others.
 """
 
 from __future__ import annotations
@@ -30,12 +33,37 @@ from fraudloom.operators.skew import heavy_keys
 
 _CARD, _TS = "nameOrig", "ingestion_timestamp_ms"
 _WHOLE = -1
+_START = -(1 << 60)  # a place before all times
 
 
 def _month(ts_ms: Column) -> Column:
     return F.trunc(F.to_date(event_time(ts_ms)), "month")
 
 
+def large_amount(cfg: RuleConfig) -> Column:
+    """Whether the amount counts as large; NaN, which compares as largest, does not."""
+    return (F.col("amount") >= cfg.high_value) & ~F.isnan("amount")
+
+
+def _slot(cfg: RuleConfig) -> Column:
+    return F.when(F.col("_hot"), F.expr(f"_pos div {cfg.slot_ms}")).otherwise(_WHOLE)
+
+
+def _carried_rows(carried: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts: bool) -> DataFrame:
+    """Earlier counts as rows that enter before all events and leave like events."""
+    rows = carried.join(F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left").select(
+        "*", F.explode(F.array(F.lit(2), F.lit(0))).alias("_arrives"))
+    enters = F.col("_arrives") == 2
+    sign = F.when(enters, 1).otherwise(-1)
+    columns = {
+        "_pos": F.when(enters, F.lit(_START)).otherwise(F.col("at") + cfg.window_ms + 1),
+        "_one": sign * F.col("n"), "_large": sign * F.col("large"), "_arrived": F.lit(None).cast("bigint"),
+    }
+    if amounts:
+        columns["_amount"] = sign * F.col("amount").cast("decimal(22,2)")
+    return rows.withColumns(columns).withColumn("_slot", _slot(cfg))
+
+
 def _arrivals_and_exits(tx: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts: bool) -> DataFrame:
     marked = tx.join(
         F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left"
@@ -43,18 +71,16 @@ def _arrivals_and_exits(tx: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts:
     arrives = F.col("_arrives") == 1
     sign = F.when(arrives, 1).otherwise(-1)
     ts = F.col(_TS)
-    large = (F.col("amount") >= cfg.high_value) & ~F.isnan("amount")
     rows = marked.withColumns({
         "_pos": F.when(arrives, ts).otherwise(ts + cfg.window_ms + 1),
         "_one": sign,
-        "_large": F.when(large, sign).otherwise(0),
+        "_large": F.when(large_amount(cfg), sign).otherwise(0),
         "_arrived": F.when(arrives, ts),
     })
     if amounts:
         # decimal: a running sum that adds and subtracts doubles would drift
         rows = rows.withColumn("_amount", sign * F.col("amount").try_cast("decimal(18,2)"))
-    slot = F.when(F.col("_hot"), F.expr(f"_pos div {cfg.slot_ms}")).otherwise(_WHOLE)
-    return rows.withColumn("_slot", slot)
+    return rows.withColumn("_slot", _slot(cfg))
 
 
 def _opening_balances(rows: DataFrame, amounts: bool) -> DataFrame:
@@ -77,6 +103,7 @@ def trailing_features(
     reference: DataFrame | None = None,
     amounts: bool = False,
     resolve: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """``tx`` plus ``n_window``, ``hv_window``, ``prev_ts`` (and ``amount_window``).
 
@@ -84,11 +111,20 @@ def trailing_features(
     same exchange that the window needs, so lookups cost no shuffle of ``tx``.
     ``resolve`` turns its columns into those that are wanted. It runs below the
     window, where its results are computed once; above it they would be copied
-    into every expression that uses them.
+    into every expression that uses them. ``carried`` has counts of earlier events
+    (``nameOrig, at, n, large, amount``); they only count, ``prev_ts`` knows events
+    of ``tx`` alone.
     """
     hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows)
     rows = _arrivals_and_exits(tx, hot, cfg, amounts)
-    side = _opening_balances(rows, amounts)
+    work = ["_arrives", "_pos", "_one", "_large", "_arrived"] + (["_amount"] if amounts else [])
+    earlier = None
+    balanced = rows
+    if carried is not None:
+        earlier = _carried_rows(carried, hot, cfg, amounts)
+        kept = [_CARD, "_slot", "_hot", *work]
+        balanced = rows.select(kept).unionByName(earlier.select(kept))
+    side = _opening_balances(balanced, amounts)
     if reference is not None:
         whole = reference.withColumn("_slot", F.lit(_WHOLE).cast("bigint"))
         # the semi join sinks below the aggregation: only hot cards' lookups are built twice
@@ -98,12 +134,13 @@ def trailing_features(
     # The leaving row only carries its time stamp: its other columns are blanked
     # before the exchange.
     carried = [c for c in tx.columns if c not in (_CARD, _TS, "seq")]
-    work = ["_arrives", "_pos", "_one", "_large", "_arrived"] + (["_amount"] if amounts else [])
     numbered = F.coalesce(F.col("seq"), F.raise_error(F.lit("an event without seq has no place in the order")))
     narrow = rows.select(
         _CARD, "_slot", _TS, numbered.alias("seq"), *work,
         *[F.when(F.col("_arrives") == 1, F.col(c)).alias(c) for c in carried],
     )
+    if earlier is not None:
+        narrow = narrow.unionByName(earlier.select(_CARD, "_slot", *work), allowMissingColumns=True)
     order = Window.partitionBy(_CARD, "_slot").orderBy("_pos", "_arrives", "seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)

@@ -63,6 +63,34 @@ def domain_violations(df: DataFrame, column: str, allowed: tuple[str, ...]) -> D
     return df.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
 
 
+def violations(facts: dict[str, DataFrame], domains: dict[tuple[str, str], tuple[str, ...]]) -> DataFrame:
+    """``fact, column, rows, first_offender`` for every declared domain (``{(fact, column): codes}``).
+
+    Each fact is read once, whatever its number of domains, and sums are combined
+    in the tasks. Missing codes offend, except where the column itself is missing
+    from a fact, which is an error. ``first_offender`` is the smallest bad code
+    (null if only missing ones offend); a domain without offenders has 0 rows.
+    """
+    parts = []
+    for fact, df in facts.items():
+        rules = {column: codes for (owner, column), codes in domains.items() if owner == fact}
+        if not rules:
+            continue
+        bad = {c: ~F.coalesce(F.col(c).isin(*codes), F.lit(False)) for c, codes in rules.items()}
+        found = df.agg(*[
+            F.struct(F.count_if(hit).alias("rows"), F.min(F.when(hit, F.col(c).cast("string"))).alias("first_offender")).alias(c)
+            for c, hit in bad.items()])
+        listed = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("held")) for c in bad]))
+        parts.append(found.select(F.lit(fact).alias("fact"), listed.alias("rule")).select(
+            "fact", "rule.column", "rule.held.rows", "rule.held.first_offender"))
+    if not parts:
+        raise ValueError("no domain is declared for any of the facts")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def system_flag(threshold: float = config.SYSTEM_FLAG_AMOUNT) -> Column:
     """What the system flag should be: a transfer above the threshold."""
     hit = (F.col("type") == config.SYSTEM_FLAG_TYPE) & (F.col("amount") > threshold)

@@ -7,6 +7,7 @@ put late events.
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from fraudloom import schemas
 from fraudloom.functions import times
 
 PARTS = ("year", "month", "day", "hour")
+LOAD = "load"  # folder of one load inside an hour
 
 
 def with_hour_parts(tx: DataFrame, partition_time: str = "event") -> DataFrame:
@@ -27,31 +29,35 @@ def with_hour_parts(tx: DataFrame, partition_time: str = "event") -> DataFrame:
     return tx.withColumns(times.hour_parts(moment))
 
 
-def archive(tx: DataFrame, base: str, fmt: str = "parquet", partition_time: str = "event") -> None:
-    """Batch append. The rebalance hint gives each hour few files and splits a crowded hour."""
+def archive(
+    tx: DataFrame, base: str, fmt: str = "parquet", partition_time: str = "event", load: str | None = None,
+) -> None:
+    """Append one load. The rebalance hint sizes files by bytes: a small hour gets one, a crowded one as many as it needs.
+
+    Inside its hours a load has folders of its own, named ``load`` (a new name if
+    none is given). The same load written again replaces them and nothing else.
+    """
     (
-        with_hour_parts(tx, partition_time).hint("rebalance", *PARTS)
-        .write.mode("append").partitionBy(*PARTS).option("compression", "snappy").format(fmt).save(base)
+        with_hour_parts(tx, partition_time).withColumn(LOAD, F.lit(load or uuid.uuid4().hex))
+        .hint("rebalance", *PARTS)
+        .write.mode("overwrite").partitionBy(*PARTS, LOAD).option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic").format(fmt).save(base)
     )
 
 
 def archive_stream(
     tx: DataFrame, base: str, checkpoint: str, fmt: str = "parquet", partition_time: str = "event",
-    files_per_hour: int = 4,
 ) -> DataStreamWriter:
-    """Streaming append, once a minute. Offsets advance only after the files are committed.
+    """Streaming append, once a minute, each micro-batch as one load: a batch that is replayed replaces itself.
 
-    Rows are gathered by hour and row group before they are written: a batch
-    that catches up on many hours leaves ``files_per_hour`` files in each, not
-    one per task, and a crowded hour is shared by as many tasks.
+    With ``partition_time="ingest"`` a replay may fall into the next hour and then
+    leaves both; event hours do not move.
     """
-    group = F.pmod(F.xxhash64("nameOrig", "seq"), F.lit(files_per_hour))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        archive(batch, base, fmt, partition_time, load=f"batch-{batch_id}")
+
     return (
-        with_hour_parts(tx, partition_time)
-        .repartition(*PARTS, group)
-        .writeStream.partitionBy(*PARTS).format(fmt)
-        .option("compression", "snappy")
-        .option("path", base).option("checkpointLocation", checkpoint)
+        tx.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(processingTime="60 seconds")
     )
 
@@ -67,7 +73,7 @@ def replay(
     Folders of ingest time (``partition_time="ingest"``) hold events of that hour
     or earlier ones, so there only the lower bound prunes.
     """
-    folders = ", ".join(f"{p} string" for p in PARTS)
+    folders = ", ".join(f"{p} string" for p in (*PARTS, LOAD))
     schema = schemas.SEQUENCED.simpleString()[len("struct<"):-1].replace(":", " ")
     df = spark.read.schema(f"{schema}, {folders}").format(fmt).load(base)
     hour = F.concat("year", "month", "day", "hour")

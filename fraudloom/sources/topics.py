@@ -112,6 +112,21 @@ def read_topic(
     return spark.readStream.schema(schema).options(**options).format(fmt).load(path_or_topic)
 
 
+def read_alerts(messages: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Alerts of a stream of alert messages, each once: a message sent again has the key of the first.
+
+    Spark forgets a key when the watermark is ``within`` beyond its event time, so
+    that is how late a repetition may come.
+    """
+    alert = F.from_json(F.col("value").cast("string"), schemas.ALERT)
+    return (
+        messages.select(F.decode("key", "UTF-8").alias("alert_id"), alert.alias("alert"))
+        .select("alert_id", "alert.*")
+        .withColumn("alert_ts", F.timestamp_millis("alert_ts_ms")).withWatermark("alert_ts", within)
+        .dropDuplicatesWithinWatermark(["alert_id"])
+    )
+
+
 def send(
     messages: DataFrame, path_or_topic: str, fmt: str = "parquet", servers: str | None = None,
 ) -> None:

@@ -1,140 +1,103 @@
-"""Trailing-window features on a stream.
-
-The only operator of the package that runs Python per key: a card's history
-crosses micro-batches, which needs state. Everything after it (lookups, rules,
-sinks) is the batch code.
+"""Trailing-window features on a stream, from a stored tail.
+
+What a card's next events need of its past is a table: per distinct millisecond
+of its last window the number, the large ones and the sum of its events, and per
+month the time of its last event. A micro-batch joins the tails of its cards and
+runs the batch operator over both, so a hot card is split there as in batches.
+Then it writes the new tails of its cards. Nothing runs in Python workers and no
+state store is involved; the tail is an ordinary batch table of ``sinks``.
 """
 
 from __future__ import annotations
 
-import sys
-from collections import deque
-from collections.abc import Iterator
-from datetime import datetime, timezone
-
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from fraudloom.config import RuleConfig
+from fraudloom.functions.times import year_month
+from fraudloom.operators.trailing import large_amount, trailing_features
 
-# Executors get the class below by value: they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_TS = "ingestion_timestamp_ms"
+_CARD, _TS = "nameOrig", "ingestion_timestamp_ms"
 _DAY_MS = 86_400_000
 
-# What a state entry stands for. All of a card's state is one list: each batch
-# reads and writes it with a single request.
-_RECENT, _MONTH, _NEWEST = 0, 1, 2
-_STATE = "kind bigint, at bigint, n bigint, large bigint"
-
-
-class _Window:
-    """Counts per distinct millisecond, oldest first, and their totals."""
-
-    def __init__(self, entries: Iterator[tuple[int, int, int]] = ()) -> None:
-        self.entries = deque(entries)
-        self.n = sum(e[1] for e in self.entries)
-        self.large = sum(e[2] for e in self.entries)
-
-    def drop_before(self, cutoff: int) -> None:
-        while self.entries and self.entries[0][0] < cutoff:
-            _, n, large = self.entries.popleft()
-            self.n -= n
-            self.large -= large
+# month is null in rows of the window; in others ``at`` is the time of the month's last event.
+STATE = "nameOrig string, month string, at bigint, n bigint, large bigint, amount decimal(22,2)"
 
-    def add(self, ts: int, large: int) -> None:
-        n = 1
-        self.n += 1
-        self.large += large
-        if self.entries and self.entries[-1][0] == ts:
-            _, before, large_before = self.entries.pop()
-            n, large = n + before, large + large_before
-        self.entries.append((ts, n, large))
 
+def newest_state(stored: DataFrame) -> DataFrame:
+    """Each card's rows of the last batch that wrote it, ``batch_id`` kept."""
+    of_card = Window.partitionBy(_CARD)
+    return stored.withColumn("_last", F.max("batch_id").over(of_card)).where("batch_id = _last").drop("_last")
 
-class CardHistory(StatefulProcessor):
-    """Counts of the trailing window and the previous event of the month, per card.
 
-    State per card: for every distinct millisecond in the window its number of
-    events and of large ones, so that a burst cannot grow the state beyond the
-    window's length; per month the last time stamp; the newest time stamp. Idle
-    cards are dropped by a time to live far longer than the window, which
-    therefore never touches a count.
-
-    Late events are judged against the state they find and are never dropped;
-    ``is_late`` marks those behind the card's newest event by more than the
-    allowed delay.
+def card_state(state: DataFrame) -> DataFrame:
+    """One row per card: newest event and a map of months to last events."""
+    return state.groupBy(_CARD).agg(
+        F.max(F.when(F.col("month").isNull(), F.col("at"))).alias("_newest"),
+        F.map_from_entries(F.collect_list(F.when(
+            F.col("month").isNotNull(), F.struct(F.col("month"), F.col("at"))))).alias("_last_of_month"),
+    )
 
-    Rows and not pandas frames: a card has few events per batch, and building a
-    frame for each card costs more than its events do.
-    """
 
-    def __init__(
-        self, columns: list[str], window_ms: int, high_value: float, delay_ms: int, idle_ms: int
-    ) -> None:
-        self._columns = columns
-        self._window_ms = window_ms
-        self._high_value = high_value
-        self._delay_ms = delay_ms
-        self._idle_ms = idle_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._state = handle.getListState("history", _STATE, self._idle_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        state = list(self._state.get())
-        stored = _Window(sorted(tuple(e[1:]) for e in state if e[0] == _RECENT))
-        last_of_month = {e[1]: e[2] for e in state if e[0] == _MONTH}
-        newest_before = max((e[1] for e in state if e[0] == _NEWEST), default=None)
-        arrived = _Window()
-        output = Row(*self._columns, "n_window", "hv_window", "prev_ts", "is_late")
-
-        out = []
-        # One card's share of a micro-batch, which the trigger's input limit bounds.
-        for row in sorted(rows, key=lambda r: (r[_TS], r["seq"])):
-            ts = row[_TS]
-            stored.drop_before(ts - self._window_ms)
-            arrived.drop_before(ts - self._window_ms)
-            arrived.add(ts, int(row["amount"] >= self._high_value))
-            at = datetime.fromtimestamp(ts / 1000, timezone.utc)
-            month = at.year * 100 + at.month
-            late = newest_before is not None and ts + self._delay_ms < newest_before
-            out.append(output(
-                *row, stored.n + arrived.n, stored.large + arrived.large, last_of_month.get(month), late
-            ))
-            last_of_month[month] = ts
-
-        newest = ts if newest_before is None else max(ts, newest_before)
-        self._state.put(
-            [(_RECENT, *entry) for window in (stored, arrived) for entry in window.entries]
-            + [(_MONTH, month, last, 0) for month, last in last_of_month.items()]
-            + [(_NEWEST, newest, 0, 0)]
-        )
-        yield from out
-
-    def close(self) -> None:
-        pass
-
-
-def stream_features(
-    tx: DataFrame, cfg: RuleConfig = RuleConfig(), delay_ms: int = 10_000, idle_days: int = 20
+def batch_features(
+    tx: DataFrame, state: DataFrame, cfg: RuleConfig = RuleConfig(), delay_ms: int = 10_000,
+    reference: DataFrame | None = None, resolve=lambda joined: joined,
 ) -> DataFrame:
-    """Streaming ``tx`` plus ``n_window``, ``hv_window``, ``prev_ts`` and ``is_late``.
+    """``tx`` plus ``n_window``, ``hv_window``, ``amount_window``, ``prev_ts`` and ``is_late``, and lookups of ``reference``.
 
-    Over input that is in order per card from one micro-batch to the next, the
-    result equals the batch features. ``idle_days`` is how long the state of a
-    card outlives its last event; the API holds it in 32 bits of milliseconds.
+    ``state`` holds the tails of the batch's cards (``STATE``). Over input that is
+    in order per card from one micro-batch to the next, the result equals the batch
+    features. A late event is judged against the tail it finds, newer events
+    included, and is never dropped; ``is_late`` marks those more than ``delay_ms``
+    behind the card's newest event of earlier batches.
     """
-    if not 0 < idle_days <= 24:
-        raise ValueError("idle_days must be between 1 and 24")
-    counts = [StructField(name, LongType()) for name in ("n_window", "hv_window", "prev_ts")]
-    columns = StructType([*tx.schema.fields, *counts, StructField("is_late", BooleanType())])
-    history = CardHistory(
-        tx.columns, cfg.window_ms, cfg.high_value, delay_ms, idle_days * _DAY_MS
+    side = card_state(state)
+    if reference is not None:
+        side = side.join(reference, _CARD, "full")
+    tail = state.where("month is null").select(_CARD, "at", "n", "large", "amount")
+    featured = trailing_features(tx, cfg, reference=side, amounts=True, resolve=resolve, carried=tail)
+    ts = F.col(_TS)
+    return featured.withColumns({
+        "prev_ts": F.coalesce("prev_ts", F.try_element_at("_last_of_month", year_month(ts))),
+        "is_late": F.coalesce(ts + delay_ms < F.col("_newest"), F.lit(False)),
+    }).drop("_newest", "_last_of_month")
+
+
+def next_state(tx: DataFrame, state: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
+    """The tails of the batch's cards after ``tx``."""
+    columns = [_CARD, "month", "at", "n", "large", "amount"]
+    no_month = F.lit(None).cast("string").alias("month")
+    arrived = tx.select(
+        _CARD, no_month, F.col(_TS).alias("at"), F.lit(1).cast("bigint").alias("n"),
+        large_amount(cfg).cast("bigint").alias("large"),
+        F.col("amount").try_cast("decimal(18,2)").cast("decimal(22,2)").alias("amount"))
+    per_ms = (
+        state.where("month is null").select(columns).unionByName(arrived)
+        .groupBy(_CARD, "at").agg(*[F.sum(c).alias(c) for c in ("n", "large")], F.sum("amount").cast("decimal(22,2)").alias("amount"))
     )
-    return tx.groupBy("nameOrig").transformWithState(
-        history, columns, outputMode="Append", timeMode="ProcessingTime"
+    newest = per_ms.groupBy(_CARD).agg(F.max("at").alias("_newest"))
+    tail = per_ms.join(newest, _CARD).where(F.col("at") >= F.col("_newest") - cfg.window_ms).select(
+        _CARD, no_month, "at", "n", "large", "amount")
+    months = (
+        state.where("month is not null").select(_CARD, "month", F.col("at").alias("_before"), F.lit(None).cast("bigint").alias("_now"))
+        .unionByName(tx.select(
+            _CARD, year_month(F.col(_TS)).alias("month"), F.lit(None).cast("bigint").alias("_before"), F.col(_TS).alias("_now")))
+        .groupBy(_CARD, "month").agg(F.coalesce(F.max("_now"), F.max("_before")).alias("at"))
     )
+    return tail.unionByName(months.select(
+        _CARD, "month", "at", *[F.lit(0).cast("bigint").alias(c) for c in ("n", "large")],
+        F.lit(None).cast("decimal(22,2)").alias("amount")))
+
+
+def expired_cards(state: DataFrame, idle_days: int) -> DataFrame:
+    """Cards whose newest event is more than ``idle_days`` behind the newest of all."""
+    last = state.where("month is null").groupBy(_CARD).agg(F.max("at").alias("at"))
+    newest = last.agg(F.max("at").alias("newest"))  # one row
+    return last.crossJoin(F.broadcast(newest)).where(
+        F.col("at") < F.col("newest") - idle_days * _DAY_MS).select(_CARD)
+
+
+def living_state(stored: DataFrame, idle_days: int) -> DataFrame:
+    """The newest state of all cards that are not expired."""
+    state = newest_state(stored)
+    return state.join(expired_cards(state, idle_days), _CARD, "left_anti")

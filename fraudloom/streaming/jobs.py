@@ -11,21 +11,28 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from fraudloom.config import RuleConfig
 from fraudloom.functions import times
-from fraudloom.operators.alerts import alert_payload, as_json, load_alert_fact, upsert_alerts
-from fraudloom.operators.profiles import latest_activity, merge_profiles
-from fraudloom.operators.reference import attach_reference
+from fraudloom.operators.alerts import alert_messages, load_alert_fact, upsert_alerts
+from fraudloom.operators.profiles import batch_activity
+from fraudloom.operators.reference import card_reference, month_fields
 from fraudloom.operators.rules import evaluate
 from fraudloom.plans.dashboard import enrich, push_payloads
 from fraudloom.plans.mart import finish_summary, write_fact
 from fraudloom.plans.scoring import fired
-from fraudloom.streaming.features import stream_features
-from fraudloom.streaming.sinks import PAUSES, deliver, latest_by_key, read_batches, write_batch
+from fraudloom.sources.profilestore import ProfileStore
+from fraudloom.sources.versions import Folder
+from fraudloom.streaming.features import STATE, batch_features, living_state, newest_state, next_state
+from fraudloom.streaming.sinks import (
+    PAUSES, batch_path, deliver, finished_batches, forget_batches, latest_by_key, merge_batches, newest_rows,
+    read_batches, write_batch,
+)
 
 # ---- fixed values: checkpoint pacing and lateness -------------------------------
 TRIGGER = "30 seconds"
 LATENESS = "10 seconds"
+DELAY_MS = 10_000
 
-Snapshot = Callable[[], DataFrame]
+# Gets the cards and months of a batch (card_id, year_month), returns rows to look up in.
+Snapshot = Callable[[DataFrame], DataFrame]
 Publish = Callable[[DataFrame, int], None]
 
 
@@ -37,39 +44,48 @@ def with_event_time(tx: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 # ---- scoring ----------------------------------------------------------------------
 def score_batch(
-    spark: SparkSession, featured: DataFrame, batch_id: int, base: str,
+    spark: SparkSession, arrived: DataFrame, batch_id: int, base: str,
     blacklist: Snapshot, profiles: Snapshot, cfg: RuleConfig, publish: Publish | None = None,
 ) -> None:
-    """One micro-batch: features in; scored rows, alerts and profile activity out.
-
-    ``publish`` takes the JSON alerts of the batch and its number, for instance
-    to ``topics.send`` them; a replayed batch is published again. Without it
-    they go to text folders, which a replay overwrites.
-
-    The features are written before anything else reads them. That evaluates the
-    stateful operator once, survives the loss of executors, and tells Spark the
-    size of the batch, from which it decides whether the batch's keys can be
-    broadcast to cut the snapshots down before they are joined.
+    """One micro-batch: transactions in; scored rows, alerts, profile activity and the cards' new tails out.
+
+    ``publish`` takes the alert messages of the batch (key, value) and its number,
+    for instance to ``topics.send`` them. A replayed batch is published again, with
+    the same keys: ``topics.read_alerts`` drops them. Without it they go to a batch
+    table, which a replay overwrites.
+
+    The transactions are written before anything reads them: the source is read
+    once, what follows survives the loss of executors, and Spark knows the size of
+    the batch, from which it decides whether the batch's keys can be broadcast. A
+    batch reads the tails that earlier batches wrote, so a replay sees what the
+    first try saw.
     """
     def stored(df: DataFrame, table: str) -> DataFrame:
         return spark.read.schema(df.schema).parquet(write_batch(df, base, table, batch_id))
 
-    rows = stored(featured, "features")
-    month = times.year_month(F.col("ingestion_timestamp_ms"))
-    cards = rows.select(F.col("nameOrig").alias("card_id")).distinct()
-    months = rows.select(F.col("nameOrig").alias("card_id"), month.alias("year_month")).distinct()
-    listed = blacklist().join(cards, "card_id", "left_semi")
-    known = profiles().join(months, ["card_id", "year_month"], "left_semi")
-
-    scored = stored(evaluate(attach_reference(rows, listed, known), cfg), "scored")
+    tx = stored(arrived, "arrived")
+    cards = tx.select("nameOrig").distinct()
+    months = tx.select(
+        F.col("nameOrig").alias("card_id"), times.year_month(F.col("ingestion_timestamp_ms")).alias("year_month")).distinct()
+    tails = read_batches(spark, base, "tails", before=batch_id, schema=STATE)
+    state = newest_state(tails.join(cards, "nameOrig", "left_semi")).drop("batch_id")
+    listed = blacklist(months).join(cards.withColumnRenamed("nameOrig", "card_id"), "card_id", "left_semi")
+    known = profiles(months).join(months, ["card_id", "year_month"], "left_semi")
+
+    featured = batch_features(tx, state, cfg, DELAY_MS, card_reference(listed, known), month_fields)
+    scored = stored(evaluate(featured, cfg), "scored")
+    write_batch(next_state(tx, state, cfg), base, "tails", batch_id)
     alerts = fired(scored)
-    messages = as_json(alert_payload(alerts))
+    write_batch(upsert_alerts(alerts), base, "alerts", batch_id)
+    write_batch(batch_activity(scored), base, "activity", batch_id)
+    # Last, so that a batch that fails before has published nothing.
+    messages = alert_messages(alerts)
     if publish is None:
-        write_batch(messages, base, "alert_topic", batch_id, "text")
+        write_batch(messages, base, "alert_topic", batch_id)
     else:
         publish(messages, batch_id)
-    write_batch(upsert_alerts(alerts), base, "alerts", batch_id)
-    write_batch(latest_activity(scored), base, "activity", batch_id)
+    # The batch before is committed: its copy of the source is not needed any more.
+    forget_batches(spark, base, "arrived", batch_id - 1)
 
 
 def score_stream(
@@ -79,19 +95,31 @@ def score_stream(
 ) -> DataStreamWriter:
     """Writer of the scoring job; its checkpoint lives below ``base``.
 
-    Snapshots are callables: they are read anew for every batch, so a changed
-    blacklist takes effect with the next batch.
+    Snapshots are callables: they are asked anew in every batch, so a changed
+    blacklist takes effect with the next batch, and ``ProfileStore.lookup`` opens
+    only what the batch needs.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         score_batch(spark, batch, batch_id, base, blacklist, profiles, cfg, publish)
 
     return (
-        stream_features(tx, cfg).writeStream.foreachBatch(run)
+        tx.writeStream.foreachBatch(run)
         .option("checkpointLocation", f"{base.rstrip('/')}/checkpoint")
         .outputMode("append").trigger(processingTime=TRIGGER)
     )
 
 
+def compact(spark: SparkSession, base: str, idle_days: int = 20) -> None:
+    """Merge the scoring job's batch folders; may run beside the job, at whatever interval suits.
+
+    Tails are cut down to the newest of each card, and cards that have been idle
+    for ``idle_days`` of event time are dropped; alerts to the last write of each key.
+    """
+    merge_batches(spark, base, "tails", lambda rows: living_state(rows, idle_days), schema=STATE)
+    merge_batches(spark, base, "alerts", lambda rows: newest_rows(rows, ["row_key"]))
+    merge_batches(spark, base, "scored")
+
+
 def stored_alerts(spark: SparkSession, base: str) -> DataFrame:
     """Keyed alert rows of all batches."""
     return latest_by_key(read_batches(spark, base, "alerts"), ["row_key"])
@@ -115,22 +143,25 @@ def load_alerts(
     write_fact(load_alert_fact(fired(scored), loaded_at), path)
 
 
-def compact_profiles(spark: SparkSession, base: str, profiles: DataFrame) -> DataFrame:
-    """The profile snapshot after all activity the scoring job has stored.
+def write_back_profiles(spark: SparkSession, base: str, store: ProfileStore, averages: bool = False) -> None:
+    """A new profile version with all activity the store does not hold yet, but for the batch that may still be replayed.
 
-    Batches only store what changed; rewriting the whole snapshot is left to a
-    separate job, at whatever interval suits. Write the result to a new folder,
-    never over the one it is read from.
+    Only months and buckets with activity are copied. What is merged is deleted
+    one write-back later.
     """
-    activity = read_batches(spark, base, "activity").select(
-        F.col("card_id").alias("nameOrig"),
-        F.col("last_amount").alias("amount"),
-        F.col("score").alias("risk_score"),
-        (F.col("flagged") == "1").alias("flagged"),
-        F.col("last_tx_ts").alias("ingestion_timestamp_ms"),
-        F.col("batch_id").alias("seq"),
-    )
-    return merge_profiles(profiles, activity)
+    done, held = finished_batches(spark, base, "activity"), store.upto()
+    upto = max((b for b in done[:-1] if b > held), default=None)
+    if upto is not None:
+        activity = read_batches(spark, base, "activity", after=held, before=upto + 1)
+        store.write_back(activity, upto, averages)
+        forget_batches(spark, base, "activity", held)
+
+
+def close_profiles(spark: SparkSession, base: str, store: ProfileStore, averages: bool = False) -> None:
+    """The same with the newest batch, for a job that has ended."""
+    done, held = finished_batches(spark, base, "activity"), store.upto()
+    if done and done[-1] > held:
+        store.write_back(read_batches(spark, base, "activity", after=held), done[-1], averages)
 
 
 # ---- rollups ----------------------------------------------------------------------
@@ -182,6 +213,11 @@ def upsert_stream(rollup: DataFrame, base: str, table: str) -> DataStreamWriter:
     )
 
 
+def compact_upserts(spark: SparkSession, base: str, table: str, keys: list[str]) -> bool:
+    """Merge the batch folders of an upsert table, the last write of each key."""
+    return merge_batches(spark, base, table, lambda rows: newest_rows(rows, keys))
+
+
 def stored_summaries(
     spark: SparkSession, base: str, table: str, alerts: DataFrame | None = None
 ) -> DataFrame:
@@ -200,10 +236,21 @@ def stored_summaries(
 def dashboard_stream(
     tx: DataFrame, base: str, send: Callable[[str], int], pauses: tuple[float, ...] = PAUSES
 ) -> DataStreamWriter:
-    """Enrich, pack and push; outcomes are stored, refused payloads are not sent again."""
+    """Enrich, pack and push; outcomes are stored, refused payloads are not sent again.
+
+    At most once: payloads are fixed in a table before the first goes out, and a
+    replayed batch or task sends none that an earlier try had claimed.
+    """
+    spark = tx.sparkSession
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        outcome = deliver(push_payloads(enrich(batch)), send, pauses=pauses)
+        if batch_id not in finished_batches(spark, base, "payloads"):
+            write_batch(push_payloads(enrich(batch)), base, "payloads", batch_id)
+        payloads = spark.read.parquet(batch_path(base, "payloads", batch_id))
+        outcome = deliver(payloads, send, pauses, claims=f"{base.rstrip('/')}/claims/batch_id={batch_id}")
         write_batch(outcome, base, "delivery", batch_id)
+        forget_batches(spark, base, "payloads", batch_id - 1)
+        Folder(spark, f"{base.rstrip('/')}/claims").delete(f"batch_id={batch_id - 1}")
 
     return (
         tx.writeStream.foreachBatch(run)

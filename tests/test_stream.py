@@ -1,12 +1,20 @@
 """State across batches: late events, restart, replay."""
 
+import random
+import uuid
+from collections import Counter
+from decimal import Decimal
+
 import pytest
 from helpers import T0
+from pyspark.sql import functions as F
 
 from fraudloom.config import RuleConfig
-from fraudloom.sources import topics
-from fraudloom.streaming import jobs, sinks
-from fraudloom.streaming.features import CardHistory, stream_features
+from fraudloom.operators.trailing import trailing_features
+from fraudloom.sources import archive, topics
+from fraudloom.sources.profilestore import ProfileStore
+from fraudloom.sources.versions import Versions
+from fraudloom.streaming import features, jobs, sinks
 
 CFG = RuleConfig()
 
@@ -24,11 +32,11 @@ class Feed:
         topics.publishable(self.tx_of(*events)).write.mode("append").parquet(self.source)
         incoming = topics.readable(topics.decode_messages(topics.read_topic(self.spark, self.source)))
         jobs.score_stream(
-            self.spark, incoming, self.base, lambda: self.listed, lambda: self.known, CFG
+            self.spark, incoming, self.base, lambda _: self.listed, lambda _: self.known, CFG
         ).trigger(availableNow=True).start().awaitTermination()
 
     def features(self):
-        return {r.seq: r for r in sinks.read_batches(self.spark, self.base, "features").collect()}
+        return {r.seq: r for r in sinks.read_batches(self.spark, self.base, "scored").collect()}
 
 
 def test_late_and_restarted_events(spark, tx_of, tmp_path):
@@ -58,21 +66,215 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     assert sorted(map(tuple, sinks.latest_by_key(table, ["k"]).collect())) == [("k", 2), ("l", 3)]
 
 
-def test_state_of_idle_cards_expires(spark, tx_of, tmp_path):
-    """With a time to live of one millisecond the second batch starts afresh."""
-    source, base = f"{tmp_path}/source", str(tmp_path)
-    for events in ([("C1", T0, 1, 1), ("C1", T0 + 1, 2, 1)], [("C1", T0 + 2, 3, 1)]):
-        topics.publishable(tx_of(*events)).write.mode("append").parquet(source)
+
+
+def test_batch_that_fails_inside_is_done_again_once(spark, tx_of, tmp_path):
+    """The job dies after everything but the alerts was written; the restart publishes them, and nothing else twice."""
+    source, base, sent = f"{tmp_path}/source", f"{tmp_path}/out", []
+    listed = spark.createDataFrame([("C9", "1")], "card_id string, is_active string")
+    known = spark.createDataFrame([], "card_id string, year_month string, credit_limit double")
+    fail = [True]
+
+    def publish(messages, batch_id):
+        if fail.pop():
+            raise RuntimeError("receiver is down")
+        sent.extend(r.key for r in messages.collect())
+
+    def run():
         incoming = topics.readable(topics.decode_messages(topics.read_topic(spark, source)))
-        featured = incoming.groupBy("nameOrig").transformWithState(
-            CardHistory(incoming.columns, CFG.window_ms, CFG.high_value, 10_000, 1),
-            stream_features(incoming).schema, outputMode="Append", timeMode="ProcessingTime")
-        featured.writeStream.format("parquet").option("path", f"{base}/rows").option(
-            "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    got = {r.seq: r.n_window for r in spark.read.parquet(f"{base}/rows").collect()}
-    assert got == {1: 1, 2: 2, 3: 1}
-
-
-def test_idle_time_must_fit_the_api():
-    with pytest.raises(ValueError):
-        stream_features(None, idle_days=30)
+        jobs.score_stream(spark, incoming, base, lambda _: listed, lambda _: known, CFG, publish).trigger(
+            availableNow=True).start().awaitTermination()
+
+    topics.publishable(tx_of(("C9", T0, 1, 1), ("C9", T0 + 1, 2, 1))).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="receiver is down"):
+        run()
+    fail.append(False)
+    run()
+    topics.publishable(tx_of(("C9", T0 + 2, 3, 1))).write.mode("append").parquet(source)
+    fail.append(False)
+    run()
+    assert len(sent) == len(set(sent)) == 3
+    scored = {r.seq: r.n_window for r in sinks.read_batches(spark, base, "scored").collect()}
+    assert scored == {1: 1, 2: 2, 3: 3}  # the replay did not count its own events twice
+    assert sinks.finished_batches(spark, base, "arrived") == [1]
+
+
+@pytest.mark.parametrize("hot_card_rows, slot_ms", [(2_000_000, 60_000), (1, 1_000)])
+def test_tail_equals_batch_features_over_random_rounds(spark, tx_of, hot_card_rows, slot_ms):
+    rnd = random.Random(5)
+    cfg = RuleConfig(window_ms=4_000, hot_card_rows=hot_card_rows, slot_ms=slot_ms)
+    events = sorted((T0 + rnd.randint(0, 40_000), seq, f"C{rnd.randint(0, 2)}", rnd.choice([5, 20_000, float("nan")])) for seq in range(150))
+    state, got = spark.createDataFrame([], features.STATE), {}
+    for at in range(0, 150, 50):
+        tx = tx_of(*[(card, ts, seq, amount) for ts, seq, card, amount in events[at:at + 50]])
+        for r in features.batch_features(tx, state, cfg).collect():
+            got[r.seq] = (r.n_window, r.hv_window, r.amount_window, r.prev_ts)
+        # cards without events keep their rows: here all cards are in the state
+        state = spark.createDataFrame(features.next_state(tx, state, cfg).collect(), features.STATE)
+    whole = tx_of(*[(card, ts, seq, amount) for ts, seq, card, amount in events])
+    expected = trailing_features(whole, cfg, amounts=True).collect()
+    assert got == {r.seq: (r.n_window, r.hv_window, r.amount_window, r.prev_ts) for r in expected}
+
+
+def test_idle_cards_leave_the_tails(spark):
+    day = 86_400_000
+    rows = [("C1", None, T0, 1, 0, None, 0), ("C1", None, T0 + 9 * day, 1, 0, None, 1), ("C1", "202401", T0 + 9 * day, 0, 0, None, 1),
+            ("C2", None, T0 + 6 * day, 2, 0, None, 0), ("C2", "202401", T0 + 6 * day, 0, 0, None, 0), ("C3", None, T0 + 7 * day, 1, 0, None, 0)]
+    left = features.living_state(spark.createDataFrame(rows, f"{features.STATE}, batch_id bigint"), 2).collect()
+    assert sorted((r.nameOrig, r.month, r.at) for r in left if r.month is None) == [("C1", None, T0 + 9 * day), ("C3", None, T0 + 7 * day)]
+    assert [r.nameOrig for r in left if r.month] == ["C1"]
+
+
+def test_merged_batches(spark, tmp_path):
+    base, schema = str(tmp_path), "k string, v int"
+
+    def write(number, *rows):
+        sinks.write_batch(spark.createDataFrame(list(rows), schema), base, "t", number)
+
+    def folders():
+        files = sinks.read_batches(spark, base, "t").inputFiles()
+        return sorted({f.rsplit("/", 2)[1] for f in files})
+
+    assert sinks.read_batches(spark, base, "t", schema=schema).count() == 0
+    assert not sinks.merge_batches(spark, base, "t", schema=schema)
+    for number in range(3):
+        write(number, ("a", number), (f"only-{number}", number))
+    assert sinks.merge_batches(spark, base, "t", lambda rows: sinks.newest_rows(rows, ["k"]))
+    assert folders() == ["0000000000", "batch_id=2"]  # the newest may still be replayed
+    assert not sinks.merge_batches(spark, base, "t")
+    write(2, ("a", 20))
+    write(3, ("b", 3))
+    expected = {"a": 20, "b": 3, "only-0": 0, "only-1": 1}
+    assert dict(map(tuple, sinks.latest_by_key(sinks.read_batches(spark, base, "t"), ["k"]).collect())) == expected
+    before = sinks.read_batches(spark, base, "t")
+    assert sinks.merge_batches(spark, base, "t", lambda rows: sinks.newest_rows(rows, ["k"]))
+    assert folders() == ["0000000001", "batch_id=3"]
+    assert before.count() == 5 and sorted(before.columns) == ["batch_id", "k", "v"]  # its files are still there
+    assert dict(map(tuple, sinks.latest_by_key(sinks.read_batches(spark, base, "t"), ["k"]).collect())) == expected
+    assert sinks.finished_batches(spark, base, "t") == [2, 3]
+    assert {r.batch_id for r in sinks.read_batches(spark, base, "t", after=0, before=3).collect()} == {1, 2}
+
+
+def test_a_version_is_published_once(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path / "v"))
+    assert versions.newest() is None
+    versions.publish(0, {"a": 1})
+    with pytest.raises(Exception, match="(?i)exist"):
+        versions.publish(0, {"a": 2})
+    assert versions.read(0) == {"a": 1} and versions.numbers() == [0]
+
+
+# ---- profile versions ---------------------------------------------------------------
+ACTIVITY = ("card_id string, year_month string, last_amount double, score double, flagged string, last_tx_ts bigint, "
+            "tx_count_5m bigint, amount_sum_5m double, tx_total decimal(22,2), tx_n bigint, batch_id bigint")
+
+
+def activity(spark, *rows):
+    return spark.createDataFrame(
+        [(card, month, float(at), 0.7, "1", at, at, float(at), Decimal(total), n, batch) for card, month, at, total, n, batch in rows],
+        ACTIVITY)
+
+
+def test_write_back_copies_only_touched_parts(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "p"), buckets=8)
+    cards = [f"C{i}" for i in range(40)]
+    store.create(spark.createDataFrame(
+        [(c, m, 5.0, "Rome") for c in cards for m in ("202401", "202402")] + [(None, "202401", 1.0, None)],
+        "card_id string, year_month string, credit_limit double, last_city string"))
+    assert store.read().count() == 80
+    one = activity(spark, ("C1", "202401", 7, "10.50", 2, 0), ("C1", "202401", 9, "4.50", 1, 1), ("new", "202403", 3, "1", 1, 1))
+    store.write_back(one, 1, averages=True)
+    row = store.read().where("card_id = 'C1' and year_month = '202401'").first()
+    assert (row.credit_limit, row.last_city, row.last_amount, row.tx_count_5m, row.tx_n, row.avg_amount) == (5.0, "Rome", 9.0, 9, 3, 5.0)
+    assert store.read().count() == 81 and store.read(0).count() == 80 and store.upto() == 1
+    assert store.read(0).where("last_amount is not null").count() == 0
+    parts = ProfileStore(spark, str(tmp_path / "p")).versions.read(1)["parts"]
+    assert sum(n == 1 for n in parts.values()) == 2 and len(parts) > 10
+    store.write_back(activity(spark, ("C1", "202401", 12, "5", 1, 2)), 2)
+    assert store.read().where("card_id = 'C1' and tx_n = 4 and avg_amount = 5.0 and last_amount = 12").count() == 1
+    store.retain(2)
+    assert store.versions.numbers() == [1, 2] and store.read().count() == 81 and store.read(1).count() == 81
+
+
+def test_lookup_opens_the_parts_of_its_cards_and_months(spark, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "p"), buckets=16)
+    store.create(spark.createDataFrame(
+        [(f"C{i}", m, float(i)) for i in range(200) for m in ("202401", "202402")], "card_id string, year_month string, credit_limit double"))
+    wanted = spark.createDataFrame([("C1", "202402"), ("C999", "202402"), ("C2", "202409"), (None, "202401")], "card_id string, year_month string")
+    found = store.lookup(wanted)
+    assert [(r.card_id, r.year_month, r.credit_limit) for r in found.collect()] == [("C1", "202402", 1.0)]
+    folders = {f.rsplit("/", 2)[0].rsplit("/", 1)[1] + "/" + f.rsplit("/", 2)[1] for f in store.read(parts=store._parts(wanted)).inputFiles()}
+    assert len(folders) <= 2 and all("202402" in f for f in folders)
+    assert store.lookup(wanted.where("card_id = 'nobody'")).count() == 0
+
+
+# ---- at-most-once delivery --------------------------------------------------------------
+def test_batch_killed_between_sending_and_storing_sends_nothing_twice(spark, tx_of, tmp_path):
+    log, base = tmp_path / "sent", f"{tmp_path}/out"
+    log.mkdir()
+
+    def send(payload):
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as file:
+            file.write(payload)
+        return 200
+
+    def run():
+        incoming = topics.readable(topics.decode_messages(topics.read_topic(spark, f"{tmp_path}/source")))
+        jobs.dashboard_stream(incoming, base, send, pauses=()).trigger(availableNow=True).start().awaitTermination()
+
+    topics.publishable(tx_of(*[("C1", T0 + i % 3, i, 1) for i in range(70)])).write.parquet(f"{tmp_path}/source")
+    stored, sinks_write = [], jobs.write_batch
+
+    def dying(df, base_, table, batch_id, *rest):
+        if table == "delivery" and not stored:
+            stored.append(df.collect())  # everything is sent, nothing is stored
+            raise RuntimeError("killed")
+        return sinks_write(df, base_, table, batch_id, *rest)
+
+    jobs.write_batch = dying
+    try:
+        with pytest.raises(Exception, match="killed"):
+            run()
+        run()
+    finally:
+        jobs.write_batch = sinks_write
+    payloads = sorted(f.read_text() for f in log.iterdir())
+    assert len(payloads) == 4 and len(set(payloads)) == 4
+    outcome = sinks.read_batches(spark, base, "delivery").collect()
+    assert sum(r.n_rows for r in outcome) == 70 and {(r.delivered, r.attempts) for r in outcome} == {(False, 0)}
+
+
+def test_equal_payloads_are_each_sent(spark, tmp_path):
+    payloads = spark.createDataFrame([("{}", 1)] * 3 + [("[]", 2)], "payload_json string, n_rows int")
+    first = sinks.deliver(payloads, lambda _: 200, claims=f"{tmp_path}/claims").collect()
+    again = sinks.deliver(payloads, lambda _: 200, claims=f"{tmp_path}/claims").collect()
+    assert [r.attempts for r in first] == [1] * 4 and [r.attempts for r in again] == [0] * 4
+
+
+# ---- archive --------------------------------------------------------------------------
+def test_archive_files_follow_the_size_of_an_hour(spark, tx_of, tmp_path):
+    many = spark.range(200_000).select("id").crossJoin(tx_of(("C1", T0, 1, 1)).drop("seq", "nameOrig"))
+    tx = many.withColumns({"seq": F.col("id"), "nameOrig": F.concat(F.lit("C"), F.md5(F.col("id").cast("string")))}).drop("id")
+    small = tx_of(*[("C1", T0 + 3_600_000 * h, h, 1) for h in range(1, 5) for _ in range(9)])
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        for _ in range(2):  # the second time is a replay
+            archive.archive(tx.select(small.columns).unionByName(small).repartition(12), str(tmp_path), load="batch-0")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = Counter(f.split("hour=")[1][:2] for f in archive.replay(spark, str(tmp_path)).inputFiles())
+    assert files["00"] >= 3 and all(files[f"0{h}"] == 1 for h in range(1, 5))
+    assert archive.replay(spark, str(tmp_path)).count() == 200_036
+
+
+def test_alerts_sent_again_are_read_once(spark, tmp_path):
+    rows = [("k1", T0), ("k2", T0 + 5)]
+    for batch in (rows, rows[:1], rows):
+        messages = spark.createDataFrame(batch, "k string, ts bigint").select(
+            F.encode("k", "UTF-8").alias("key"), F.to_json(F.struct(F.col("ts").alias("alert_ts_ms"))).alias("value"))
+        topics.send(messages, f"{tmp_path}/topic")
+        incoming = topics.read_topic(spark, f"{tmp_path}/topic", schema="key binary, value string")
+        topics.read_alerts(incoming).writeStream.format("parquet").option("path", f"{tmp_path}/alerts").option(
+            "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.alert_id for r in spark.read.parquet(f"{tmp_path}/alerts").collect()) == ["k1", "k2"]

@@ -7,10 +7,10 @@ token trie (bytes read of the token under way), the token before it and the
 tokens not yet emitted. Determinising by subsets gives states that are sets of
 configurations; tokens shared by all of them are emitted as soon as they agree,
 which bounds the delay. States and edges are made when a text first needs them.
-They are kept packed, in two generations of half of ``max_states`` each: when the
-younger is full it becomes the older one, whose states are taken over as they are
-met again. That never changes a result. The distinct pieces of a slice of texts
-are encoded once each, and the texts are put together from them.
+They are kept packed in arrays (some 100 bytes a state with its edges) and dropped
+all together beyond ``max_states``; that never changes a result. The distinct
+pieces of a slice of texts are encoded once each, and the texts are put together
+from them.
 
 Pieces are those of the library's pattern. Where the Unicode version of the
 pattern library here takes a character for another class than the tokenizer
@@ -38,6 +38,7 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from fraudloom.llm.chunks import Chunks
 from fraudloom.llm.common import binary_array, set_last, slices, take_runs, with_binary
@@ -59,12 +60,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Bytes of one pre-token to token ids.
 
-    ``edges`` maps (state, byte) to the next state and the number of the output on
-    the way; ``final`` has the output still pending if the text ends in a state. A
-    state is its configurations as packed 32-bit numbers.
+    A state is its configurations as packed 32-bit numbers, found by their hash.
+    ``edges`` has for each (state, byte) in ``keys`` the next state and the number of
+    the output on the way; ``final`` has the output still pending if the text ends in
+    a state. What was made last is in dictionaries until it is sorted into the arrays.
     """
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 600_000):
         self.ranks, self.max_states = ranks, max_states
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.child: dict[int, int] = {}
@@ -90,26 +92,36 @@ class Transducer:
             made = self._halves(token)
             if made is not None:
                 self.grown.setdefault(made[0], []).append(token)
-        self.outs: list[bytes] = [b""]
         self._restart()
 
     def _restart(self) -> None:
-        self.states: dict[bytes, int] = {}
-        self.configs: list[bytes] = []
-        self.edges: dict[int, int] = {}
-        self._next_generation()
-
-    def _next_generation(self) -> None:
-        self.old_states, self.old_configs, self.old_edges = self.states, self.configs, self.edges
-        self.old_outs = self.outs if self.old_states else [b""]
-        self.states, self.configs, self.edges = {}, [], {}
-        self.outs, self.out_numbers, self.final = [b""], {b"": 0}, []
+        self.hashes, self.numbers = np.zeros(0, np.int64), np.zeros(0, np.int32)  # of states, by hash
+        self.packed, self.offsets, self.final = bytearray(), array("Q", [0]), array("I")
+        self.keys, self.edges = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new_states: dict[int, int] = {}
+        self.new_edges: dict[int, int] = {}
+        self.outs, self.out_numbers = [b""], {b"": 0}
         self._state(self._pack([(0, -1, ())]))
 
+    def _settle(self) -> None:
+        """Sort the states and edges made since the last time into the arrays."""
+        def merged(keys: np.ndarray, values: np.ndarray, new: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+            keys = np.concatenate([keys, np.fromiter(new, np.int64, len(new))])
+            values = np.concatenate([values, np.fromiter(new.values(), values.dtype, len(new))])
+            order = np.argsort(keys, kind="stable")
+            return keys[order], values[order]
+
+        self.hashes, self.numbers = merged(self.hashes, self.numbers, self.new_states)
+        self.keys, self.edges = merged(self.keys, self.edges, self.new_edges)
+        self.new_states, self.new_edges = {}, {}
+
     @staticmethod
     def _pack(configs: list[Config]) -> bytes:
         return array("i", [x for node, before, pending in configs for x in (node, before, len(pending), *pending)]).tobytes()
 
+    def _config(self, state: int) -> bytes:
+        return bytes(self.packed[self.offsets[state]:self.offsets[state + 1]])
+
     @staticmethod
     def _unpack(packed: bytes) -> Iterator[Config]:
         held, at = array("i", packed), 0
@@ -125,16 +137,44 @@ class Transducer:
             self.outs.append(output)
         return found
 
-    def _state(self, packed: bytes) -> int:
-        found = self.states.get(packed)
+    @staticmethod
+    def _among(keys: np.ndarray, values: np.ndarray, new: dict[int, int], key: int) -> int | None:
+        found = new.get(key)
         if found is None:
-            found = self.states[packed] = len(self.configs)
-            self.configs.append(packed)
+            at = int(keys.searchsorted(key))
+            if at < len(keys) and keys[at] == key:
+                return int(values[at])
+        return found
+
+    def _state(self, packed: bytes) -> int:
+        key = hash(packed)
+        found = self._among(self.hashes, self.numbers, self.new_states, key)
+        # Of two states with one hash the later is found: the other is made again, which does no harm.
+        if found is None or self._config(found) != packed:
+            found = self.new_states[key] = len(self.final)
+            self.packed += packed
+            self.offsets.append(len(self.packed))
             # What is pending where a token has just ended; before the first byte nothing is.
             ended = next((pending for node, _, pending in self._unpack(packed) if node == 0), ())
             self.final.append(self._out(array("I", ended).tobytes()))
         return found
 
+    def _full(self) -> bool:
+        return len(self.final) >= self.max_states or len(self.outs) >= _OUT
+
+    def _edges(self, keys: np.ndarray) -> np.ndarray:
+        """Edges of distinct keys; missing ones are made."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        found = np.full(len(keys), -1, np.int64)
+        if len(self.keys):
+            known = self.keys[at] == keys
+            found[known] = self.edges[at[known]]
+        for i in np.flatnonzero(found < 0).tolist():
+            key = int(keys[i])
+            edge = self.new_edges.get(key)
+            found[i] = self._extend(key >> 8, key & 255) if edge is None else edge
+        return found
+
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge made ``token``; None for bytes and for tokens no text yields."""
         if token not in self.halves:
@@ -167,7 +207,7 @@ class Transducer:
         key = before << 32 | token
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 250_000:
+            if len(self.follows) > 150_000:
                 self.follows.clear()
             known = self.follows[key] = self._reachable(token) and not self._crosses(before, token)
         return known
@@ -197,6 +237,8 @@ class Transducer:
             edge = [before]  # the parts of `before` that reach its right end, last byte first
             while (made := self._halves(edge[0])) is not None:
                 edge.insert(0, made[1])
+            if len(self.starts) > 150_000:
+                self.starts.clear()
             known = self.starts[key] = self._grows(edge, self.ranks[bytes([byte])])
         return known
 
@@ -222,14 +264,8 @@ class Transducer:
 
     def _step(self, state: int, byte: int) -> tuple[bytes, bytes]:
         """The next state, packed, and the output on the way."""
-        packed = self.configs[state]
-        old = self.old_states.get(packed)
-        if old is not None:
-            edge = self.old_edges.get(old << 8 | byte)
-            if edge is not None:
-                return self.old_configs[edge >> _OUT_BITS], self.old_outs[edge & _OUT]
         reached: list[Config] = []
-        for node, before, pending in self._unpack(packed):
+        for node, before, pending in self._unpack(self._config(state)):
             if not node and not self._may_start(before, byte):
                 continue
             node = self.child.get(node << 8 | byte)
@@ -256,18 +292,18 @@ class Transducer:
 
     def _extend(self, state: int, byte: int) -> int:
         packed, output = self._step(state, byte)
-        edge = self.edges[state << 8 | byte] = self._state(packed) << _OUT_BITS | self._out(output)
+        edge = self.new_edges[state << 8 | byte] = self._state(packed) << _OUT_BITS | self._out(output)
         return edge
 
     def encode(self, word: bytes) -> bytes:
         """Ids of one word as little-endian 32-bit numbers."""
         state, made = 0, []
         for byte in word:
-            edge = self.edges.get(state << 8 | byte)
+            edge = self._among(self.keys, self.edges, self.new_edges, state << 8 | byte)
             if edge is None:
-                if len(self.configs) >= self.max_states // 2:
-                    packed = self.configs[state]
-                    self._next_generation()
+                if self._full():
+                    packed = self._config(state)
+                    self._restart()
                     state = self._state(packed)
                 edge = self._extend(state, byte)
             if edge & _OUT:
@@ -280,9 +316,11 @@ class Transducer:
         """Ids of all words one after the other, and where each word ends."""
         ids, sizes = [], []
         for at in range(0, len(words), block):
-            if len(self.configs) >= self.max_states // 2:
-                self._next_generation()
+            if self._full():
+                self._restart()
             values, ends = self._in_step(words[at:at + block])
+            if len(self.new_edges) > 1 << 16:
+                self._settle()
             ids.append(values)
             sizes.append(np.diff(ends, prepend=0))
         none = np.zeros(0, np.int64)
@@ -303,15 +341,9 @@ class Transducer:
             found_rows.append(some)
             found.append(numbers + len(outputs))
 
-        if len(long) and len(self.configs) >= self.max_states // 2:
-            self._next_generation()
         while len(rows):
             keys, of = np.unique(state << 8 | data[start[rows] + at], return_inverse=True)
-            edges = list(map(self.edges.get, keys.tolist()))
-            for i, key in enumerate(keys.tolist()):
-                if edges[i] is None:
-                    edges[i] = self._extend(key >> 8, key & 255)
-            edge = np.array(edges, np.int64)[of]
+            edge = self._edges(keys)[of]
             state, out, at = edge >> _OUT_BITS, edge & _OUT, at + 1
             add(rows[out > 0], out[out > 0])
             ended = sizes[rows] == at
@@ -470,6 +502,26 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
         for batch in slices(batches, text):
             made, ends = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
             yield set_last(batch, schema, binary_array(made.astype("<u4"), 4 * ends))
+            pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """Add ``ids`` and, decoded from these, ``decoded``, in one pass; ``text`` is left out."""
+    kept = docs.drop(text, ids, decoded).schema.fields
+    schema = T.StructType([*kept, T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+        for batch in slices(batches, text):
+            made, ends = encoder.encode([t or "" for t in batch.column(text).to_pylist()])
+            texts = [decoder.decode(some.tolist()).encode() for some in np.split(made, ends[:-1])]
+            kept = [batch.column(f.name) for f in schema.fields[:-2]]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, binary_array(made.astype("<u4"), 4 * ends), pa.array(texts, pa.binary())], schema.names)
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, schema)
 

@@ -27,8 +27,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """Digests of the ids of every text and of the bytes they decode to."""
-    ids = bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.decode(ids, RANKS).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN).select(
         "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

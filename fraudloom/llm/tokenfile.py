@@ -5,42 +5,43 @@ behind them two Elias-Fano sequences: the document boundaries (cumulative id
 counts) and the document ids. A sequence of n numbers up to u takes about
 2 + log2(u / n) bits a number; ``select`` finds entry i from a sampled position
 of 32 bits and a scan of less than one sample step, so no table of 64-bit
-offsets is stored. ``span`` gets one document's offsets by it; ``documents``,
-which the query uses, reads a whole segment and decodes all its boundaries to
-64-bit numbers.
+offsets is stored, and none is made in reading: ``span`` selects one document's
+offsets, ``documents``, which the query uses, goes through both sequences from
+sample to sample, 256 entries at a time.
 
 Layout (little endian): magic, ids (16 bits each if the vocabulary allows, else
 32), boundaries, document ids, footer, footer length is fixed.
 
 Documents are dealt to shards by ranges of doc_id, sorted there and written in
 segments of about ``segment_ids`` ids, so neither a task nor a reader holds more
-than one segment plus one document. Files appear by rename; a repeated task
-writes the same files again.
+than one segment plus one document. A doc_id that fills several ranges is dealt
+to them by hash, and so are null doc_ids to shards of their own: neither meets in
+one task. Files appear by rename; a repeated task writes the same files again.
 
-Null doc_ids come first, in segments of their own without document ids. Null and
-empty texts give the end id alone. Rows that repeat a doc_id are all written.
+Null doc_ids come first, in segments without document ids. Null and empty texts
+give the end id alone, texts of any length are encoded whole. Rows that repeat a
+doc_id are all written, in any order. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
-import gc
 import os
-import re
 import struct
 import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
+import xxhash
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fraudloom.llm.common import AtomicFile, open_fs, shuffle_partitions, slices, stored
+from fraudloom.llm.common import AtomicFile, binary_array, open_fs, shuffle_partitions, slices, stored, take_runs
 from fraudloom.session import work_dir
 
 MAGIC = b"FLTOKEN1"
@@ -106,14 +107,16 @@ class EliasFano:
         one = int(self._ones(i // _SAMPLE)[i % _SAMPLE])
         return (one - i) << self.low_bits | int(self._low(i, i + 1)[0])
 
-    def values(self) -> np.ndarray:
-        """All entries, block by block."""
-        out = np.empty(self.n, np.uint64)
+    def runs(self) -> Iterator[np.ndarray]:
+        """All entries in order, from one sample to the next at a time."""
         for block in range(len(self.samples)):
             first, last = block * _SAMPLE, min(self.n, (block + 1) * _SAMPLE)
             high = self._ones(block)[:last - first] - np.arange(first, last)
-            out[first:last] = (high.astype(np.uint64) << np.uint64(self.low_bits)) | self._low(first, last)
-        return out
+            yield (high.astype(np.uint64) << np.uint64(self.low_bits)) | self._low(first, last)
+
+    def __iter__(self) -> Iterator[int]:
+        for run in self.runs():
+            yield from run.tolist()
 
 
 class SegmentWriter:
@@ -168,84 +171,99 @@ class SegmentReader:
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Document id, first id and ids of all documents in order."""
-        ends = self.ends.values().astype(np.int64)
-        names = self.doc_ids.values() if self.named else None
+        ends = iter(self.ends)
+        names = iter(self.doc_ids) if self.named else None
+        first = next(ends, 0)
         held_from, held = 0, self.ids(0, 0)
-        for i in range(self.n_docs):
-            first, last = int(ends[i]), int(ends[i + 1])
+        for last in ends:
             if last > held_from + len(held):
                 held_from, held = first, self.ids(first, max(last, min(self.n_ids, first + (1 << 18))))
-            name = None if names is None else int(names[i]) + self.base
+            name = None if names is None else next(names) + self.base
             yield name, first, held[first - held_from:last - held_from]
+            first = last
 
 
 class ChunkEncoder:
-    """The library's ids of whole texts.
+    """The library's ids of whole texts, by their distinct chunks.
 
     The pattern of the library drops white space and no token runs across it, so
-    texts are cut at blanks and line ends. Chunks of plain ASCII are cut further
-    into the pattern's matches; the library encodes each distinct piece (or other
-    chunk), and the ids of recent chunks and pieces are remembered. A memo keeps
-    two generations, so entries in use stay when the older one is dropped.
+    texts are cut at blanks and line ends. Chunks of ASCII and Latin letters are
+    lower-cased and cut further into the pattern's matches; the library encodes
+    each distinct piece, and any other chunk as it is. Ids of pieces are remembered
+    up to a number of them and then all forgotten.
     """
 
-    # A chunk of these characters only is lower-cased and cut like this by any version of the pattern.
-    _PLAIN = re.compile(r"[A-Za-z0-9!\"#$%&()*+,\-./:;=?@\[\\\]^_`{|}~]+")
-    _PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+    # Chunks of these characters only are lower-cased and cut the same by any version of the
+    # library: no apostrophe (contractions), no angle brackets (special tokens), no blank,
+    # no U+0130 (two characters in lower case).
+    _PLAIN = "^[!-&(-;=?-~\u00a1-\u012f\u0131-\u024f]+$"
+    _PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")
 
     def __init__(self, tokenizer: Tokenizer, width: int, remember: int = 250_000):
         self.tokenizer, self.remember = tokenizer, remember
-        self.kind = "H" if width == 2 else "I"
+        self.kind = np.dtype("<u2" if width == 2 else "<u4")
         self.ends_word = np.zeros(tokenizer.get_vocab_size(), bool)
         suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
         if suffix:
             self.ends_word[[i for token, i in tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, self.kind), np.zeros(0, np.int64)
 
-    def _library(self, names: list[str], known: dict[str, bytes]) -> None:
-        for at in range(0, len(names), 4_096):
-            some = names[at:at + 4_096]
-            for name, made in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[name] = array(self.kind, made.ids).tobytes()
+    def _library(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        made = [e.ids for at in range(0, len(texts), 4_096)
+                for e in self.tokenizer.encode_batch_fast(texts[at:at + 4_096], add_special_tokens=False)]
+        return [np.array(ids, self.kind) for ids in made], list(map(len, made))
 
-    def _joined(self, pieces: list[str], known: dict[str, bytes]) -> None:
+    def _joined(self, pieces: list[str]) -> tuple[list[np.ndarray], list[int]]:
         """Plain pieces, many in one text: each ends with the one token that marks a word's end."""
+        found, sizes = [], []
         for at in range(0, len(pieces), 512):
             some = pieces[at:at + 512]
             ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(some):
-                self._library(some, known)
-                continue
-            begin = 0
-            for piece, end in zip(some, ends.tolist()):
-                known[piece] = ids[begin:end].tobytes()
-                begin = end
-
-    def _learn(self, names: set[str]) -> None:
-        young, old = self.young, self.old
-        for name in names & old.keys():
-            young[name] = old[name]
-        whole = [name for name in names if name not in young]
-        plain = {name: self._PIECES.findall(name.lower()) for name in whole if self._PLAIN.fullmatch(name)}
-        pieces = {piece for cut in plain.values() for piece in cut if piece not in young}
-        for piece in pieces & old.keys():
-            young[piece] = old[piece]
-        self._joined([p for p in pieces if p not in young], young)
-        self._library([n for n in whole if n not in plain and n not in young], young)
-        for name, cut in plain.items():
-            young[name] = b"".join([young[piece] for piece in cut])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        names = set(chain.from_iterable(cut))
-        if len(self.young) + len(names) > self.remember:
-            self.old, self.young = self.young, {}
-        self.young[""] = b""
-        self._learn(names - self.young.keys())
-        get = self.young.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+            more = ([ids], np.diff(ends, prepend=0).tolist()) if len(ends) == len(some) else self._library(some)
+            found += more[0]
+            sizes += more[1]
+        return found, sizes
+
+    def _numbers(self, names: list[str], plain: bool) -> np.ndarray:
+        """Numbers of remembered ids of pieces (or of whole chunks, which are told apart from pieces by a blank)."""
+        keys = names if plain else [" " + name for name in names]
+        new = [i for i, key in enumerate(keys) if key not in self.known]
+        if new:
+            found, sizes = (self._joined if plain else self._library)([names[i] for i in new])
+            for i in new:
+                self.known[keys[i]] = len(self.known)
+            self.ids = np.concatenate([self.ids, *found])
+            self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int64)])
+        return np.array(list(map(self.known.__getitem__, keys)), np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text ends."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        chunks = split.flatten().dictionary_encode()
+        names = chunks.dictionary
+        if len(self.known) > self.remember:
+            self._forget()
+        plain = pc.match_substring_regex(names, self._PLAIN).to_numpy(zero_copy_only=False).astype(bool)
+        some = np.flatnonzero(plain)
+        lower = "\n".join(names.filter(pa.array(plain)).to_pylist()).lower()
+        pieces = pa.array(self._PIECES.findall(lower), pa.string())
+        between = pc.equal(pieces, "\n").to_numpy(zero_copy_only=False).astype(bool)
+        distinct = pieces.filter(pa.array(~between)).dictionary_encode()
+        numbers = self._numbers(distinct.dictionary.to_pylist(), True)[distinct.indices.to_numpy()]
+        owners = some[np.cumsum(between)[~between]] if len(some) else some
+        others = np.flatnonzero(~plain)
+        whole = self._numbers(names.take(pa.array(others)).to_pylist(), False)
+        owners, numbers = np.concatenate([owners, others]), np.concatenate([numbers, whole])
+        order = np.argsort(owners, kind="stable")
+        ids, ends = take_runs(self.ids, np.cumsum(self.sizes), numbers[order].astype(np.int32))
+        chunk_ends = np.concatenate([[0], ends])[np.cumsum(np.bincount(owners, minlength=len(names)))]
+        ids, ends = take_runs(ids, chunk_ends, chunks.indices.to_numpy())
+        return ids, np.concatenate([[0], ends])[split.offsets.to_numpy()[1:] - split.offsets[0].as_py()]
 
 
 @lru_cache(maxsize=2)
@@ -254,10 +272,10 @@ def _chunk_encoder(path: str, width: int) -> ChunkEncoder:
 
 
 def _shard_bounds(docs: DataFrame, shards: int) -> list[int]:
-    """Values of doc_id that cut the table into about equal parts (at most ``shards``)."""
+    """Values of doc_id that cut the table into ``shards`` about equal parts; one that fills several is there again."""
     shares = [i / shards for i in range(1, shards)]
     row = docs.select(F.percentile_approx("doc_id", shares, 10 * MAX_SHARDS).alias("b")).first()
-    return sorted(set(row.b or []))
+    return sorted(row.b or [])
 
 
 def write_token_files(
@@ -276,18 +294,27 @@ def write_token_files(
     partitions = shuffle_partitions(spark)
     bounds = np.array(_shard_bounds(docs, min(MAX_SHARDS, 4 * max(2, partitions))), np.int64)
 
+    unnamed = partitions  # shards of null doc_ids, ahead of all others
+
+    def shard_of(doc_id: int | None, ids: bytes) -> int:
+        spread = xxhash.xxh3_64_intdigest(ids)
+        if doc_id is None:
+            return spread % unnamed
+        least, most = (int(np.searchsorted(bounds, doc_id, side)) for side in ("left", "right"))
+        # Shards between two bounds of this id hold nothing else.
+        return unnamed + (most if most - least < 2 else least + spread % (most - least + 1))
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
-        gc.disable()  # only long-lived strings and bytes are held
         encoder = _chunk_encoder(tokenizer_path, width)
-        end = array(encoder.kind, [end_id]).tobytes()
         for batch in slices(batches):
             names = batch.column("doc_id").to_pylist()
-            shards = [-1 if d is None else int(np.searchsorted(bounds, d, side="right")) for d in names]
-            ids = [data + end for data in encoder.encode([t or "" for t in batch.column("text").to_pylist()])]
+            ids, ends = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+            made = binary_array(ids, ends * width)
+            shards = [shard_of(name, data) for name, data in zip(names, made.to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shards, pa.int32()), pa.array(names, pa.int64()), pa.array(ids, pa.binary())],
-                ["shard", "doc_id", "ids"])
+                [pa.array(shards, pa.int32()), pa.array(names, pa.int64()), made], ["shard", "doc_id", "ids"])
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, shard, segment, done = None, None, 0, []
@@ -303,7 +330,7 @@ def write_token_files(
                     writer = None
                 if writer is None:
                     shard = row["shard"]
-                    writer = SegmentWriter(f"{folder}/{shard + 1:05d}-{segment:06d}.tok", width)
+                    writer = SegmentWriter(f"{folder}/{shard:06d}-{segment:06d}.tok", width)
                 writer.add(row["doc_id"], row["ids"])
         if writer:
             close()
@@ -319,7 +346,7 @@ def write_token_files(
         .mapInArrow(written, "path string, shard int, segment int, n_docs bigint, n_ids bigint")
     )
     files = stored(made, "manifest")
-    # One row per shard (at most MAX_SHARDS + 1), then the segments within each shard.
+    # One row per shard (at most MAX_SHARDS and those of null ids), then the segments within each shard.
     shards = files.groupBy("shard").agg(F.sum("n_ids").alias("held"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.select("shard", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("shard_start"))

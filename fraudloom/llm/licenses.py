@@ -1,16 +1,17 @@
 """License scan by ordered signature rules, all in DataFrame expressions.
 
 A text is reduced to lower-case words joined by spaces. Hundreds of regular
-expressions over these words (a title of each license in each form in which
-texts refer to it) are gated by a keyword each, and the texts as a whole by a
-few word stems, so most texts meet no rule. Every match is an interval of words
+expressions over these words (permission notices, warranty clauses and file
+headers of the licenses, their short identifiers, and the title of each license
+in each form in which texts refer to it) are gated by a keyword each, and the
+texts as a whole by a few word stems, so most texts meet no rule. Every match is an interval of words
 with a priority. A match that lies inside another one of the same or a better
 priority is suppressed; the labels of the others are reported.
 
 Base phrases are counted apart from that and never suppressed.
 
-Null and empty texts have no words, no label and score 0. Rows are scanned one
-by one, so repeated rows give equal results. Only ``doc_id`` and ``text`` are read.
+Null and empty texts have no words, no label and score 0. Texts of any length are
+scanned whole. Rows are scanned one by one, so repeated rows give equal results. Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -35,14 +36,19 @@ TITLES = (
     ("apache-2", "apache", "apache (software )?license (version )?2( 0)?|apache 2( 0)?( license)?|apache license v2( 0)?"),
     ("apache-1.1", "apache", "apache (software )?license (version )?1 1"),
     ("apache", "apache", "apache (software )?license"),
-    ("gpl-3", "3", "gnu (general public license|gpl) (version |v)3( 0)?|gplv3|gpl v?3( 0)?( only| or later)?"),
-    ("gpl-2", "2", "gnu (general public license|gpl) (version |v)2( 0)?|gplv2|gpl v?2( 0)?( only| or later)?"),
+    ("gpl-3", "gnu g", "gnu (general public license|gpl) (version |v)3( 0)?"),
+    ("gpl-3", "gpl", "gplv3|gpl v?3( 0)?( only| or later)?"),
+    ("gpl-2", "gnu g", "gnu (general public license|gpl) (version |v)2( 0)?"),
+    ("gpl-2", "gpl", "gplv2|gpl v?2( 0)?( only| or later)?"),
     ("gpl", "gnu", "gnu (general public license|gpl)"),
-    ("lgpl-3", "3", "gnu lesser general public license (version |v)3( 0)?|lgplv3|lgpl v?3( 0)?"),
-    ("lgpl-2.1", "2 1", "gnu lesser general public license (version |v)2 1|lgplv2 1|lgpl v?2 1"),
+    ("lgpl-3", "lesser", "gnu lesser general public license (version |v)3( 0)?"),
+    ("lgpl-3", "lgpl", "lgplv3|lgpl v?3( 0)?"),
+    ("lgpl-2.1", "lesser", "gnu lesser general public license (version |v)2 1"),
+    ("lgpl-2.1", "lgpl", "lgplv2 1|lgpl v?2 1"),
     ("lgpl", "lesser", "gnu lesser general public license"),
     ("lgpl", "library", "gnu library general public license"),
-    ("agpl-3", "3", "gnu affero general public license (version |v)3( 0)?|agplv3|agpl v?3( 0)?"),
+    ("agpl-3", "affero", "(gnu )?affero general public license (version |v)3( 0)?"),
+    ("agpl-3", "agpl", "agplv3|agpl v?3( 0)?"),
     ("agpl", "affero", "(gnu )?affero general public license"),
     ("gfdl", "documentation", "gnu free documentation license"),
     ("bsd-2", "bsd", "(simplified|2 clause|two clause) bsd license|bsd 2 clause( license)?"),
@@ -51,11 +57,15 @@ TITLES = (
     ("bsd-0", "bsd", "(zero clause|0 clause) bsd license|0bsd|bsd zero clause( license)?"),
     ("bsd", "bsd", "bsd( style)? license"),
     ("isc", "isc", "isc license"),
-    ("mpl-2", "2", "mozilla public license (version |v)?2( 0)?|mpl 2 0"),
-    ("mpl-1.1", "1 1", "mozilla public license (version |v)?1 1|mpl 1 1"),
+    ("mpl-2", "mozilla", "mozilla public license (version |v ?)?2( 0)?"),
+    ("mpl-2", "mpl 2", "mpl 2 0"),
+    ("mpl-1.1", "mozilla", "mozilla public license (version |v ?)?1 1"),
+    ("mpl-1.1", "mpl 1", "mpl 1 1"),
     ("mpl", "mozilla", "mozilla public license"),
-    ("epl-2", "2", "eclipse public license (version |v)?2( 0)?|epl 2 0"),
-    ("epl-1", "1", "eclipse public license (version |v)?1( 0)?|epl 1 0"),
+    ("epl-2", "eclipse", "eclipse public license (version |v ?)?2( 0)?"),
+    ("epl-2", "epl 2", "epl 2 0"),
+    ("epl-1", "eclipse", "eclipse public license (version |v ?)?1( 0)?"),
+    ("epl-1", "epl 1", "epl 1 0"),
     ("epl", "eclipse", "eclipse public license"),
     ("cddl", "common development", "common development and distribution license"),
     ("eupl", "european", "european union public licen[cs]e"),
@@ -91,10 +101,79 @@ TITLES = (
     ("proprietary", "proprietary", "proprietary license"),
 )
 
+_TERMS = "(([^ ]+ )?under (the )?(terms (and conditions )?of (the )?)?)?"
+_FSF = "as published by the free software foundation (either )?version"
+# Label, keyword and words of notices, clauses and headers that licenses prescribe.
+NOTICES = (
+    ("mit", "person obtaining a copy of this software",
+     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "substantial portions of the software",
+     "(the above )?copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("boost", "person or organization obtaining a copy",
+     "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    ("isc", "this software for any purpose",
+     "permission to use copy modify and (or )?distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice"),
+    ("bsd-0", "this software for any purpose",
+     "permission to use copy modify and (or )?distribute this software for any purpose with or without fee is hereby granted "
+     "the software is provided as is"),
+    ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification (are|is) permitted"),
+    ("bsd-3", "endorse or promote", "neither the names? of (the )?([^ ]+ ){0,12}?contributors may be used to endorse or promote products"),
+    ("bsd-4", "advertising materials", "all advertising materials mentioning features or use of this software must display"),
+    ("apache-2", "except in compliance with the license", "you may not use this file except in compliance with the license"),
+    ("apache-2", "distributed under the license", "software distributed under the license is distributed on an as is basis"),
+    ("gpl-3", "general public license", f"{_TERMS}gnu general public license {_FSF} 3( of the license)?"),
+    ("gpl-2", "general public license", f"{_TERMS}gnu general public license {_FSF} 2( of the license)?"),
+    ("gpl", "verbatim copies of this license", "everyone is permitted to copy and distribute verbatim copies of this license document"),
+    ("lgpl-3", "lesser general", f"{_TERMS}gnu lesser general public license {_FSF} 3( of the license)?"),
+    ("lgpl-2.1", "lesser general", f"{_TERMS}gnu lesser general public license {_FSF} 2 1( of the license)?"),
+    ("lgpl-2", "library general", f"{_TERMS}gnu library general public license {_FSF} 2( of the license)?"),
+    ("agpl-3", "affero general", f"{_TERMS}(gnu )?affero general public license {_FSF} 3( of the license)?"),
+    ("gfdl", "free documentation", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("mpl-2", "source code form", "this source code form is subject to the terms of the mozilla public license v(ersion)? 2 0"),
+    ("mpl-1.1", "mozilla public", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl-2", "accompanying materials", "accompanying materials (are|is) made available under the terms of the eclipse public license (v|version )?2 0"),
+    ("epl-1", "accompanying materials", "accompanying materials (are|is) made available under the terms of the eclipse public license (v|version )?1 0"),
+    ("cddl", "common development", "contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "eupl", "licensed under the eupl (version |v)?1 [012]( or as soon they will be approved)?"),
+    ("artistic", "standard version", "distribute verbatim copies of the source form of the standard version of this package"),
+    ("zlib", "authors be held liable", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "verbatim or modified copies", "everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
+    ("python", "making python", "psf is making python (version )?([^ ]+ ){0,6}?available to licensee"),
+    ("openssl", "openssl project", "this product includes software developed by the openssl project"),
+    ("postgresql", "without a written agreement",
+     "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("ms-pl", "ms pl", "microsoft public license ms pl|this license governs use of the accompanying software ms pl"),
+    ("ofl", "font software", "this font software is licensed under the sil open font license( version 1 [01])?"),
+    ("odbl", "database", "this ([^ ]+ ){0,8}?is made available under the open database license"),
+    ("odc-by", "odc attribution", "this ([^ ]+ ){0,8}?is made available under the odc attribution license"),
+    ("cc0", "dedicated the work", "has dedicated the work to the public domain"),
+    ("proprietary", "unauthorized copying", "unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "proprietary and confidential", "proprietary and confidential"),
+)
+# Short identifiers, as words.
+IDENTIFIERS = (
+    ("mit", "mit"), ("mit-0", "mit 0"), ("apache-2", "apache 2 0"), ("apache-1.1", "apache 1 1"), ("gpl-3", "gpl 3 0"),
+    ("gpl-3", "gpl 3 0 only"), ("gpl-3", "gpl 3 0 or later"), ("gpl-2", "gpl 2 0"), ("gpl-2", "gpl 2 0 only"),
+    ("gpl-2", "gpl 2 0 or later"), ("lgpl-3", "lgpl 3 0"), ("lgpl-3", "lgpl 3 0 only"), ("lgpl-3", "lgpl 3 0 or later"),
+    ("lgpl-2.1", "lgpl 2 1"), ("lgpl-2.1", "lgpl 2 1 only"), ("lgpl-2.1", "lgpl 2 1 or later"), ("agpl-3", "agpl 3 0"),
+    ("agpl-3", "agpl 3 0 only"), ("agpl-3", "agpl 3 0 or later"), ("gfdl", "gfdl 1 3"), ("gfdl", "gfdl 1 2"),
+    ("bsd-2", "bsd 2 clause"), ("bsd-3", "bsd 3 clause"), ("bsd-4", "bsd 4 clause"), ("bsd-0", "0bsd"), ("isc", "isc"),
+    ("mpl-2", "mpl 2 0"), ("mpl-1.1", "mpl 1 1"), ("epl-2", "epl 2 0"), ("epl-1", "epl 1 0"), ("cddl", "cddl 1 0"),
+    ("cddl", "cddl 1 1"), ("eupl", "eupl 1 2"), ("eupl", "eupl 1 1"), ("artistic-2", "artistic 2 0"), ("boost", "bsl 1 0"),
+    ("zlib", "zlib"), ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("python", "psf 2 0"), ("python", "python 2 0"),
+    ("openssl", "openssl"), ("postgresql", "postgresql"), ("ms-pl", "ms pl"), ("ms-rl", "ms rl"), ("ofl", "ofl 1 1"),
+    ("odbl", "odbl 1 0"), ("odc-by", "odc by 1 0"), ("cc0", "cc0 1 0"), ("cc-by", "cc by 4 0"), ("cc-by-sa", "cc by sa 4 0"),
+    ("cc-by-nd", "cc by nd 4 0"), ("cc-by-nc", "cc by nc 4 0"), ("cc-by-nc-sa", "cc by nc sa 4 0"),
+    ("cc-by-nc-nd", "cc by nc nd 4 0"), ("cc-by", "cc by 3 0"), ("cc-by-sa", "cc by sa 3 0"),
+)
+# Ahead of an identifier, priority and confidence: the tag of file headers, the field of package descriptions.
+_TAGS = (("spdx license identifier", 0, 1.0), ("license", 1, 0.8))
+
 _GRANT = "(licen[cs]ed|released|distributed|published|available|provided|offered)"
 # form, priority (0 is best), confidence; {} stands for the title.
 FORMS = (
-    ("spdx license identifier ({})", 0, 1.0),
     (_GRANT + " under (the )?(terms (and conditions )?of (the )?)?({})", 1, 0.95),
     ("(under|subject to|governed by|covered by) (the )?(terms (and conditions )?of (the )?)?({})", 1, 0.9),
     ("(copy|text|terms|conditions) of (the )?({})", 1, 0.8),
@@ -104,7 +183,10 @@ FORMS = (
 )
 # Texts without any of these have no match: every title or base phrase holds one.
 _STEMS = (
-    r"licen[cs]|gpl|mit[^0-9a-z]+(0|no[^0-9a-z])|apache|bsd|mpl|epl|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
+    r"hereby[^0-9a-z]+granted|redistribution[^0-9a-z]+and|unencumbered[^0-9a-z]+software|held[^0-9a-z]+liable|endorse[^0-9a-z]+or"
+    r"|advertising[^0-9a-z]+materials|unauthorized[^0-9a-z]+copying|openssl[^0-9a-z]+project|proprietary[^0-9a-z]+and"
+    r"|shall[^0-9a-z]+be[^0-9a-z]+included|verbatim[^0-9a-z]+copies|written[^0-9a-z]+agreement|eupl|ms[^0-9a-z]pl"
+    r"|licen[cs]|gpl|mit[^0-9a-z]+(0|no[^0-9a-z])|apache|bsd|mpl|epl|cc0|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
     r"|creative|public|mit[^0-9a-z]")
 _GATE = "(?i)" + _STEMS
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,6 +200,11 @@ def signatures() -> list[tuple[str, int, float, str, str]]:
         (label, priority, confidence, keyword, form.format(title))
         for form, priority, confidence in FORMS for label, keyword, title in TITLES
     ]
+    rules += [(label, 0, 0.98, keyword, expression) for label, keyword, expression in NOTICES]
+    rules += [
+        (label, priority, confidence, f"{tag} {words}", f"{tag} {words}")
+        for tag, priority, confidence in _TAGS for label, words in IDENTIFIERS
+    ]
     return sorted(rules, key=lambda rule: rule[1])
 
 

@@ -23,7 +23,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,12 +37,10 @@ _ORDER = ["h1", "h2", "doc_id", "text_key", "pos"]
 _DROPPED, _LEADING, _EDGE = 0, 1, 2
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``own_doc`` (null first) and ``text_key``, which tells apart rows of one doc_id."""
-    return docs.withColumns({
-        "own_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_DOC)),
-        "text_key": F.xxhash64(whole_text()),
-    })
+def row_keys() -> list[Column]:
+    """``own_doc`` (null first) and ``text_key``, which tells apart rows of one doc_id."""
+    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NULL_DOC))
+    return [own.alias("own_doc"), F.xxhash64(whole_text()).alias("text_key")]
 
 
 def line_rows(docs: DataFrame, min_chars: int = 10) -> DataFrame:
@@ -64,7 +62,7 @@ def line_rows(docs: DataFrame, min_chars: int = 10) -> DataFrame:
                 [pa.array(halves[:, 0]), pa.array(halves[:, 1]), batch.column("own_doc").take(rows),
                  batch.column("text_key").take(rows), pa.array(places, pa.int32())], _ORDER)
 
-    return keyed(docs.select("doc_id", "text")).select("own_doc", "text_key", "text").mapInArrow(
+    return docs.select(*row_keys(), "text").mapInArrow(
         run, "h1 bigint, h2 bigint, doc_id bigint, text_key bigint, pos int")
 
 
@@ -170,7 +168,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     Columns of these two names in ``docs`` are replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    flat = keyed(docs.select(*kept)).select(F.struct(*kept).alias("row"), "own_doc", "text_key")
+    # The keys stand beside the row: its own columns may have any names.
+    flat = docs.select(F.struct(*kept).alias("row"), *row_keys())
     joined = flat.join(
         bitmaps.select(F.col("doc_id").alias("own_doc"), "text_key", "bitmap"), ["own_doc", "text_key"], "left")
     rest = [c for c in kept if c != "text"]

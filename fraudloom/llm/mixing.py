@@ -148,10 +148,20 @@ def plan_mix(docs: DataFrame, seed: int = 6, bucket_rows: int = 1_000, **shares)
         .select("doc_id", "source", "size", "text_key", "n", "source_size", "target", "copies", "extra", draw)
         .withColumn("bucket", F.expr(f"draw div (({1 << 52} + n div {bucket_rows}) div (n div {bucket_rows} + 1) + 1)")),
         "dealt")
-    in_order = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Rows in earlier buckets, in two levels: no task orders all buckets of one length.
+    held = dealt.groupBy("source", "size", F.expr("bucket div 1024").alias("shelf"), "bucket").agg(
+        F.count(F.lit(1)).alias("held"), F.first("extra").alias("extra"))
+    earlier = (Window.unboundedPreceding, -1)
+    shelf_order = Window.partitionBy("source", "size").orderBy("shelf").rowsBetween(*earlier)
+    shelves = held.groupBy("source", "size", "shelf").agg(F.sum("held").alias("on_shelf")).select(
+        F.col("source").alias("s_source"), F.col("size").alias("s_size"), F.col("shelf").alias("s_shelf"),
+        F.coalesce(F.sum("on_shelf").over(shelf_order), F.lit(0)).alias("opening"))
+    in_order = Window.partitionBy("source", "size", "shelf").orderBy("bucket").rowsBetween(*earlier)
     buckets = (
-        dealt.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("held"), F.first("extra").alias("extra"))
-        .withColumn("before", F.coalesce(F.sum("held").over(in_order), F.lit(0)))
+        held.withColumn("inside", F.coalesce(F.sum("held").over(in_order), F.lit(0)))
+        .join(shelves, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("size") == F.col("s_size"))
+              & (F.col("shelf") == F.col("s_shelf")))
+        .withColumn("before", F.col("opening") + F.col("inside"))
         .select(F.col("source").alias("b_source"), F.col("size").alias("b_size"), F.col("bucket").alias("b_bucket"),
                 F.greatest(F.lit(0), F.least("held", F.col("extra") - F.col("before"))).alias("take"))
     )

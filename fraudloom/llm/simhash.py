@@ -11,8 +11,10 @@ the longer chains before the whole fingerprints are compared.
 Documents are grouped by fingerprint first, so exact copies are one entry. In
 the groups of a key, blocks of bounded size are compared and only a spanning
 forest of what links is returned, not all pairs. Keys with more than
-``hot_entries`` fingerprints are dealt over several tasks, each with a part of
-the asking side.
+``hot_entries`` fingerprints are dealt over up to ``most_parts`` tasks, each with a
+part of the asking side. Beyond that their join key takes in a third segment, of
+which a question asks all values that differ in at most two bits: rows stay linear
+in the fingerprints, and as these are distinct, no group has more than 2^16 entries.
 
 Fingerprints: lower-case ASCII letters, words between ASCII blanks, shingles of
 ``width`` words joined by a space (fewer words: all of them), XXH64 with seed
@@ -200,7 +202,29 @@ def _link_groups(budget: int):
     return run
 
 
-def link_fingerprints(distinct: DataFrame, budget: int = BUDGET, hot_entries: int = 4_096) -> DataFrame:
+def _third_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of very hot keys dealt by their third segment, questions by all values within two bits of it."""
+    bits = 1 << np.arange(16)
+    flips = np.unique(np.r_[0, (bits[:, None] | bits).ravel()]).astype(np.uint64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 10_000):
+            some = batch.slice(at, 10_000)
+            keys, fps = some.column("key").to_numpy(), some.column("fp").to_numpy().view(np.uint64)
+            probes = some.column("probe").to_numpy(zero_copy_only=False).astype(bool)
+            third = np.zeros(len(fps), np.uint64)
+            for turn in range(4):
+                here = keys >> 32 == turn
+                third[here] = _turn(fps[here], turn) >> np.uint64(16) & np.uint64(0xFFFF)
+            rows = np.r_[np.flatnonzero(~probes), np.repeat(np.flatnonzero(probes), len(flips))]
+            parts = np.r_[third[~probes], (third[probes][:, None] ^ flips).ravel()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[rows]), pa.array(fps[rows].view(np.int64)), pa.array(probes[rows]),
+                 pa.array(parts.astype(np.int32))], ["key", "fp", "probe", "part"])
+
+
+def link_fingerprints(
+    distinct: DataFrame, budget: int = BUDGET, hot_entries: int = 4_096, most_parts: int = 64,
+) -> DataFrame:
     """Edges ``a, b`` that connect all of ``distinct.fp`` within ``budget`` (at most 3) differing bits."""
     if budget > 3:
         raise ValueError("two 16-bit segments as key hold for at most 3 differing bits")
@@ -211,13 +235,17 @@ def link_fingerprints(distinct: DataFrame, budget: int = BUDGET, hot_entries: in
         .where(F.col("entries") > hot_entries)
         .select("key", F.ceil(F.col("entries") / hot_entries).cast("int").alias("parts"))
     )
-    marked = rows.join(stored(hot, "hot-keys"), "key", "left")
+    hot = stored(hot, "hot-keys")
+    marked = rows.join(hot, "key", "left")
     number = F.coalesce("parts", F.lit(1))
-    dealt = marked.select(
+    dealt = marked.where(number <= most_parts).select(
         "key", "fp", "probe",
         F.explode(
             F.when(F.col("probe"), F.array(F.pmod(F.xxhash64("fp"), number).cast("int")))
             .otherwise(F.sequence(F.lit(0), number - 1))).alias("part"))
+    if not hot.where(F.col("parts") > most_parts).isEmpty():
+        deep = marked.where(number > most_parts).select("key", "fp", "probe")
+        dealt = dealt.unionByName(deep.mapInArrow(_third_segments, "key bigint, fp bigint, probe boolean, part int"))
     grouped = dealt.repartition("key", "part").sortWithinPartitions("key", "part", "probe")
     return grouped.mapInArrow(_link_groups(budget), "a bigint, b bigint")
 

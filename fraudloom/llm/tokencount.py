@@ -5,8 +5,8 @@
 2. The library counts the pieces of each distinct pre-token once; the counts
    are a written table.
 3. Documents are turned into pre-token frequencies and joined to that table.
-   The most frequent pre-tokens (at most ``frequent`` of them, a bound that does
-   not grow) are joined inside the tasks from a broadcast map; all others go
+   The most frequent pre-tokens (at most ``frequent`` of them, of at most 64 bytes
+   each, a bound that does not grow) are joined inside the tasks from a broadcast map; all others go
    through a shuffle join on the pre-token. Sums per document
    give the counts.
 
@@ -35,6 +35,7 @@ from fraudloom.llm.common import slices, stored, words_after_space
 
 FREQUENT = 1 << 18
 _REMEMBER = 300_000
+_SHORT = 64  # bytes of a pre-token that may be sent to all tasks
 _SETTLED = "\u0250"
 _PATTERN = regex.compile(public_tokenizers.PATTERN)  # the pattern of byte-level pre-tokenizers
 
@@ -149,7 +150,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, frequent: int = FREQUENT)
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     table = pre_token_table(docs, tokenizer_path)
-    is_frequent = _occurrence_class() >= F.lit(_least_frequent(table, frequent))
+    is_frequent = (_occurrence_class() >= F.lit(_least_frequent(table, frequent))) & (
+        F.octet_length("piece") <= _SHORT)
     few = table.where(is_frequent).select("piece", "tokens").toArrow().to_pydict()
     frequent_counts = spark.sparkContext.broadcast(dict(zip(few["piece"], few["tokens"])))
 

@@ -199,7 +199,7 @@ class ChunkEncoder:
     _PLAIN = "^[!-&(-;=?-~\u00a1-\u012f\u0131-\u024f]+$"
     _PIECES = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")
 
-    def __init__(self, tokenizer: Tokenizer, width: int, remember: int = 250_000):
+    def __init__(self, tokenizer: Tokenizer, width: int, remember: int = 600_000):
         self.tokenizer, self.remember = tokenizer, remember
         self.kind = np.dtype("<u2" if width == 2 else "<u4")
         self.ends_word = np.zeros(tokenizer.get_vocab_size(), bool)

@@ -9,8 +9,9 @@ full scan and doubles the shard's beam until questions find on average ``recall`
 of their links to other vectors, judged apart by number of links (1, 2 to 3, 4 to
 7, ...), so that neither large groups nor a question's match with itself hide
 what isolated pairs lose. If few questions have few links, made ones that link
-with a vector of the shard are judged too. And a question whose whole beam links is asked again with a doubled beam, or
-answered by a scan if the beam would hold much of the shard. Links are verified
+with a vector of the shard are judged too. And a question whose whole beam links is
+asked again with a doubled beam, or, where a scan of the shard costs less than that,
+answered by a scan; every question goes through the graph first. Links are verified
 by cosine in double precision. A task takes two shards and both directions between
 them, so that a link found from one end counts for both. It returns link counts and
 a spanning forest of its links, not the pairs; components are joined over all tasks.
@@ -38,9 +39,9 @@ from fraudloom.llm.common import AtomicFile, open_fs, shuffle_partitions, stored
 from fraudloom.llm.components import components
 from fraudloom.session import work_dir
 
-SHARD_ROWS = 250_000
-MIN_SHARDS = 8
-SCAN_SHARE = 1 / 8  # a beam that would hold this share of a shard gives way to a scan (1: the whole shard)
+SHARD_BYTES = 128 << 20  # of a shard's vectors in double precision; a task holds two shards
+MIN_SHARDS = 4
+SCAN_SHARE = 1 / 64  # a widened beam that would hold this share of a shard gives way to a scan (1: the whole shard)
 AUDIT_ROWS = 2_048
 AUDIT_LINKED = 100  # questions with few links that are enough to tell a recall of 0.99
 _BLOCK = 256
@@ -231,7 +232,7 @@ class Shard:
         for at in range(0, len(questions), _BLOCK):
             waiting, wide = np.arange(at, min(len(questions), at + _BLOCK)), beam
             while len(waiting):
-                if wide >= self.scan_share * len(self.unit):
+                if wide >= len(self.unit) or wide > beam and wide >= self.scan_share * len(self.unit):
                     yield none, none, waiting
                     break
                 ids, sims = self.graph.ask(questions[waiting], wide)
@@ -292,7 +293,7 @@ class Shard:
             made = self.made_questions(least)
             sets.append((made, None))
             true.append(self._counts(self.scan(made, least), len(made), None))
-        while beam < self.scan_share * len(self.unit):
+        while beam < len(self.unit):
             if all((self.recalls(*asked, held, least, beam) >= recall).all() for asked, held in zip(sets, true)):
                 break
             beam *= 2
@@ -327,11 +328,11 @@ def _matrix(units, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(units), np.float64).reshape(-1, dim)
 
 
-def build_shards(entries: DataFrame, total: int, least: float, recall: float, min_shards: int = MIN_SHARDS,
+def build_shards(entries: DataFrame, total: int, size: int, least: float, recall: float, min_shards: int = MIN_SHARDS,
                  scan_share: float = SCAN_SHARE) -> list[tuple[str, int, int]]:
     """Build, audit and write all graphs; returns path, dimension and beam of each."""
     spark = entries.sparkSession
-    shards = max(min_shards, math.ceil(total / SHARD_ROWS))
+    shards = max(min_shards, math.ceil(size / SHARD_BYTES))
     folder = work_dir(spark, "graphs")
     some = entries.where(F.pmod(F.xxhash64("key", F.lit(7)), F.lit(max(1, total // AUDIT_ROWS))) == 0)
     audit = spark.sparkContext.broadcast([(r.dim, bytes(r.unit), bytes(r.key)) for r in some.select("dim", "unit", "key").collect()])
@@ -349,6 +350,7 @@ def build_shards(entries: DataFrame, total: int, least: float, recall: float, mi
         return pd.DataFrame({"path": [path], "dim": [dim], "beam": [beam]})
 
     dealt = entries.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    dealt = dealt.repartition(max(shards, shuffle_partitions(spark)), "dim", "shard")
     made = stored(dealt.groupBy("dim", "shard").applyInPandas(build, "path string, dim int, beam int"), "graph-list")
     return [(r.path, r.dim, r.beam) for r in made.orderBy("path").collect()]  # one row per shard
 
@@ -465,8 +467,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99,
             F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("dim").alias("dim"),
             F.first("unit").alias("unit")),
         "vector-entries")
-    total = entries.count()
-    graphs = build_shards(entries, total, least, recall, min_shards, scan_share)
+    held = entries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("dim") * F.lit(8).cast("bigint")).alias("bytes")).first()
+    total = held.n
+    graphs = build_shards(entries, total, held.bytes or 0, least, recall, min_shards, scan_share)
     found = stored(find_links(entries, graphs, total, least, scan_share=scan_share), "vector-links")
     linked = found.groupBy("key").agg(F.sum("n").alias("n"))
     groups = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")))

@@ -55,7 +55,7 @@ def _(spark, sf):
 
 @case("p14_named_rules", sql("feed", """select "Transaction_ID", "Rule" from feed where "Rule" <> 'None'"""))
 def _(spark, sf):
-    return _feed(spark, sf).where("Rule <> 'None'").select("Transaction_ID", "Rule")
+    return dashboard.named_rules(_feed(spark, sf)).select("Transaction_ID", "Rule")
 
 
 @case("o3_latest_transactions", sql("feed", f"""

@@ -9,6 +9,8 @@ from checks.registry import case
 from checks.sqltext import half_up, hashed, sql
 from fraudloom import schemas
 from fraudloom.functions import cells, dashboard, keys, parsing, times
+from fraudloom.operators.alerts import as_json
+from fraudloom.plans import kpi
 from fraudloom.sources import backup
 
 
@@ -112,8 +114,7 @@ def _(spark, sf):
 @case("f12_json_round_trip", sql("tx", "select seq, type, amount, nameOrig, ingestion_timestamp_ms from tx"))
 def _(spark, sf):
     tx = fx.transactions(spark, sf)
-    encoded = tx.select(F.to_json(F.struct("*")).alias("value"))
-    decoded = encoded.select(F.from_json("value", schemas.SEQUENCED).alias("tx"))
+    decoded = as_json(tx).select(parsing.from_json_text(F.col("value"), schemas.SEQUENCED).alias("tx"))
     return decoded.select("tx.seq", "tx.type", "tx.amount", "tx.nameOrig", "tx.ingestion_timestamp_ms")
 
 
@@ -133,8 +134,8 @@ select type, {half_up('10000 * cast(sum(isFraud) as bigint)', 'count(*)')} / 100
   count(nullif(isFraud, 0)) as labelled from tx group by type"""))
 def _(spark, sf):
     return fx.transactions(spark, sf).groupBy("type").agg(
-        F.round(100.0 * F.sum("isFraud") / F.nullif(F.count(F.lit(1)), F.lit(0)), 2).alias("fraud_pct"),
-        F.sum(F.when(F.col("isFlaggedFraud") == 1, 1).otherwise(0)).alias("flagged"),
+        kpi.share_pct(F.sum("isFraud"), F.count(F.lit(1))).alias("fraud_pct"),
+        kpi.sum_if(F.col("isFlaggedFraud") == 1).alias("flagged"),
         F.count(F.nullif(F.col("isFraud"), F.lit(0))).alias("labelled"))
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import case
 from checks.sqltext import AS_OF, NOON, half_up, sql, text
-from fraudloom.functions import parsing
 from fraudloom.functions.times import instant
 from fraudloom.plans import kpi, mart
 
@@ -97,9 +95,8 @@ def _(spark, sf):
 select component, {text('max(recorded_at)')} as recorded_at, count(*) as metrics_seen from metrics group by component"""))
 def _(spark, sf):
     metrics = _tables(spark, sf, "pipeline_health_metrics")[0]
-    return metrics.groupBy("component").agg(
-        F.max_by("recorded_at", F.struct("recorded_at", "metric_id")).alias("recorded_at"),
-        F.count(F.lit(1)).alias("metrics_seen"))
+    newest = mart.newest_in_group(metrics, ["component"], ["recorded_at", "metric_id"]).select("component", "recorded_at")
+    return newest.join(metrics.groupBy("component").agg(F.count(F.lit(1)).alias("metrics_seen")), "component")
 
 
 @case("j9_date_orphans", sql("fa", f"""
@@ -155,7 +152,7 @@ def _(spark, sf):
 select review_status, count(*) as n from fa where review_status in ('PENDING', 'UNDER_REVIEW') group by 1"""))
 def _(spark, sf):
     alerts = _tables(spark, sf, "fraud_alerts")[0]
-    return alerts.where(F.col("review_status").isin("PENDING", "UNDER_REVIEW")).groupBy("review_status").agg(
+    return kpi.open_reviews(alerts).groupBy("review_status").agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -163,7 +160,7 @@ def _(spark, sf):
 select alert_id from fa where score_e4 >= 7000 and review_status = 'PENDING'"""))
 def _(spark, sf):
     alerts = _tables(spark, sf, "fraud_alerts")[0]
-    return alerts.where("risk_score >= 0.7 and review_status = 'PENDING'").select("alert_id")
+    return kpi.high_risk_pending(alerts).select("alert_id")
 
 
 # ---- KPIs -----------------------------------------------------------------------
@@ -206,10 +203,7 @@ def _(spark, sf):
 select card_id, count(*) as total_alerts from fa group by card_id order by total_alerts desc, card_id limit 10"""))
 def _(spark, sf):
     alerts = _tables(spark, sf, "fraud_alerts")[0]
-    return (
-        alerts.groupBy("card_id").agg(F.count(F.lit(1)).alias("total_alerts"))
-        .orderBy(F.desc("total_alerts"), "card_id").limit(10)
-    )
+    return kpi.busiest_cards(alerts).select("card_id", "total_alerts")
 
 
 @case("a5_hourly_volume", sql("ts", f"""
@@ -237,19 +231,14 @@ def _(spark, sf):
 select r.rule_code, alert_id from rules r left join fired_rules f on f.rule_code = r.rule_code"""))
 def _(spark, sf):
     alerts, rules = _tables(spark, sf, "fraud_alerts", "dim_rule")
-    members = alerts.select("alert_id", F.explode(parsing.rule_list(F.col("rules_triggered"))).alias("rule_code"))
-    return rules.select("rule_code").join(members, "rule_code", "left")
+    return rules.select("rule_code").join(kpi.rule_members(alerts, "alert_id"), "rule_code", "left")
 
 
 @case("j7_share_of_all", sql("fa", f"""
 select transaction_type, {half_up('10000 * count(*)', '(select count(*) from fa)')} / 100.0 as pct_of_all_alerts
 from fa group by transaction_type"""))
 def _(spark, sf):
-    _tables(spark, sf, "fraud_alerts")[0].createOrReplaceTempView("fraud_alerts")
-    return spark.sql("""
-        select transaction_type,
-          round(100.0 * count(*) / nullif((select count(*) from fraud_alerts), 0), 2) as pct_of_all_alerts
-        from fraud_alerts group by transaction_type""")
+    return kpi.share_of_all(_tables(spark, sf, "fraud_alerts")[0], "transaction_type")
 
 
 @case("a7_daily_summary", sql("ts dates", f"""
@@ -270,8 +259,8 @@ select strftime(full_date, '%Y-%m-%d') as full_date, count(summary_hour) as summ
 from dates left join ts using (date_key) group by 1"""))
 def _(spark, sf):
     dates, summaries = _tables(spark, sf, "dim_date", "transaction_summaries")
-    per_day = summaries.groupBy("date_key").agg(F.count("summary_hour").alias("n"))
-    return dates.join(per_day, "date_key", "left").select("full_date", F.coalesce("n", F.lit(0)).alias("summaries"))
+    per_day = summaries.groupBy("date_key").agg(F.count("summary_hour").alias("summaries"))
+    return kpi.on_days(dates.select("date_key", "full_date"), per_day)
 
 
 @case("a8_health_summary", sql("metrics", _LATEST))
@@ -322,8 +311,4 @@ select row_number() over (order by rate_e4 desc, summary_hour desc, transaction_
 from ts qualify place <= 100"""))
 def _(spark, sf):
     """A ranked report: the hundred worst hours with their places."""
-    order = [F.desc("fraud_rate_pct"), F.desc("summary_hour"), F.col("transaction_type")]
-    columns = ["summary_hour", "transaction_type", "fraud_rate_pct"]
-    top = _tables(spark, sf, "transaction_summaries")[0].select(*columns).orderBy(*order).limit(100)
-    # a hundred rows at most are left to number
-    return top.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(*order)))
+    return kpi.worst_hours(_tables(spark, sf, "transaction_summaries")[0])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import case
-from checks.sqltext import sql, text
+from checks.sqltext import WINDOW_MS, sql, text
 from fraudloom import config
 from fraudloom.config import RuleConfig
 from fraudloom.functions import keys
@@ -14,6 +14,8 @@ from fraudloom.functions.times import event_time, year_month
 from fraudloom.operators import alerts, profiles, reference, rules, validate
 from fraudloom.operators.trailing import trailing_features
 from fraudloom.plans.scoring import fired
+from fraudloom.session import work_dir
+from fraudloom.streaming import features
 
 
 def _ts():
@@ -208,6 +210,39 @@ def _(spark, sf):
         "card_id", "year_month", "credit_limit", "last_city", "last_amount", "score", "flagged", "last_tx_ts")
 
 
+@case("w2_previous_event_across_months", sql("tx", """
+, moved as (select seq, nameOrig, ingestion_timestamp_ms + 20 * 86400000 as ms from tx)
+select seq, nameOrig, lag(ms) over (partition by nameOrig, strftime(make_timestamp(ms * 1000), '%Y%m') order by ms, seq) as prev_ts
+from moved"""))
+def _(spark, sf):
+    """All events 20 days later: the previous event does not reach back over a month's end."""
+    moved = fx.transactions(spark, sf).withColumn("ingestion_timestamp_ms", _ts() + 20 * 86_400_000)
+    return trailing_features(moved, fx.FIXTURE).select("seq", "nameOrig", "prev_ts")
+
+
+@case("x2_tails_across_months", sql("tx", f"""
+, moved as (select *, ingestion_timestamp_ms + 20 * 86400000 as ms from tx),
+later as (
+  select m.seq, count(*) as n_window, max(case when p.seq <> m.seq and strftime(make_timestamp(p.ms * 1000), '%Y%m')
+    = strftime(make_timestamp(m.ms * 1000), '%Y%m') then p.ms end) as near_prev
+  from moved m join moved p on p.nameOrig = m.nameOrig and p.ms between m.ms - {WINDOW_MS} and m.ms
+    and (p.ms < m.ms or p.seq <= m.seq) group by 1),
+before as (
+  select seq, lag(ms) over (partition by nameOrig, strftime(make_timestamp(ms * 1000), '%Y%m') order by ms, seq) as prev_ts
+  from moved)
+select m.seq, l.n_window, b.prev_ts from moved m join later l using (seq) join before b using (seq)
+where m.ms >= 1704067200000 + 35 * cast(86400000 as bigint)"""))
+def _(spark, sf):
+    """All events 20 days later, the first 15 days handed to the rest as stored tails."""
+    edge = F.lit(1_704_067_200_000 + 35 * 86_400_000)
+    moved = fx.transactions(spark, sf).withColumn("ingestion_timestamp_ms", _ts() + 20 * 86_400_000)
+    none = spark.createDataFrame([], features.STATE)
+    path = work_dir(spark, "tails")
+    features.next_state(moved.where(_ts() < edge), none, fx.FIXTURE).write.parquet(path)
+    rest = moved.where(_ts() >= edge)
+    return features.batch_features(rest, spark.read.parquet(path), fx.FIXTURE).select("seq", "n_window", "prev_ts")
+
+
 @case("a12_rolling_stats", sql("feat", """
 select nameOrig as card_id, ym as year_month, arg_max(n_window, seq) as tx_count_5m,
   arg_max(window_cents, seq) / 100.0 as amount_sum_5m,

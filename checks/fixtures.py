@@ -158,7 +158,7 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     slot = (spark.sparkContext.applicationId, sf_dir)
     if slot not in _STORED:
         base = work_dir(spark, "mart")
-        paths = {name: f"{base}/{name}" for name in _FACTS}
+        paths = {name: f"{base}/{name}" for name in (*_FACTS, "dim_date")}
         tx = transactions(spark, sf_dir)
         loaded = F.lit(AS_OF)
         fact = load_alert_fact(reviewed(fired(scored(spark, sf_dir))), loaded)
@@ -168,6 +168,8 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         write_fact(health_metrics(spark, sf_dir), paths["pipeline_health_metrics"])
         write_fact(safe_mode_events(job_runs(spark, sf_dir)), paths["pipeline_events"])
         enrich(tx).write.parquet(paths["feed"])
+        at = event_time(F.col("ingestion_timestamp_ms")).alias("at")
+        dim_date_covering(tx.select(at), "at").write.parquet(paths["dim_date"])
         _STORED[slot] = paths
     paths = _STORED[slot]
     tables = {
@@ -175,9 +177,7 @@ def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         for name, schema in _FACTS.items() if schema is not None
     }
     tables["feed"] = spark.read.parquet(paths["feed"])
-    tables["dim_date"] = dim_date_covering(
-        transactions(spark, sf_dir).select(event_time(F.col("ingestion_timestamp_ms")).alias("at")), "at"
-    )
+    tables["dim_date"] = spark.read.parquet(paths["dim_date"])
     tables["dim_rule"] = rule_seeds(spark)
     tables["dim_transaction_type"] = type_seeds(spark)
     return tables

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _BLANKS = " \t\n\r\f\v"
 
@@ -43,3 +44,13 @@ def rule_list(text: Column) -> Column:
 
 def rule_text(rules: Column) -> Column:
     return F.array_join(rules, ",")
+
+
+def json_text() -> Column:
+    """All columns of a row as one JSON text."""
+    return F.to_json(F.struct("*"))
+
+
+def from_json_text(text: Column, schema: StructType) -> Column:
+    """A struct of ``schema``; its fields are null where the text does not hold them."""
+    return F.from_json(text, schema, {"mode": "PERMISSIVE"})

@@ -27,7 +27,7 @@ def alert_payload(fired: DataFrame) -> DataFrame:
 
 def as_json(df: DataFrame) -> DataFrame:
     """One JSON text per row, column ``value``."""
-    return df.select(F.to_json(F.struct("*")).alias("value"))
+    return df.select(parsing.json_text().alias("value"))
 
 
 def alert_messages(fired: DataFrame) -> DataFrame:

@@ -150,11 +150,16 @@ def top_rules(feed: DataFrame) -> DataFrame:
     share = F.try_divide(F.col("fraud_transactions"), F.sum("fraud_transactions").over(Window.partitionBy()))
     return (
         per_rule.withColumn("rule_share", share)
-        .where("Rule <> 'None'")
+        .transform(named_rules)
         .orderBy(F.desc("fraud_transactions"), "Rule")
     )
 
 
+def named_rules(rows: DataFrame) -> DataFrame:
+    """Rows of a rule; 'None' stands for transactions that none stopped."""
+    return rows.where("Rule <> 'None'")
+
+
 def severity_counts(feed: DataFrame) -> DataFrame:
     return feed.groupBy(fn.severity(F.col("Score")).alias("severity")).agg(
         F.count(F.lit(1)).alias("n")

@@ -122,8 +122,8 @@ def finish_summary(rollup: DataFrame, created_at: Column | None = None) -> DataF
 
 # ---- views ----------------------------------------------------------------------
 def fraud_alert_detail(alerts: DataFrame, dates: DataFrame) -> DataFrame:
-    """Alerts with calendar attributes. A century of days is 36,525 rows: safe to broadcast."""
-    return alerts.join(F.broadcast(dates), "date_key").select(
+    """Alerts with calendar attributes. Spark broadcasts the calendar if its size allows."""
+    return alerts.join(dates, "date_key").select(
         "alert_id", "alert_ts", "full_date", "year", "month", "month_name", "day_of_week",
         "day_name", "is_weekend", "card_id", "dest_id", "transaction_type", "amount",
         "rules_triggered", "risk_score", "is_fraud_label", "is_flagged_fraud", "review_status",
@@ -153,6 +153,12 @@ def latest_health(metrics: DataFrame) -> DataFrame:
     )
 
 
+def newest_in_group(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row with the largest ``order`` of each group; each task is cut down to one row a group before the exchange."""
+    newest = Window.partitionBy(*keys).orderBy(*map(F.desc_nulls_last, order))
+    return df.withColumn("_back", F.row_number().over(newest)).where("_back = 1").drop("_back")
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """Tables and views under the names that SQL users query."""
     for name, df in tables.items():

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fraudloom import schemas
+from fraudloom.functions.parsing import from_json_text
 
 # ---- fixed values: message envelope and producer settings ---------------------
 MAGIC_BYTE = b"\x00"
@@ -39,7 +40,7 @@ def decode_payload(payload: Column, codec: str) -> Column:
     if codec == "avro":
         from pyspark.sql.avro.functions import from_avro
         return from_avro(payload, schemas.TRANSACTION_AVRO, {"mode": "PERMISSIVE"})
-    return F.from_json(F.decode(payload, "UTF-8"), schemas.TRANSACTION, {"mode": "PERMISSIVE"})
+    return from_json_text(F.decode(payload, "UTF-8"), schemas.TRANSACTION)
 
 
 def _complete(tx: Column) -> Column:
@@ -118,7 +119,7 @@ def read_alerts(messages: DataFrame, within: str = "1 hour") -> DataFrame:
     Spark forgets a key when the watermark is ``within`` beyond its event time, so
     that is how late a repetition may come.
     """
-    alert = F.from_json(F.col("value").cast("string"), schemas.ALERT)
+    alert = from_json_text(F.col("value").cast("string"), schemas.ALERT)
     return (
         messages.select(F.decode("key", "UTF-8").alias("alert_id"), alert.alias("alert"))
         .select("alert_id", "alert.*")

@@ -30,6 +30,7 @@ from fraudloom.streaming.sinks import (
 TRIGGER = "30 seconds"
 LATENESS = "10 seconds"
 DELAY_MS = 10_000
+FAN_IN = 8  # merged folders of a growing table that become one
 
 # Gets the cards and months of a batch (card_id, year_month), returns rows to look up in.
 Snapshot = Callable[[DataFrame], DataFrame]
@@ -113,11 +114,12 @@ def compact(spark: SparkSession, base: str, idle_days: int = 20) -> None:
     """Merge the scoring job's batch folders; may run beside the job, at whatever interval suits.
 
     Tails are cut down to the newest of each card, and cards that have been idle
-    for ``idle_days`` of event time are dropped; alerts to the last write of each key.
+    for ``idle_days`` of event time are dropped: that table does not grow with time.
+    Alerts and scored rows do and are merged level by level.
     """
     merge_batches(spark, base, "tails", lambda rows: living_state(rows, idle_days), schema=STATE)
-    merge_batches(spark, base, "alerts", lambda rows: newest_rows(rows, ["row_key"]))
-    merge_batches(spark, base, "scored")
+    merge_batches(spark, base, "alerts", lambda rows: newest_rows(rows, ["row_key"]), fan_in=FAN_IN)
+    merge_batches(spark, base, "scored", fan_in=FAN_IN)
 
 
 def stored_alerts(spark: SparkSession, base: str) -> DataFrame:

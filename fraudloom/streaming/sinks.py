@@ -55,7 +55,7 @@ def read_batches(
     """
     versions, at = _versions(spark, base, table), f"{base.rstrip('/')}/{table}"
     newest = versions.newest()
-    merged = versions.read(newest) if newest is not None else {"upto": -1}
+    merged = versions.read(newest) if newest is not None else {"upto": -1, "folders": []}
     least = max(merged["upto"], -1 if after is None else after)
     wanted = [b for b in finished_batches(spark, base, table) if b > least and (before is None or b < before)]
     reader = spark.read.format(fmt).option("basePath", at)
@@ -64,8 +64,8 @@ def read_batches(
         df = (reader.schema(f"{schema}, batch_id string") if schema else reader).load(
             [batch_path(base, table, b) for b in wanted])
         parts.append(df.withColumn("batch_id", F.col("batch_id").cast("bigint")))
-    if newest is not None:
-        held = spark.read.parquet(merged["path"])
+    if merged["folders"]:
+        held = spark.read.parquet(*[path for path, _ in merged["folders"]])
         if after is not None:
             held = held.where(F.col("batch_id") > after)
         parts.append(held if before is None else held.where(F.col("batch_id") < before))
@@ -78,29 +78,50 @@ def read_batches(
 
 def merge_batches(
     spark: SparkSession, base: str, table: str, reduce: Callable[[DataFrame], DataFrame] = lambda rows: rows,
-    fmt: str = "parquet", schema: str | None = None,
+    fmt: str = "parquet", schema: str | None = None, fan_in: int | None = None,
 ) -> bool:
-    """Fold all batches but the newest, which may still be replayed, into one folder; False if there is nothing to do.
-
-    ``reduce`` turns all rows (with ``batch_id``) into those worth keeping, for
-    instance the newest per key; it must keep ``batch_id``. What the version before
-    replaced is deleted now, so readers that began with it still find its files.
+    """Fold all batches but the newest, which may still be replayed; False if there is nothing to do.
+
+    ``reduce`` turns rows (with ``batch_id``) into those worth keeping, for instance
+    the newest per key; it must keep ``batch_id``. Without ``fan_in`` the table
+    becomes one folder, which suits tables whose size does not grow with time. With
+    it only the new batches are written, and as soon as there are ``fan_in`` folders
+    of one level they become one of the next: a row is written again once a level,
+    and there are at most ``fan_in`` folders a level. ``reduce`` then sees the rows
+    of the folders it joins.
+
+    What the version before replaced is deleted now, so readers that began with it
+    still find its files.
     """
     versions, done = _versions(spark, base, table), finished_batches(spark, base, table)
     newest = versions.newest()
-    old = versions.read(newest) if newest is not None else {"upto": -1, "path": None}
+    old = versions.read(newest) if newest is not None else {"upto": -1, "folders": [], "replaces": []}
     upto = max((b for b in done[:-1] if b > old["upto"]), default=None)
     if upto is None:
         return False
     number = 0 if newest is None else newest + 1
-    path = f"{base.rstrip('/')}/{table}.merged/{number:010d}"
-    rows = reduce(read_batches(spark, base, table, fmt, before=upto + 1, schema=schema))
-    rows.hint("rebalance").write.mode("overwrite").parquet(path)
-    versions.publish(number, {"upto": upto, "path": path, "replaces": old["path"]})
+    replaced: list[str] = []
+
+    def written(rows: DataFrame, level: int) -> list:
+        path = f"{base.rstrip('/')}/{table}.merged/{number:010d}-{level}"
+        reduce(rows).hint("rebalance").write.mode("overwrite").parquet(path)
+        return [path, level]
+
+    after = old["upto"] if fan_in else None
+    folders = list(old["folders"]) if fan_in else []
+    folders.append(written(read_batches(spark, base, table, fmt, before=upto + 1, after=after, schema=schema), 0))
+    if not fan_in:
+        replaced = [path for path, _ in old["folders"]]
+    while fan_in and [level for _, level in folders].count(folders[-1][1]) >= fan_in:
+        level = folders[-1][1]
+        joined = [path for path, of in folders if of == level]
+        folders = [f for f in folders if f[1] != level] + [written(spark.read.parquet(*joined), level + 1)]
+        replaced += joined
+    versions.publish(number, {"upto": upto, "folders": folders, "replaces": replaced})
     if newest is not None:
         forget_batches(spark, base, table, old["upto"])
-        if old.get("replaces"):
-            Folder(spark, old["replaces"]).delete()
+        for path in old["replaces"]:
+            Folder(spark, path).delete()
         versions.forget(newest)
     return True
 

@@ -140,7 +140,7 @@ def test_merged_batches(spark, tmp_path):
     for number in range(3):
         write(number, ("a", number), (f"only-{number}", number))
     assert sinks.merge_batches(spark, base, "t", lambda rows: sinks.newest_rows(rows, ["k"]))
-    assert folders() == ["0000000000", "batch_id=2"]  # the newest may still be replayed
+    assert folders() == ["0000000000-0", "batch_id=2"]  # the newest may still be replayed
     assert not sinks.merge_batches(spark, base, "t")
     write(2, ("a", 20))
     write(3, ("b", 3))
@@ -148,13 +148,26 @@ def test_merged_batches(spark, tmp_path):
     assert dict(map(tuple, sinks.latest_by_key(sinks.read_batches(spark, base, "t"), ["k"]).collect())) == expected
     before = sinks.read_batches(spark, base, "t")
     assert sinks.merge_batches(spark, base, "t", lambda rows: sinks.newest_rows(rows, ["k"]))
-    assert folders() == ["0000000001", "batch_id=3"]
+    assert folders() == ["0000000001-0", "batch_id=3"]
     assert before.count() == 5 and sorted(before.columns) == ["batch_id", "k", "v"]  # its files are still there
     assert dict(map(tuple, sinks.latest_by_key(sinks.read_batches(spark, base, "t"), ["k"]).collect())) == expected
     assert sinks.finished_batches(spark, base, "t") == [2, 3]
     assert {r.batch_id for r in sinks.read_batches(spark, base, "t", after=0, before=3).collect()} == {1, 2}
 
 
+def test_growing_tables_are_merged_by_levels(spark, tmp_path):
+    base = str(tmp_path)
+    for number in range(9):
+        sinks.write_batch(spark.createDataFrame([(number,)], "v int"), base, "t", number)
+        sinks.merge_batches(spark, base, "t", fan_in=3)
+        assert sorted(r.v for r in sinks.read_batches(spark, base, "t").collect()) == list(range(number + 1))
+    versions = Versions(spark, f"{base}/t.versions")
+    assert [level for _, level in versions.read(versions.newest())["folders"]] == [1, 1, 0, 0]
+    kept = {path for path, _ in versions.read(versions.newest())["folders"]}
+    assert {f"{base}/t.merged/{p.name}" for p in (tmp_path / "t.merged").iterdir()} == kept
+    assert sinks.read_batches(spark, base, "t", after=3, before=6).count() == 2
+
+
 def test_a_version_is_published_once(spark, tmp_path):
     versions = Versions(spark, str(tmp_path / "v"))
     assert versions.newest() is None

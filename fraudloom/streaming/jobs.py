@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,10 +76,11 @@ def score_batch(
 
     featured = batch_features(tx, state, cfg, DELAY_MS, card_reference(listed, known), month_fields)
     scored = stored(evaluate(featured, cfg), "scored")
-    write_batch(next_state(tx, state, cfg), base, "tails", batch_id)
     alerts = fired(scored)
-    write_batch(upsert_alerts(alerts), base, "alerts", batch_id)
-    write_batch(batch_activity(scored), base, "activity", batch_id)
+    outputs = {"tails": next_state(tx, state, cfg), "alerts": upsert_alerts(alerts), "activity": batch_activity(scored)}
+    # Independent of each other: small jobs that leave most of a cluster idle one by one.
+    with ThreadPoolExecutor(len(outputs)) as pool:
+        list(pool.map(lambda table: write_batch(outputs[table], base, table, batch_id), outputs))
     # Last, so that a batch that fails before has published nothing.
     messages = alert_messages(alerts)
     if publish is None:

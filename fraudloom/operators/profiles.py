@@ -24,12 +24,16 @@ def _last_event(rows: DataFrame) -> DataFrame:
     return keyed.withColumn("_back", F.row_number().over(last)).where("_back = 1")
 
 
+def _activity() -> list[Column]:
+    return [
+        F.col("amount").alias("last_amount"), F.col("risk_score").alias("score"),
+        F.when(F.col("flagged"), "1").otherwise("0").alias("flagged"),
+        F.col("ingestion_timestamp_ms").alias("last_tx_ts")]
+
+
 def latest_activity(scored: DataFrame) -> DataFrame:
     """Last amount, score, flag and time stamp per card and month."""
-    return _last_event(scored).select(
-        *_KEY, F.col("amount").alias("last_amount"), F.col("risk_score").alias("score"),
-        F.when(F.col("flagged"), "1").otherwise("0").alias("flagged"),
-        F.col("ingestion_timestamp_ms").alias("last_tx_ts"))
+    return _last_event(scored).select(*_KEY, *_activity())
 
 
 def complete(profiles: DataFrame, schema: StructType = schemas.USER_PROFILES) -> DataFrame:
@@ -66,20 +70,25 @@ def merge_profiles(profiles: DataFrame, scored: DataFrame) -> DataFrame:
     return _overlay(profiles, latest_activity(scored))
 
 
-def window_stats(featured: DataFrame) -> DataFrame:
-    """Trailing count and sum at the last event per card and month, and the sums behind the average.
+def _window() -> list[Column]:
+    return [F.col("n_window").alias("tx_count_5m"), F.col("amount_window").cast("double").alias("amount_sum_5m")]
 
-    ``featured`` comes from ``trailing_features(..., amounts=True)`` or the stream.
-    """
-    last = _last_event(featured).select(
-        *_KEY, F.col("n_window").alias("tx_count_5m"), F.col("amount_window").cast("double").alias("amount_sum_5m"))
-    sums = featured.groupBy(
+
+def _sums(featured: DataFrame) -> DataFrame:
+    return featured.groupBy(
         F.col("nameOrig").alias("card_id"), year_month(F.col("ingestion_timestamp_ms")).alias("year_month"),
     ).agg(
         F.sum(F.col("amount").try_cast("decimal(18,2)")).cast("decimal(22,2)").alias("tx_total"),
         F.count("amount").alias("tx_n"),
     )
-    return last.join(sums, _KEY)
+
+
+def window_stats(featured: DataFrame) -> DataFrame:
+    """Trailing count and sum at the last event per card and month, and the sums behind the average.
+
+    ``featured`` comes from ``trailing_features(..., amounts=True)`` or the stream.
+    """
+    return _last_event(featured).select(*_KEY, *_window()).join(_sums(featured), _KEY)
 
 
 def _average() -> Column:
@@ -96,7 +105,7 @@ def rolling_stats(featured: DataFrame) -> DataFrame:
 
 def batch_activity(scored: DataFrame) -> DataFrame:
     """What one batch of the scoring job changes in the profiles, statistics included."""
-    return latest_activity(scored).join(window_stats(scored), _KEY)
+    return _last_event(scored).select(*_KEY, *_activity(), *_window()).join(_sums(scored), _KEY)
 
 
 def merge_activity(profiles: DataFrame, activity: DataFrame, schema: StructType) -> DataFrame:

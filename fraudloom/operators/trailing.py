@@ -49,10 +49,16 @@ def _slot(cfg: RuleConfig) -> Column:
     return F.when(F.col("_hot"), F.expr(f"_pos div {cfg.slot_ms}")).otherwise(_WHOLE)
 
 
-def _carried_rows(carried: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts: bool) -> DataFrame:
+def _marked(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """``_hot`` is true for rows of hot cards, of which there are none if ``hot`` is None."""
+    if hot is None:
+        return rows.withColumn("_hot", F.lit(False))
+    return rows.join(F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left")
+
+
+def _carried_rows(carried: DataFrame, hot: DataFrame | None, cfg: RuleConfig, amounts: bool) -> DataFrame:
     """Earlier counts as rows that enter before all events and leave like events."""
-    rows = carried.join(F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left").select(
-        "*", F.explode(F.array(F.lit(2), F.lit(0))).alias("_arrives"))
+    rows = _marked(carried, hot).select("*", F.explode(F.array(F.lit(2), F.lit(0))).alias("_arrives"))
     enters = F.col("_arrives") == 2
     sign = F.when(enters, 1).otherwise(-1)
     columns = {
@@ -64,10 +70,8 @@ def _carried_rows(carried: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts:
     return rows.withColumns(columns).withColumn("_slot", _slot(cfg))
 
 
-def _arrivals_and_exits(tx: DataFrame, hot: DataFrame, cfg: RuleConfig, amounts: bool) -> DataFrame:
-    marked = tx.join(
-        F.broadcast(hot.select(_CARD, F.lit(True).alias("_hot"))), _CARD, "left"
-    ).select("*", F.explode(F.array(F.lit(1), F.lit(0))).alias("_arrives"))
+def _arrivals_and_exits(tx: DataFrame, hot: DataFrame | None, cfg: RuleConfig, amounts: bool) -> DataFrame:
+    marked = _marked(tx, hot).select("*", F.explode(F.array(F.lit(1), F.lit(0))).alias("_arrives"))
     arrives = F.col("_arrives") == 1
     sign = F.when(arrives, 1).otherwise(-1)
     ts = F.col(_TS)
@@ -104,6 +108,7 @@ def trailing_features(
     amounts: bool = False,
     resolve: Callable[[DataFrame], DataFrame] = lambda joined: joined,
     carried: DataFrame | None = None,
+    hot_cards: bool = True,
 ) -> DataFrame:
     """``tx`` plus ``n_window``, ``hv_window``, ``prev_ts`` (and ``amount_window``).
 
@@ -113,9 +118,11 @@ def trailing_features(
     window, where its results are computed once; above it they would be copied
     into every expression that uses them. ``carried`` has counts of earlier events
     (``nameOrig, at, n, large, amount``); they only count, ``prev_ts`` knows events
-    of ``tx`` alone.
+    of ``tx`` alone. ``hot_cards=False`` is for callers that know that no card has
+    more than ``hot_card_rows`` rows, such as of a micro-batch with fewer rows: nothing
+    is counted or split then, and the result is the same.
     """
-    hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows)
+    hot = heavy_keys(tx, [_CARD], cfg.hot_card_rows) if hot_cards else None
     rows = _arrivals_and_exits(tx, hot, cfg, amounts)
     work = ["_arrives", "_pos", "_one", "_large", "_arrived"] + (["_amount"] if amounts else [])
     earlier = None
@@ -124,8 +131,10 @@ def trailing_features(
         earlier = _carried_rows(carried, hot, cfg, amounts)
         kept = [_CARD, "_slot", "_hot", *work]
         balanced = rows.select(kept).unionByName(earlier.select(kept))
-    side = _opening_balances(balanced, amounts)
-    if reference is not None:
+    side, group = reference, [_CARD]
+    if hot is not None:
+        side, group = _opening_balances(balanced, amounts), [_CARD, "_slot"]
+    if hot is not None and reference is not None:
         whole = reference.withColumn("_slot", F.lit(_WHOLE).cast("bigint"))
         # the semi join sinks below the aggregation: only hot cards' lookups are built twice
         of_hot = reference.join(F.broadcast(hot.select(_CARD)), _CARD, "left_semi")
@@ -141,26 +150,27 @@ def trailing_features(
     )
     if earlier is not None:
         narrow = narrow.unionByName(earlier.select(_CARD, "_slot", *work), allowMissingColumns=True)
-    order = Window.partitionBy(_CARD, "_slot").orderBy("_pos", "_arrives", "seq")
+    order = Window.partitionBy(*group).orderBy("_pos", "_arrives", "seq")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
 
     def running(name: str) -> Column:
-        return F.coalesce(F.col("_open" + name), F.lit(0)) + F.sum(name).over(so_far)
+        since = F.sum(name).over(so_far)
+        return since if hot is None else F.coalesce(F.col("_open" + name), F.lit(0)) + since
 
+    last = F.last("_arrived", ignorenulls=True).over(before)
     out = {
         "n_window": running("_one"),
         "hv_window": running("_large"),
-        "_prev": F.coalesce(
-            F.last("_arrived", ignorenulls=True).over(before), F.col("_open_arrived")
-        ),
+        "_prev": last if hot is None else F.coalesce(last, F.col("_open_arrived")),
     }
     if amounts:
         out["amount_window"] = running("_amount").cast("decimal(18,2)")
     same_month = _month(F.col("_prev")) == _month(F.col(_TS))
     features = ["n_window", "hv_window", "prev_ts"] + (["amount_window"] if amounts else [])
-    joined = resolve(narrow.join(side, [_CARD, "_slot"], "left"))
-    lookups = [c for c in joined.columns if c not in (*narrow.columns, *side.columns)]
+    joined = resolve(narrow if side is None else narrow.join(side, group, "left"))
+    held = [*narrow.columns, *(side.columns if side is not None else [])]
+    lookups = [c for c in joined.columns if c not in held]
     if reference is not None:
         lookups += [c for c in reference.columns if c in joined.columns and c != _CARD]
     return (

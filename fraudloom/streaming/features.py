@@ -10,7 +10,7 @@ state store is involved; the tail is an ordinary batch table of ``sinks``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudloom.config import RuleConfig
@@ -41,7 +41,7 @@ def card_state(state: DataFrame) -> DataFrame:
 
 def batch_features(
     tx: DataFrame, state: DataFrame, cfg: RuleConfig = RuleConfig(), delay_ms: int = 10_000,
-    reference: DataFrame | None = None, resolve=lambda joined: joined,
+    reference: DataFrame | None = None, resolve=lambda joined: joined, hot_cards: bool = True,
 ) -> DataFrame:
     """``tx`` plus ``n_window``, ``hv_window``, ``amount_window``, ``prev_ts`` and ``is_late``, and lookups of ``reference``.
 
@@ -49,13 +49,14 @@ def batch_features(
     in order per card from one micro-batch to the next, the result equals the batch
     features. A late event is judged against the tail it finds, newer events
     included, and is never dropped; ``is_late`` marks those more than ``delay_ms``
-    behind the card's newest event of earlier batches.
+    behind the card's newest event of earlier batches. ``hot_cards`` as in
+    ``trailing_features``.
     """
     side = card_state(state)
     if reference is not None:
         side = side.join(reference, _CARD, "full")
     tail = state.where("month is null").select(_CARD, "at", "n", "large", "amount")
-    featured = trailing_features(tx, cfg, reference=side, amounts=True, resolve=resolve, carried=tail)
+    featured = trailing_features(tx, cfg, reference=side, amounts=True, resolve=resolve, carried=tail, hot_cards=hot_cards)
     ts = F.col(_TS)
     return featured.withColumns({
         "prev_ts": F.coalesce("prev_ts", F.try_element_at("_last_of_month", year_month(ts))),
@@ -64,29 +65,31 @@ def batch_features(
 
 
 def next_state(tx: DataFrame, state: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
-    """The tails of the batch's cards after ``tx``."""
-    columns = [_CARD, "month", "at", "n", "large", "amount"]
-    no_month = F.lit(None).cast("string").alias("month")
-    arrived = tx.select(
-        _CARD, no_month, F.col(_TS).alias("at"), F.lit(1).cast("bigint").alias("n"),
-        large_amount(cfg).cast("bigint").alias("large"),
-        F.col("amount").try_cast("decimal(18,2)").cast("decimal(22,2)").alias("amount"))
-    per_ms = (
-        state.where("month is null").select(columns).unionByName(arrived)
-        .groupBy(_CARD, "at").agg(*[F.sum(c).alias(c) for c in ("n", "large")], F.sum("amount").cast("decimal(22,2)").alias("amount"))
-    )
-    newest = per_ms.groupBy(_CARD).agg(F.max("at").alias("_newest"))
-    tail = per_ms.join(newest, _CARD).where(F.col("at") >= F.col("_newest") - cfg.window_ms).select(
-        _CARD, no_month, "at", "n", "large", "amount")
-    months = (
-        state.where("month is not null").select(_CARD, "month", F.col("at").alias("_before"), F.lit(None).cast("bigint").alias("_now"))
-        .unionByName(tx.select(
-            _CARD, year_month(F.col(_TS)).alias("month"), F.lit(None).cast("bigint").alias("_before"), F.col(_TS).alias("_now")))
-        .groupBy(_CARD, "month").agg(F.coalesce(F.max("_now"), F.max("_before")).alias("at"))
-    )
-    return tail.unionByName(months.select(
-        _CARD, "month", "at", *[F.lit(0).cast("bigint").alias(c) for c in ("n", "large")],
-        F.lit(None).cast("decimal(22,2)").alias("amount")))
+    """The tails of the batch's cards after ``tx``.
+
+    Rows of the window (``place`` is their time) and of the months go through one
+    aggregate, so the batch and the old tails are moved once.
+    """
+    def row(month: Column, place: Column, n: Column, large: Column, amount: Column, now: Column) -> Column:
+        return F.struct(
+            month.cast("string").alias("month"), place.cast("bigint").alias("place"), n.cast("bigint").alias("n"),
+            large.cast("bigint").alias("large"), amount.cast("decimal(22,2)").alias("amount"), now.cast("bigint").alias("now"))
+
+    ts, none, zero = F.col(_TS), F.lit(None), F.lit(0)
+    arrived = tx.select(_CARD, F.inline(F.array(
+        row(none, ts, F.lit(1), large_amount(cfg), F.col("amount").try_cast("decimal(18,2)"), none),
+        row(year_month(ts), none, zero, zero, none, ts))))
+    in_window = F.col("month").isNull()
+    rows = state.select(
+        _CARD, "month", F.when(in_window, F.col("at")).alias("place"), "n", "large", "amount",
+        F.when(~in_window, F.col("at")).alias("before"),
+    ).unionByName(arrived, allowMissingColumns=True)
+    newest = rows.groupBy(_CARD).agg(F.max("place").alias("_newest"))
+    merged = rows.groupBy(_CARD, "month", "place").agg(
+        F.coalesce("place", F.max("now"), F.max("before")).alias("at"),
+        F.sum("n").alias("n"), F.sum("large").alias("large"), F.sum("amount").cast("decimal(22,2)").alias("amount"))
+    kept = F.col("month").isNotNull() | (F.col("at") >= F.col("_newest") - cfg.window_ms)
+    return merged.join(newest, _CARD).where(kept).select(_CARD, "month", "at", "n", "large", "amount")
 
 
 def expired_cards(state: DataFrame, idle_days: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -44,6 +44,13 @@ def with_event_time(tx: DataFrame, lateness: str = LATENESS) -> DataFrame:
     ).withWatermark("event_time", lateness)
 
 
+def _at_once(write: Callable[[str], object], tables: Iterable[str]) -> None:
+    """Write tables that do not depend on each other: small jobs that leave most of a cluster idle one by one."""
+    names = list(tables)
+    with ThreadPoolExecutor(len(names)) as pool:
+        list(pool.map(write, names))
+
+
 # ---- scoring ----------------------------------------------------------------------
 def score_batch(
     spark: SparkSession, arrived: DataFrame, batch_id: int, base: str,
@@ -74,19 +81,18 @@ def score_batch(
     listed = blacklist(months).join(cards.withColumnRenamed("nameOrig", "card_id"), "card_id", "left_semi")
     known = profiles(months).join(months, ["card_id", "year_month"], "left_semi")
 
-    featured = batch_features(tx, state, cfg, DELAY_MS, card_reference(listed, known), month_fields)
+    # Fewer rows than make a hot card: none is looked for (a count of the files' footers).
+    hot_cards = tx.count() > cfg.hot_card_rows
+    featured = batch_features(tx, state, cfg, DELAY_MS, card_reference(listed, known), month_fields, hot_cards)
     scored = stored(evaluate(featured, cfg), "scored")
     alerts = fired(scored)
     outputs = {"tails": next_state(tx, state, cfg), "alerts": upsert_alerts(alerts), "activity": batch_activity(scored)}
-    # Independent of each other: small jobs that leave most of a cluster idle one by one.
-    with ThreadPoolExecutor(len(outputs)) as pool:
-        list(pool.map(lambda table: write_batch(outputs[table], base, table, batch_id), outputs))
-    # Last, so that a batch that fails before has published nothing.
-    messages = alert_messages(alerts)
     if publish is None:
-        write_batch(messages, base, "alert_topic", batch_id)
-    else:
-        publish(messages, batch_id)
+        outputs["alert_topic"] = alert_messages(alerts)
+    _at_once(lambda table: write_batch(outputs[table], base, table, batch_id), outputs)
+    if publish is not None:
+        # Last, so that a batch that fails before has published nothing.
+        publish(alert_messages(alerts), batch_id)
     # The batch before is committed: its copy of the source is not needed any more.
     forget_batches(spark, base, "arrived", batch_id - 1)
 
@@ -119,9 +125,14 @@ def compact(spark: SparkSession, base: str, idle_days: int = 20) -> None:
     for ``idle_days`` of event time are dropped: that table does not grow with time.
     Alerts and scored rows do and are merged level by level.
     """
-    merge_batches(spark, base, "tails", lambda rows: living_state(rows, idle_days), schema=STATE)
-    merge_batches(spark, base, "alerts", lambda rows: newest_rows(rows, ["row_key"]), fan_in=FAN_IN)
-    merge_batches(spark, base, "scored", fan_in=FAN_IN)
+    merges = {
+        "tails": lambda: merge_batches(
+            spark, base, "tails", lambda rows: living_state(rows, idle_days), schema=STATE),
+        "alerts": lambda: merge_batches(
+            spark, base, "alerts", lambda rows: newest_rows(rows, ["row_key"]), fan_in=FAN_IN),
+        "scored": lambda: merge_batches(spark, base, "scored", fan_in=FAN_IN),
+    }
+    _at_once(lambda table: merges[table](), merges)
 
 
 def stored_alerts(spark: SparkSession, base: str) -> DataFrame:

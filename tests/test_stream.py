@@ -9,6 +9,7 @@ import pytest
 from helpers import T0
 from pyspark.sql import functions as F
 
+from fraudloom import schemas
 from fraudloom.config import RuleConfig
 from fraudloom.operators.trailing import trailing_features
 from fraudloom.sources import archive, topics
@@ -99,15 +100,16 @@ def test_batch_that_fails_inside_is_done_again_once(spark, tx_of, tmp_path):
     assert sinks.finished_batches(spark, base, "arrived") == [1]
 
 
-@pytest.mark.parametrize("hot_card_rows, slot_ms", [(2_000_000, 60_000), (1, 1_000)])
-def test_tail_equals_batch_features_over_random_rounds(spark, tx_of, hot_card_rows, slot_ms):
+@pytest.mark.parametrize("hot_card_rows, slot_ms, hot_cards", [
+    (2_000_000, 60_000, True), (2_000_000, 60_000, False), (1, 1_000, True)])
+def test_tail_equals_batch_features_over_random_rounds(spark, tx_of, hot_card_rows, slot_ms, hot_cards):
     rnd = random.Random(5)
     cfg = RuleConfig(window_ms=4_000, hot_card_rows=hot_card_rows, slot_ms=slot_ms)
     events = sorted((T0 + rnd.randint(0, 40_000), seq, f"C{rnd.randint(0, 2)}", rnd.choice([5, 20_000, float("nan")])) for seq in range(150))
     state, got = spark.createDataFrame([], features.STATE), {}
     for at in range(0, 150, 50):
         tx = tx_of(*[(card, ts, seq, amount) for ts, seq, card, amount in events[at:at + 50]])
-        for r in features.batch_features(tx, state, cfg).collect():
+        for r in features.batch_features(tx, state, cfg, hot_cards=hot_cards).collect():
             got[r.seq] = (r.n_window, r.hv_window, r.amount_window, r.prev_ts)
         # cards without events keep their rows: here all cards are in the state
         state = spark.createDataFrame(features.next_state(tx, state, cfg).collect(), features.STATE)
@@ -116,6 +118,21 @@ def test_tail_equals_batch_features_over_random_rounds(spark, tx_of, hot_card_ro
     assert got == {r.seq: (r.n_window, r.hv_window, r.amount_window, r.prev_ts) for r in expected}
 
 
+def test_job_splits_batches_with_more_rows_than_make_a_hot_card(spark, tx_of, tmp_path):
+    listed = spark.createDataFrame([], schemas.BLACKLIST)
+    known = spark.createDataFrame([], schemas.USER_PROFILES)
+    seen = []
+    for rows in (1, 1_000):
+        cfg, base = RuleConfig(window_ms=4_000, hot_card_rows=rows, slot_ms=1_000), str(tmp_path / str(rows))
+        for batch in range(2):
+            tx = tx_of(*[("C1", T0 + 700 * i, i, 20_000) for i in range(batch * 9, batch * 9 + 9)], ("C2", T0 + batch, 50 + batch, 1))
+            jobs.score_batch(spark, tx, batch, base, lambda _: listed, lambda _: known, cfg)
+        scored = sinks.read_batches(spark, base, "scored").select("seq", "n_window", "hv_window", "prev_ts", "rules_triggered")
+        seen.append(sorted(scored.collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == 20
+    assert {r.seq: r.n_window for r in seen[0]}[17] == 6
+
+
 def test_idle_cards_leave_the_tails(spark):
     day = 86_400_000
     rows = [("C1", None, T0, 1, 0, None, 0), ("C1", None, T0 + 9 * day, 1, 0, None, 1), ("C1", "202401", T0 + 9 * day, 0, 0, None, 1),

@@ -67,29 +67,36 @@ def batch_features(
 def next_state(tx: DataFrame, state: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
     """The tails of the batch's cards after ``tx``.
 
-    Rows of the window (``place`` is their time) and of the months go through one
-    aggregate, so the batch and the old tails are moved once.
+    Each card's newest event is found first, by an aggregate that tasks combine, so
+    that of the window only what stays in it is moved and summed.
     """
-    def row(month: Column, place: Column, n: Column, large: Column, amount: Column, now: Column) -> Column:
-        return F.struct(
-            month.cast("string").alias("month"), place.cast("bigint").alias("place"), n.cast("bigint").alias("n"),
-            large.cast("bigint").alias("large"), amount.cast("decimal(22,2)").alias("amount"), now.cast("bigint").alias("now"))
-
-    ts, none, zero = F.col(_TS), F.lit(None), F.lit(0)
-    arrived = tx.select(_CARD, F.inline(F.array(
-        row(none, ts, F.lit(1), large_amount(cfg), F.col("amount").try_cast("decimal(18,2)"), none),
-        row(year_month(ts), none, zero, zero, none, ts))))
-    in_window = F.col("month").isNull()
-    rows = state.select(
-        _CARD, "month", F.when(in_window, F.col("at")).alias("place"), "n", "large", "amount",
-        F.when(~in_window, F.col("at")).alias("before"),
-    ).unionByName(arrived, allowMissingColumns=True)
-    newest = rows.groupBy(_CARD).agg(F.max("place").alias("_newest"))
-    merged = rows.groupBy(_CARD, "month", "place").agg(
-        F.coalesce("place", F.max("now"), F.max("before")).alias("at"),
-        F.sum("n").alias("n"), F.sum("large").alias("large"), F.sum("amount").cast("decimal(22,2)").alias("amount"))
-    kept = F.col("month").isNotNull() | (F.col("at") >= F.col("_newest") - cfg.window_ms)
-    return merged.join(newest, _CARD).where(kept).select(_CARD, "month", "at", "n", "large", "amount")
+    ts, zero, amount = F.col(_TS), F.lit(0).cast("bigint"), F.col("amount").try_cast("decimal(18,2)")
+    in_window = state.where("month is null").select(_CARD, "at", "n", "large", "amount")
+    of_months = state.where("month is not null").select(_CARD, "month", "at", "n", "large", "amount")
+
+    newest = tx.select(_CARD, ts.alias("at")).unionByName(in_window.select(_CARD, "at")).groupBy(_CARD).agg(
+        F.max("at").alias("_newest"))
+    arrived = tx.select(
+        _CARD, ts.alias("at"), F.lit(1).cast("bigint").alias("n"), large_amount(cfg).cast("bigint").alias("large"),
+        amount.cast("decimal(22,2)").alias("amount"))
+    window = (
+        in_window.unionByName(arrived).join(newest, _CARD).where(F.col("at") >= F.col("_newest") - cfg.window_ms)
+        .groupBy(_CARD, "at").agg(*_sums())
+    )
+    seen = tx.select(
+        _CARD, year_month(ts).alias("month"), ts.alias("now"), zero.alias("n"), zero.alias("large"),
+        zero.cast("decimal(22,2)").alias("amount"))
+    months = (
+        of_months.withColumnRenamed("at", "before").unionByName(seen, allowMissingColumns=True)
+        .dropna(subset=[_CARD, "month"])
+        .groupBy(_CARD, "month").agg(F.coalesce(F.max("now"), F.max("before")).alias("at"), *_sums())
+    )
+    return window.withColumn("month", F.lit(None).cast("string")).unionByName(months).select(
+        _CARD, "month", "at", "n", "large", "amount")
+
+
+def _sums() -> list[Column]:
+    return [F.sum("n").alias("n"), F.sum("large").alias("large"), F.sum("amount").cast("decimal(22,2)").alias("amount")]
 
 
 def expired_cards(state: DataFrame, idle_days: int) -> DataFrame:

@@ -77,7 +77,8 @@ def score_batch(
     months = tx.select(
         F.col("nameOrig").alias("card_id"), times.year_month(F.col("ingestion_timestamp_ms")).alias("year_month")).distinct()
     tails = read_batches(spark, base, "tails", before=batch_id, schema=STATE)
-    state = newest_state(tails.join(cards, "nameOrig", "left_semi")).drop("batch_id")
+    # Stored, as five places read it: windows, lookups by card and the new tails.
+    state = stored(newest_state(tails.join(cards, "nameOrig", "left_semi")).drop("batch_id"), "state")
     listed = blacklist(months).join(cards.withColumnRenamed("nameOrig", "card_id"), "card_id", "left_semi")
     known = profiles(months).join(months, ["card_id", "year_month"], "left_semi")
 
@@ -93,6 +94,7 @@ def score_batch(
     if publish is not None:
         # Last, so that a batch that fails before has published nothing.
         publish(alert_messages(alerts), batch_id)
+    forget_batches(spark, base, "state", batch_id)
     # The batch before is committed: its copy of the source is not needed any more.
     forget_batches(spark, base, "arrived", batch_id - 1)
 

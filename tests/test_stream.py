@@ -6,7 +6,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from helpers import T0
+from helpers import T0, plan_of
 from pyspark.sql import functions as F
 
 from fraudloom import schemas
@@ -308,3 +308,31 @@ def test_alerts_sent_again_are_read_once(spark, tmp_path):
         topics.read_alerts(incoming).writeStream.format("parquet").option("path", f"{tmp_path}/alerts").option(
             "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert sorted(r.alert_id for r in spark.read.parquet(f"{tmp_path}/alerts").collect()) == ["k1", "k2"]
+
+
+def test_first_batch_has_no_python_rows_and_states_are_stored_once(spark, tx_of, tmp_path, monkeypatch):
+    empty = sinks.read_batches(spark, str(tmp_path), "tails", schema=features.STATE)
+    assert "ExistingRDD" not in plan_of(empty) and empty.count() == 0
+    assert empty.dtypes == [*spark.createDataFrame([], features.STATE).dtypes, ("batch_id", "bigint")]
+    listed, known = spark.createDataFrame([], schemas.BLACKLIST), spark.createDataFrame([], schemas.USER_PROFILES)
+    built = []
+    monkeypatch.setattr(jobs, "next_state", lambda tx, state, cfg: built.append(plan_of(state)) or features.next_state(tx, state, cfg))
+    for batch in range(2):
+        jobs.score_batch(spark, tx_of(("C1", T0 + batch, batch, 1)), batch, str(tmp_path), lambda _: listed, lambda _: known, CFG)
+    assert not any("Window" in plan for plan in built)  # its rows are read, not chosen again
+    assert sinks.finished_batches(spark, str(tmp_path), "state") == []
+    assert {r.n_window for r in sinks.read_batches(spark, str(tmp_path), "scored").collect()} == {1, 2}
+
+
+def test_new_tails_move_only_what_stays_in_the_window(spark, tx_of):
+    minute = 60_000
+    tx = tx_of(*[("C1", T0 + i * minute, i, 20_000) for i in range(30)], (None, T0, 99, 1))
+    old = spark.createDataFrame(
+        [("C1", None, T0 - 1, 3, 3, None), ("C1", "202312", T0 - 1, 0, 0, None), ("C2", "202312", T0, 0, 0, None)], features.STATE)
+    new = features.next_state(tx, old, CFG)
+    assert sorted((r.nameOrig, r.at) for r in new.collect() if r.month is None) == [("C1", T0 + i * minute) for i in range(24, 30)]
+    assert sorted((r.nameOrig, r.month, r.at) for r in new.collect() if r.month) == [
+        ("C1", "202312", T0 - 1), ("C1", "202401", T0 + 29 * minute), ("C2", "202312", T0)]
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Aggregate [nameOrig"):]
+    assert "Join Inner" in window and "_newest" in window.split("Aggregate")[1]  # cut down below the sums, not above

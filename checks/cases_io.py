@@ -53,7 +53,7 @@ def _rounds(spark, sf):
 
 def _topic(spark, sf):
     def build(folder):
-        topics.publishable(fx.transactions(spark, sf)).write.parquet(folder)
+        topics.send(topics.publishable(topics.evenly(fx.transactions(spark, sf))), folder)
     return _once(spark, sf, "topic", build)
 
 
@@ -69,7 +69,7 @@ def _scoring(spark, sf):
         source, store = f"{base}/source", ProfileStore(spark, f"{base}/profiles", buckets=4)
         store.create(fx.profiles(spark, sf))
         for piece in _rounds(spark, sf):
-            topics.publishable(piece).write.mode("append").parquet(source)
+            topics.send(topics.publishable(topics.evenly(piece)), source)
             drain(jobs.score_stream(
                 spark, _incoming(spark, source), base, lambda _: fx.blacklist(spark, sf), store.lookup, fx.FIXTURE))
             jobs.compact(spark, base, idle_days=60)
@@ -82,7 +82,7 @@ def _rollup(spark, sf):
     def build(base):
         source = f"{base}/source"
         for piece in _rounds(spark, sf):
-            topics.publishable(piece).write.mode("append").parquet(source)
+            topics.send(topics.publishable(topics.evenly(piece)), source)
             # test folders are replayed file by file in any order, hence the long lateness
             drain(jobs.upsert_stream(
                 jobs.hourly_rollup(_incoming(spark, source), "60 days"), base, "summaries"))
@@ -392,7 +392,7 @@ def _late_scoring(spark, sf):
         first, second, third = _rounds(spark, sf)
         held = F.col("seq") % 5 == 0
         for piece in (first.where(~held), second.unionByName(first.where(held)), third):
-            topics.publishable(piece).write.mode("append").parquet(source)
+            topics.send(topics.publishable(topics.evenly(piece)), source)
             drain(jobs.score_stream(
                 spark, _incoming(spark, source), base,
                 lambda _: fx.blacklist(spark, sf), lambda _: fx.profiles(spark, sf), fx.FIXTURE))
@@ -553,7 +553,7 @@ def _(spark, sf):
     def build(base):
         source = f"{base}/source"
         for piece in _rounds(spark, sf):
-            topics.publishable(piece).write.mode("append").parquet(source)
+            topics.send(topics.publishable(topics.evenly(piece)), source)
             drain(jobs.hourly_rollup(_incoming(spark, source)).writeStream.format("parquet")
                   .option("path", f"{base}/hours").option("checkpointLocation", f"{base}/checkpoint")
                   .outputMode("append"))

@@ -53,7 +53,7 @@ def publish_csv(
         F.count_if(F.col("reason").isNull()).alias("sent"),
         F.count_if(F.col("reason").isNotNull()).alias("skipped"),
     )
-    topics.send(topics.publishable(validate.valid(counted), codec=codec), topic, fmt, servers)
+    topics.send(topics.publishable(topics.evenly(validate.valid(counted)), codec=codec), topic, fmt, servers)
     return counters.get
 
 

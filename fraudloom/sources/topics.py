@@ -62,6 +62,15 @@ def publishable(tx: DataFrame, schema_id: int = 1, codec: str = "json") -> DataF
     )
 
 
+def evenly(tx: DataFrame) -> DataFrame:
+    """Rows of a finite set dealt evenly to tasks ahead of ``publishable``.
+
+    A source of few or uneven files would otherwise be encoded by few tasks, and
+    would leave uneven files, which the readers of a folder cannot cut.
+    """
+    return tx.hint("rebalance")
+
+
 def decode_messages(messages: DataFrame, codec: str = "json") -> DataFrame:
     """``messages`` plus ``tx``: null for a short, foreign or unreadable value.
 

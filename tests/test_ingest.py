@@ -53,3 +53,22 @@ def test_files_with_other_column_order_fail_loudly(spark, tmp_path):
 def test_event_without_number_is_refused(spark, tx_of):
     with pytest.raises(Exception, match="without seq"):
         trailing_features(tx_of(("C1", T0, None, 1.0))).collect()
+
+
+def test_messages_of_uneven_files_are_published_evenly(spark, tmp_path):
+    """One long file and some short ones: no task encodes most rows, no topic file holds most of them."""
+    header = "step,type,amount,nameOrig,oldbalanceOrg,newbalanceOrig,nameDest,oldbalanceDest,newbalanceDest,isFraud,isFlaggedFraud"
+    (tmp_path / "csv").mkdir()
+    for name, rows in (("a", 40_000), ("b", 3), ("c", 3)):
+        lines = [f"1,PAYMENT,{i}.5,C{name}{i},1.0,1.0,M{i},0.0,0.0,0,0" for i in range(1, rows + 1)]
+        (tmp_path / "csv" / f"{name}.csv").write_text("\n".join([header, *lines, ""]))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    try:
+        sent = ingest.publish_csv(spark, str(tmp_path / "csv"), f"{tmp_path}/topic", instant("2024-01-01 00:00:00"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", before)
+    topic = spark.read.parquet(f"{tmp_path}/topic")
+    files = [r["count"] for r in topic.groupBy(F.input_file_name()).count().collect()]
+    assert sent == {"sent": 40_006, "skipped": 0} and topic.select("seq").distinct().count() == 40_006
+    assert max(files) < 20_000

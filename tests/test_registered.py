@@ -25,3 +25,15 @@ def test_entry_counts_the_alerts(spark):
 def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
     assert set(contract.queries()) >= set(registry.QUERIES)
+
+
+def test_differing_rows_are_found_in_one_pass(spark):
+    from checks.cases_io import _differing
+
+    left = spark.createDataFrame([("a", 1.0), ("a", 1.0), ("a", 1.0), (None, None), ("b", 2.0), ("b", None)], "k string, v double")
+    right = spark.createDataFrame([("a", 1.0), (None, None), ("c", 2.0), ("c", 2.0), ("b", 2.0)], "k string, v double")
+    expected = left.exceptAll(right).unionByName(right.exceptAll(left))
+    found = _differing(left, right)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.count() == 5
+    assert _differing(left, left).count() == 0
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2  # each side once

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import brute
@@ -482,3 +483,18 @@ def test_pipeline_keeps_one_row_of_each_group_with_null_and_repeated_ids(spark):
     got = sorted(((r.doc_id, r.text or "") for r in found.collect()), key=str)
     smallest = {1: 9, 5: 1, 7: 2}
     assert got == sorted([(None, ""), *((smallest.get(k, i), t) for k, (i, t) in enumerate(zip(ids, texts)))], key=str)
+
+
+def test_license_words_are_counted_without_lists(spark):
+    """Words in all their places, and the gate lets through what its stems alone let through."""
+    texts = ["", " ", "a", " a", "a ", "-A\x7fb\x00", "Ünï 中文 \U0001f600x", "1:2@3[4`5{6", "\x80", "x" * 70_000, "a " * 70_000, None]
+    texts += [w.upper() for w in ("mit-license", "sublicence", "agpl", "0bsd", "CC  by", "ms-pl", "eupl", "mit 0", "cc0", "shall be included")]
+    texts += ["hereby, granted", "held liable", "tissue", "unlicensed", "mi", "mit", "MIT."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = licenses.scan_licenses(docs)
+    assert "regexp_extract_all" not in str(licenses._n_words(F.col("text")))
+    words = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    assert {r.doc_id: r.n_words for r in found.collect()} == {i: len(words.findall(t or "")) for i, t in enumerate(texts)}
+    text = F.coalesce("text", F.lit(""))
+    assert docs.where(text.rlike("(?i)" + licenses._STEMS) != text.rlike(licenses._GATE)).count() == 0
+    assert licenses._GATE.startswith("(?i)(?=")
